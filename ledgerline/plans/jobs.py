@@ -54,13 +54,16 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of, exact: bool
         land_raw(rows, f"{base}/raw-sales-data", day)
         write_raw(spark.read.schema(schemas.RAW_SALES).json(f"{base}/raw-sales-data/{date_text}"),
                   f"{base}/raw_sales")
-        raw_day = scan_sales(spark, f"{base}/raw_sales", day, day, columns=list(RAW_COLUMNS))
+        raw_day = scan_sales(spark, f"{base}/raw_sales", day, day, columns=list(RAW_COLUMNS),
+                             schema=schemas.RAW_SALES_TABLE)
         write_transformed(enrich(raw_day, day, day), f"{base}/transformed_sales", mode=mode)
-        transformed = scan_sales(spark, f"{base}/transformed_sales", day, day)
+        transformed = scan_sales(spark, f"{base}/transformed_sales", day, day,
+                                 schema=schemas.TRANSFORMED_SALES)
         stats = load_stats(transformed, day).first()
         quality_gate(quality_profile(transformed, day), exact=exact, gate_on=gate_on)
         sday = to_date_value(summary_date) if summary_date is not None else day
-        summary_src = scan_sales(spark, f"{base}/transformed_sales", sday, sday)
+        summary_src = scan_sales(spark, f"{base}/transformed_sales", sday, sday,
+                                 schema=schemas.TRANSFORMED_SALES)
         write_summary(daily_summary(summary_src, sday, sday), f"{base}/daily_summary", dates=[sday])
         return _status(spark, "success", date_text, int(stats["row_count"]),
                        float(stats["total_revenue"]), SUCCESS_MESSAGE, None)

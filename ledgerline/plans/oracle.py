@@ -288,11 +288,16 @@ FROM latest"""
     q["backup_copy"] = f"WITH {SALES}, {enriched(s, a)} SELECT {ENRICHED_COLS} FROM enriched"
     q["retention_90"] = (f"WITH {SALES}, {enriched()} SELECT {ENRICHED_COLS} FROM enriched "
                          f"WHERE order_date >= {_d(P.RETENTION_CUTOFF)}")
-    q["run_status"] = f"""WITH {SALES}
-SELECT 'success' AS status, '{a.isoformat()}' AS execution_date, COUNT(*) AS records_processed,
-       COALESCE({msum('total_amount')}, 0.0) AS total_revenue,
-       'Data transformation completed successfully' AS message, CAST(NULL AS VARCHAR) AS error
-FROM sales WHERE order_date = {_d(a)} AND quantity > 0 AND price > 0"""
+    q["run_status"] = f"""WITH {SALES},
+day AS (SELECT COUNT(*) AS n, COALESCE({msum('total_amount')}, 0.0) AS revenue
+        FROM sales WHERE order_date = {_d(a)} AND quantity > 0 AND price > 0)
+SELECT CASE WHEN n > 0 THEN 'success' ELSE 'error' END AS status,
+       '{a.isoformat()}' AS execution_date,
+       CASE WHEN n > 0 THEN n END AS records_processed,
+       CASE WHEN n > 0 THEN revenue END AS total_revenue,
+       CASE WHEN n > 0 THEN 'Data transformation completed successfully' END AS message,
+       CASE WHEN n = 0 THEN 'No records found for transformation' END AS error
+FROM day"""
     q["csv_report_job"] = report_sql()
     q["user_ingest_job"] = f"""SELECT CAST(c.c_custkey AS INTEGER) AS id, split_part(c.c_name, '#', 1) AS firstName,
        split_part(c.c_name, '#', 2) AS lastName,

@@ -43,13 +43,12 @@ def work_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we make one under the system
     temp folder and register it as the checkpoint dir.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
+        path = sc.getCheckpointDir() or path
     return path.rstrip("/")
 
 

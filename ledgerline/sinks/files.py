@@ -74,8 +74,12 @@ def write_summary(df: DataFrame, path: str, dates=None, append: bool = False) ->
     """
     out = df.withColumn("processing_timestamp", F.current_timestamp()) \
         if "processing_timestamp" not in df.columns else df
-    # One summary row per date: one file per date folder.
-    (out.repartition("summary_date").write
+    # One summary row per date, so no date is hot. Range-partition the dates
+    # over a fixed number of writer tasks: a hash repartition on the grouping
+    # key would be dropped as redundant after the aggregate, and AQE would
+    # then fold the tiny aggregate into one task writing every folder in turn.
+    writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (out.repartitionByRange(writers, "summary_date").write
         .mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("summary_date").parquet(path))

@@ -19,9 +19,12 @@ def date_range_filter(df: DataFrame, start=None, end=None, col: str = "order_dat
 
 
 def scan_sales(spark: SparkSession, path: str, start=None, end=None,
-               columns: list[str] | None = None, date_col: str = "order_date") -> DataFrame:
+               columns: list[str] | None = None, date_col: str = "order_date",
+               schema=None) -> DataFrame:
     """Read a table written with ``partitionBy(date_col)``; one date when
-    start == end, a backfill range otherwise."""
-    df = spark.read.parquet(path)
+    start == end, a backfill range otherwise. With ``schema`` the read needs
+    no footer inference, and a table with no partitions yet reads as empty."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     df = date_range_filter(df, start, end, date_col)
     return df.select(*columns) if columns else df
