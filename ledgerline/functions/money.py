@@ -1,8 +1,17 @@
 """Money aggregates.
 
-Amounts carry two decimals. Summing them as DECIMAL(18,2) makes the sum
-exact and independent of row order (a DOUBLE sum depends on how the
-partial aggregates are combined), then we hand back a DOUBLE.
+Amounts carry two decimals. They are summed as whole cents in a BIGINT:
+exact, independent of row order (a DOUBLE sum depends on how the partial
+aggregates are combined), and a primitive add inside whole-stage codegen.
+A DECIMAL(18,2) sum would widen to DECIMAL(28,2), which Spark adds with a
+``java.math.BigDecimal`` per row per aggregate.
+
+``N / 100.0`` with the integer N is the correctly rounded double of the
+exact sum, the same value ``CAST(SUM(CAST(x AS DECIMAL(18,2))) AS DOUBLE)``
+gives. Cents are taken with ``rint(x * 100)``: a 2-dp amount times 100 lies
+within 1e-6 of an integer, so any rounding mode gives the same cents. With
+ANSI mode on, a BIGINT overflow (above 9.2e16 currency units) fails the job
+instead of wrapping.
 """
 
 from pyspark.sql import Column
@@ -15,16 +24,24 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def cents(col) -> Column:
+    return F.rint(_c(col) * F.lit(100.0)).cast("bigint")
+
+
+def _as_money(total_cents: Column) -> Column:
+    return total_cents.cast("double") / F.lit(100.0)
+
+
 def money_sum(col) -> Column:
-    return F.sum(_c(col).cast(MONEY)).cast("double")
+    return _as_money(F.sum(cents(col)))
 
 
 def money_avg(col) -> Column:
     """Exact sum over the non-null count, like AVG."""
     c = _c(col)
-    return F.sum(c.cast(MONEY)).cast("double") / F.count(c).cast("double")
+    return money_sum(c) / F.count(c).cast("double")
 
 
 def money_sum_if(cond: Column, col) -> Column:
     """SUM(CASE WHEN cond THEN x ELSE 0 END)."""
-    return F.sum(F.when(cond, _c(col).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))).cast("double")
+    return _as_money(F.sum(F.when(cond, cents(col)).otherwise(F.lit(0).cast("bigint"))))

@@ -46,7 +46,7 @@ def order_sequence(df: DataFrame, key: str = "customer_id", order: str = "order_
 
 
 def enrich(raw: DataFrame, start=None, end=None, keep_invalid: bool = False,
-           stamp: bool = True) -> DataFrame:
+           stamp: bool = True, with_sequence: bool = True) -> DataFrame:
     """9 raw columns -> 19 transformed columns.
 
     The date range is applied before the rank, so ``start == end`` gives the
@@ -68,10 +68,13 @@ def enrich(raw: DataFrame, start=None, end=None, keep_invalid: bool = False,
         estimated_profit().alias("estimated_profit"),
         has_quality_issues().alias("has_data_quality_issues"),
     )
-    df = order_sequence(df)
     cols = [*RAW_COLUMNS, "order_category", "product_category", "day_of_week", "month",
             "quarter", "customer_order_sequence", "revenue", "estimated_profit",
             "has_data_quality_issues"]
+    if with_sequence:
+        df = order_sequence(df)
+    else:
+        cols.remove("customer_order_sequence")
     out = df.select(*cols)
     if stamp:
         out = out.withColumn("processed_at", F.current_timestamp())

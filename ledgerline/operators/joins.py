@@ -6,13 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+_CHECKED: dict = {}
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, cache_key=None) -> DataFrame:
     """Broadcast hint only after checking the row bound.
 
     ``limit(max_rows + 1).count()`` reads at most max_rows + 1 rows, so the
     check is cheap whatever the table size. Above the bound the frame is
     returned unhinted and the planner / AQE picks a shuffle join.
+    ``cache_key`` (e.g. the table path) remembers the answer for the life
+    of the application, so a static dimension table is checked once.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.sparkSession.sparkContext.applicationId, cache_key, max_rows) if cache_key else None
+    small = _CHECKED.get(key) if key else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key:
+            _CHECKED[key] = small
+    return F.broadcast(df) if small else df

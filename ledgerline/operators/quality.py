@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.bands import BULK_QUANTITY, HIGH_VALUE_ORDER
 from ledgerline.functions.calendar import as_date
-from ledgerline.functions.money import MONEY
+from ledgerline.functions.money import money_sum
 
 # The issue counts the reference sums for its gate, and the
 # tolerance used by the rounded calculation check.
@@ -91,8 +91,7 @@ def gates(df: DataFrame, exact: bool = True, gate_on=DEFAULT_GATE_ON) -> DataFra
     with ``stack``. The sum-is-zero gate treats an empty frame's NULL sum
     as 0, like the frame library."""
     prof = df.agg(*_profile_columns(),
-                  F.coalesce(F.sum(F.col("total_amount").cast(MONEY)), F.lit(0)).cast("double")
-                  .alias("revenue_sum"))
+                  F.coalesce(money_sum("total_amount"), F.lit(0.0)).alias("revenue_sum"))
     issues = critical_issues(exact, gate_on).cast("double")
     wide = prof.select(
         F.col("revenue_sum"), F.col("total_records").cast("double").alias("rows"),

@@ -44,9 +44,14 @@ def _raw(spark, d, start=None, end=None) -> DataFrame:
     return TD.sales_from_testdata(spark, d, start, end)
 
 
-def _enriched(spark, d, start=None, end=None, keep_invalid=False) -> DataFrame:
+def _enriched(spark, d, start=None, end=None, keep_invalid=False, rank=True) -> DataFrame:
     return enrich(_raw(spark, d, start, end), start, end, keep_invalid=keep_invalid,
-                  stamp=False)
+                  stamp=False, with_sequence=rank)
+
+
+def _report_input(spark, d, start=None, end=None) -> DataFrame:
+    """Enriched rows for reports that never read the order sequence."""
+    return _enriched(spark, d, start, end, rank=False)
 
 
 def _csv_frame(spark, d) -> DataFrame:
@@ -86,7 +91,7 @@ def q_category_binary(spark, d):
 
 
 def _all_bands(spark, d):
-    return _enriched(spark, d, keep_invalid=True)
+    return _enriched(spark, d, keep_invalid=True, rank=False)
 
 
 def q_order_category(spark, d):
@@ -122,39 +127,39 @@ def q_null_fill(spark, d):
 # ---- aggregates --------------------------------------------------------------
 
 def q_daily_summary(spark, d):
-    return daily_summary(_enriched(spark, d, P.YESTERDAY, P.YESTERDAY), P.YESTERDAY, P.YESTERDAY)
+    return daily_summary(_report_input(spark, d, P.YESTERDAY, P.YESTERDAY), P.YESTERDAY, P.YESTERDAY)
 
 
 def q_daily_summary_backfill(spark, d):
-    return daily_summary(_enriched(spark, d))
+    return daily_summary(_report_input(spark, d))
 
 
 def q_region_breakdown(spark, d):
-    return breakdown(_enriched(spark, d), region_columns())
+    return breakdown(_report_input(spark, d), region_columns())
 
 
 def q_channel_breakdown(spark, d):
-    return breakdown(_enriched(spark, d), channel_columns())
+    return breakdown(_report_input(spark, d), channel_columns())
 
 
 def q_category_breakdown(spark, d):
-    return breakdown(_enriched(spark, d), category_columns())
+    return breakdown(_report_input(spark, d), category_columns())
 
 
 def q_current_month_sales(spark, d):
-    return current_month_sales(_enriched(spark, d, P.MONTH_START, P.AS_OF), P.AS_OF)
+    return current_month_sales(_report_input(spark, d, P.MONTH_START, P.AS_OF), P.AS_OF)
 
 
 def q_top_customers(spark, d):
-    return top_customers(_enriched(spark, d, P.WINDOW_START, P.AS_OF), P.AS_OF)
+    return top_customers(_report_input(spark, d, P.WINDOW_START, P.AS_OF), P.AS_OF)
 
 
 def q_product_performance(spark, d):
-    return product_performance(_enriched(spark, d, P.WINDOW_START, P.AS_OF), P.AS_OF)
+    return product_performance(_report_input(spark, d, P.WINDOW_START, P.AS_OF), P.AS_OF)
 
 
 def q_load_stats(spark, d):
-    return load_stats(_enriched(spark, d, P.AS_OF, P.AS_OF), P.AS_OF)
+    return load_stats(_report_input(spark, d, P.AS_OF, P.AS_OF), P.AS_OF)
 
 
 def q_sales_report(spark, d):
@@ -166,7 +171,7 @@ def q_top_product(spark, d):
 
 
 def q_quality_profile(spark, d):
-    return quality_profile(_enriched(spark, d))
+    return quality_profile(_report_input(spark, d))
 
 
 def q_quality_profile_raw(spark, d):
@@ -174,7 +179,7 @@ def q_quality_profile_raw(spark, d):
 
 
 def q_quality_nested(spark, d):
-    return quality_struct(quality_profile(_enriched(spark, d)))
+    return quality_struct(quality_profile(_report_input(spark, d)))
 
 
 def q_gates(spark, d):
@@ -182,7 +187,7 @@ def q_gates(spark, d):
 
 
 def q_revenue_variance(spark, d):
-    return revenue_variance(_enriched(spark, d))
+    return revenue_variance(_report_input(spark, d))
 
 
 # ---- users, snapshots, JSON --------------------------------------------------
@@ -254,7 +259,7 @@ def q_incremental_ingest(spark, d):
 def q_idempotent_summary(spark, d):
     from ledgerline.sinks.files import write_summary
     path = scratch_path(spark, "summary")
-    summary = daily_summary(_enriched(spark, d))
+    summary = daily_summary(_report_input(spark, d))
     write_summary(summary, path)
     write_summary(summary, path)  # rerun: same partitions replaced, no doubles
     out = spark.read.parquet(path)

@@ -63,7 +63,8 @@ def sales_orders(spark: SparkSession, sf_dir: str, start=None, end=None) -> Data
         orders = orders.filter(
             F.col("o_orderdate") < day_start(to_date_value(end) + _dt.timedelta(days=1)))
     nation = broadcast_if_small(
-        table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), NATION_MAX_ROWS)
+        table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), NATION_MAX_ROWS,
+        cache_key=f"{sf_dir}/nation")
     cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     return (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
