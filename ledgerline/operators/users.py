@@ -97,10 +97,11 @@ def latest_snapshot(snapshots: DataFrame, as_of=None, keys=("user_id",),
 
 
 def _first_result(snapshot: DataFrame, text_col: str | None):
+    # get() gives NULL for an empty array; [0] would fail under ANSI mode.
     if text_col is not None:
         doc = F.from_json(F.col(text_col), schemas.SNAPSHOT_DOC)
-        return doc["results"].getItem(0)
-    return F.col("results").getItem(0)
+        return F.get(doc["results"], 0)
+    return F.get(F.col("results"), 0)
 
 
 def split_snapshot(snapshot: DataFrame, keys=("user_id", "snapshot_ts"), text_col: str | None = "doc",
