@@ -262,7 +262,7 @@ def q_idempotent_summary(spark, d):
     summary = daily_summary(_report_input(spark, d))
     write_summary(summary, path)
     write_summary(summary, path)  # rerun: same partitions replaced, no doubles
-    out = spark.read.parquet(path)
+    out = spark.read.schema(schemas.DAILY_SUMMARY_TABLE).parquet(path)
     return out.select(*[f.name for f in schemas.DAILY_SUMMARY.fields])
 
 
@@ -279,7 +279,7 @@ def q_retention_90(spark, d):
     path = scratch_path(spark, "retention")
     write_transformed(_enriched(spark, d), path)
     expire(spark, path, P.AS_OF, P.RETENTION_DAYS)
-    return spark.read.parquet(path).select(*ENRICHED_OUT)
+    return spark.read.schema(schemas.TRANSFORMED_SALES).parquet(path).select(*ENRICHED_OUT)
 
 
 def q_run_status(spark, d):

@@ -115,3 +115,18 @@ def test_csv_report_job(spark, golden, tmp_path):
     assert rep.top_product == "Widget A" and rep.total_orders == 5
     assert abs(rep.total_revenue - 319.91) < 1e-9
     assert os.path.isdir(str(tmp_path / "out" / "backup_20240115"))
+
+
+def test_literal_modes_replace_and_append(spark, tmp_path):
+    from ledgerline.sinks.files import write_raw
+    path = str(tmp_path / "t")
+    enr = enrich(_sales(spark, days=3), stamp=False)
+    write_transformed(enr, path)
+    write_transformed(enr.filter("order_date = '2024-01-03'"), path, mode="replace")
+    assert [d.day for d in partition_dates(spark, path, "order_date")] == [3]   # keeps one day
+    raw_path = str(tmp_path / "raw")
+    write_raw(_sales(spark, days=1), raw_path, append=True)
+    write_raw(_sales(spark, days=1), raw_path, append=True)
+    assert spark.read.parquet(raw_path).count() == 8                           # rerun doubles
+    write_raw(_sales(spark, days=1), raw_path)
+    assert spark.read.parquet(raw_path).count() == 4                           # default replaces
