@@ -83,9 +83,11 @@ def enrich(raw: DataFrame, start=None, end=None, keep_invalid: bool = False,
 
 def derive_sales(df: DataFrame) -> DataFrame:
     """CSV job transform: unrounded total (P1), timestamp date (P3), binary
-    category (P4)."""
+    category (P4). The parsed date is a zone-less timestamp, like a
+    frame library's naive datetime, so it does not move with the session
+    time zone."""
     return (df.withColumn("total_amount", F.col("quantity") * F.col("price"))
-              .withColumn("order_date", F.to_timestamp(F.col("order_date")))
+              .withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
               .withColumn("product_category", binary_category()))
 
 

@@ -84,7 +84,10 @@ def latest_snapshot(snapshots: DataFrame, as_of=None, keys=("user_id",),
     """
     df = snapshots
     if as_of is not None:
-        bound = as_of if not isinstance(as_of, str) else _dt.datetime.fromisoformat(as_of)
+        # Wall-clock text cast to the column's own type: the bound means the
+        # same on a timestamp_ntz column whatever the session time zone, and
+        # no cast lands on the column (the predicate reaches the scan).
+        bound = as_of.isoformat(sep=" ") if isinstance(as_of, _dt.datetime) else str(as_of)
         ts_type = df.schema[ts_col].dataType.simpleString()
         df = df.filter(F.col(ts_col) <= F.lit(bound).cast(ts_type))
     keys = list(keys)

@@ -23,7 +23,7 @@ from ledgerline.sinks.files import (
     append_by_key, backup, land_raw, write_csv, write_raw, write_report, write_summary,
     write_transformed,
 )
-from ledgerline.sources.files import read_sales_csv, read_user_docs
+from ledgerline.sources.files import read_raw_json, read_sales_csv, read_user_docs
 from ledgerline.sources.tables import scan_sales
 
 SUCCESS_MESSAGE = "Data transformation completed successfully"
@@ -52,8 +52,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of, exact: bool
     try:
         rows = raw.filter(F.col("order_date") == F.lit(day)).select(*RAW_COLUMNS)
         land_raw(rows, f"{base}/raw-sales-data", day)
-        write_raw(spark.read.schema(schemas.RAW_SALES).json(f"{base}/raw-sales-data/{date_text}"),
-                  f"{base}/raw_sales")
+        write_raw(read_raw_json(spark, f"{base}/raw-sales-data/{date_text}"), f"{base}/raw_sales")
         raw_day = scan_sales(spark, f"{base}/raw_sales", day, day, columns=list(RAW_COLUMNS),
                              schema=schemas.RAW_SALES_TABLE)
         write_transformed(enrich(raw_day, day, day), f"{base}/transformed_sales", mode=mode)

@@ -37,3 +37,16 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(sql)
     err = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert err is None, err
+
+
+@pytest.mark.parametrize("name", ["derive_total", "latest_snapshot", "snapshot_location", "enrich_range"])
+def test_independent_of_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    res = con.execute(entry.oracle_sql()[name])
+    err = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
+    assert err is None, err
