@@ -303,4 +303,9 @@ FROM day"""
        split_part(c.c_name, '#', 2) AS lastName,
        lower(split_part(c.c_name, '#', 1) || '.' || split_part(c.c_name, '#', 2) || '@example.com') AS email
 FROM customer c"""
+    q["user_stamp"] = (f"SELECT CAST(c.c_custkey AS VARCHAR) AS id, {_user_names()}, "
+                       f"'{P.USER_STAMP:%Y-%m-%d %H:%M:%S}' AS created_at FROM customer c")
+    q["report_json"] = report_sql()
+    q["sql_views"] = q["top_customers"]
+    q["partitioned_scan"] = q["scan_day"]
     return q

@@ -13,3 +13,4 @@ RETENTION_CUTOFF = AS_OF - _dt.timedelta(days=RETENTION_DAYS)
 SNAPSHOT_AS_OF = _dt.datetime(2024, 1, 20, 0, 0, 0)
 EXISTING_SEGMENT = "BUILDING"
 SEED = 42
+USER_STAMP = _dt.datetime(2025, 6, 17, 4, 24, 45)

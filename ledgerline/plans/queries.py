@@ -308,6 +308,40 @@ def q_user_ingest_job(spark, d):
     return read_users(spark, f"{base}/table").select("id", "firstName", "lastName", "email")
 
 
+def q_user_stamp(spark, d):
+    """Flattened users stamped with a fixed load time as text."""
+    from ledgerline.operators.users import stamp_created
+    return stamp_created(flatten_users(TD.user_docs_from_customer(spark, d)), P.USER_STAMP)
+
+
+def q_report_json(spark, d):
+    """K7: the per-date reports written as JSON and read back."""
+    from ledgerline.sinks.files import write_report
+    path = scratch_path(spark, "report")
+    report = sales_report(fill_nulls(_csv_frame(spark, d)))
+    write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+def q_sql_views(spark, d):
+    """The three views registered over the transformed rows; the top
+    customers are read back through SQL."""
+    from ledgerline.plans.views import register_views
+    register_views(_report_input(spark, d, P.WINDOW_START, P.AS_OF), P.AS_OF)
+    return spark.sql("SELECT * FROM top_customers")
+
+
+def q_partitioned_scan(spark, d):
+    """K3 + S2: the raw table written partitioned by order_date, then one
+    date read back through partition pruning."""
+    from ledgerline.sinks.files import write_raw
+    from ledgerline.sources.tables import scan_sales
+    path = scratch_path(spark, "raw")
+    write_raw(_raw(spark, d, *P.BACKFILL), path)
+    return scan_sales(spark, path, P.AS_OF, P.AS_OF, columns=list(RAW_COLUMNS),
+                      schema=schemas.RAW_SALES_TABLE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -12,7 +12,8 @@ from ledgerline.operators.users import latest_snapshot, split_snapshot
 
 SF = "/root/testdata/sf0.001"
 WRITES = {"csv_round_trip", "incremental_ingest", "idempotent_summary", "backup_copy",
-          "retention_90", "run_status", "csv_report_job", "user_ingest_job"}
+          "retention_90", "run_status", "csv_report_job", "user_ingest_job", "report_json",
+          "partitioned_scan"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
@@ -64,3 +65,8 @@ def test_ddl_creates_parquet_table(spark, tmp_path):
     cols = [r.col_name for r in spark.sql("DESCRIBE raw_sales_t").collect()]
     assert "created_at" in cols and "order_date" in cols
     spark.sql("DROP TABLE raw_sales_t")
+
+
+def test_partitioned_scan_prunes(spark):
+    plan = _plan(entry.queries()["partitioned_scan"](spark, SF))
+    assert "PartitionFilters: [isnotnull(order_date" in plan and "1997-08-23" in plan
