@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 _CHECKED: dict = {}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, cache_key=None) -> DataFrame:
-    """Broadcast hint only after checking the row bound.
+def fits(df: DataFrame, max_rows: int, cache_key=None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` reads at most max_rows + 1 rows, so the
-    check is cheap whatever the table size. Above the bound the frame is
-    returned unhinted and the planner / AQE picks a shuffle join.
-    ``cache_key`` (e.g. the table path) remembers the answer for the life
-    of the application, so a static dimension table is checked once.
+    ``limit(max_rows + 1).count()`` stops after max_rows + 1 rows, so the
+    check costs at most that much whatever the table size. ``cache_key``
+    (e.g. the table path) remembers the answer for the life of the
+    application, so a static dimension table is checked once.
     """
     key = (df.sparkSession.sparkContext.applicationId, cache_key, max_rows) if cache_key else None
     small = _CHECKED.get(key) if key else None
@@ -24,4 +22,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int, cache_key=None) -> DataFram
         small = df.limit(max_rows + 1).count() <= max_rows
         if key:
             _CHECKED[key] = small
-    return F.broadcast(df) if small else df
+    return small
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, cache_key=None) -> DataFrame:
+    """Broadcast hint only after ``fits`` proves the row bound. Above the
+    bound the frame is returned unhinted and the planner / AQE picks a
+    shuffle join."""
+    return F.broadcast(df) if fits(df, max_rows, cache_key) else df
+
+
+def anti_join_keys(left: DataFrame, right_keys: DataFrame, key: str,
+                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``left`` rows whose ``key`` is absent from ``right_keys``.
+
+    A left-anti join can only build on the right side, so joining a small
+    batch against a huge key table would shuffle every stored key. When the
+    left side's distinct keys fit ``max_broadcast_rows`` they are broadcast
+    to cut the right side down first (a semi-join streamed over the key
+    table, no shuffle), and the anti-join then meets only the matches.
+    Above the bound: a plain shuffle anti-join (AQE splits skew).
+    """
+    left_keys = left.select(key).distinct()
+    if fits(left_keys, max_broadcast_rows):
+        hits = right_keys.select(key).join(F.broadcast(left_keys), key, "left_semi")
+        return left.join(hits, key, "left_anti")
+    return left.join(right_keys.select(key), key, "left_anti")

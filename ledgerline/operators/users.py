@@ -67,10 +67,12 @@ def dedupe_by_key(df: DataFrame, key: str = "id") -> DataFrame:
 
 def new_rows_by_key(batch: DataFrame, existing: DataFrame, key: str = "id") -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``existing`` (each key
-    once). A left-anti join: existing keys are shuffled as a key column
-    only, or broadcast by AQE when their runtime size is small."""
-    return (dedupe_by_key(batch.filter(F.col(key).isNotNull()), key)
-            .join(existing.select(key).filter(F.col(key).isNotNull()), key, "left_anti"))
+    once). The batch is deduplicated by a partial aggregate, then meets the
+    stored keys through ``anti_join_keys``: a bounded batch never makes the
+    whole key table shuffle."""
+    from ledgerline.operators.joins import anti_join_keys
+    fresh = dedupe_by_key(batch.filter(F.col(key).isNotNull()), key)
+    return anti_join_keys(fresh, existing.select(key).filter(F.col(key).isNotNull()), key)
 
 
 def latest_snapshot(snapshots: DataFrame, as_of=None, keys=("user_id",),

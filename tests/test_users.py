@@ -90,3 +90,13 @@ def test_run_users_job(spark, tmp_path):
     assert run_users(spark, str(docs), table).count() == 1
     assert run_users(spark, str(docs), table).count() == 0
     assert read_users(spark, table).filter(F.col("id") == 1293234).count() == 1
+
+
+def test_anti_join_keys_both_paths(spark):
+    from ledgerline.operators.joins import anti_join_keys
+    left = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "id int, v string")
+    right = spark.createDataFrame([(i,) for i in range(0, 200, 3)], "id int")
+    expect = sorted(i for i in range(50) if i % 3)
+    for bound in (0, 1000):          # 0 forces the shuffle path, 1000 the broadcast path
+        got = sorted(r.id for r in anti_join_keys(left, right, "id", bound).collect())
+        assert got == expect
