@@ -152,17 +152,17 @@ def sales_report(df: DataFrame, date_col: str = "order_date") -> DataFrame:
     The top-product aggregate and the totals are both keyed by date and
     meet in an equi-join on the date, one row per side.
     """
-    day = F.date_format(F.col(date_col), "yyyy-MM-dd")
-    keyed = df.withColumn("date", day)
-    totals = keyed.groupBy("date").agg(
+    # Group on the date value (a 4-byte key) and format only the output rows.
+    keyed = df.withColumn("_day", F.to_date(F.col(date_col)))
+    totals = keyed.groupBy("_day").agg(
         F.count(F.lit(1)).alias("total_orders"),
         money_sum(_amount()).alias("total_revenue"),
         money_avg(_amount()).alias("average_order_value"),
         F.countDistinct("customer_id").alias("unique_customers"))
-    top = _top_product_by(keyed, ["date"])
-    return (totals.join(top, "date")
-            .select("date", "total_orders", "total_revenue", "average_order_value",
-                    "top_product", "unique_customers"))
+    top = _top_product_by(keyed, ["_day"])
+    return (totals.join(top, "_day")
+            .select(F.date_format("_day", "yyyy-MM-dd").alias("date"), "total_orders",
+                    "total_revenue", "average_order_value", "top_product", "unique_customers"))
 
 
 def revenue_by_day(df: DataFrame) -> DataFrame:

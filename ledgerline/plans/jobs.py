@@ -36,7 +36,7 @@ def _status(spark: SparkSession, status: str, date: str, records=None, revenue=N
                                  schemas.RUN_STATUS)
 
 
-def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of, exact: bool = True,
+def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact: bool = True,
               gate_on=DEFAULT_GATE_ON, mode: str = "dynamic",
               summary_date=None) -> DataFrame:
     """Land -> raw table -> enrich -> stats -> quality gate -> summary.
@@ -46,7 +46,8 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of, exact: bool
     so rerunning a day gives the same tables. Any failure becomes an
     ``error`` status row with the message, as the original returned it.
     """
-    day = to_date_value(as_of)
+    # No date means today's run; "2024-01-15T06:00:00" keeps the date part.
+    day = to_date_value(as_of) if as_of is not None else _dt.date.today()
     date_text = day.isoformat()
     base = base.rstrip("/")
     try:

@@ -24,8 +24,19 @@ CHANNEL_OTHER = "Mobile"
 NATION_MAX_ROWS = 1000
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's read-only table, read once per application: the file
+    listing and footer schema inference are paid once, later queries reuse
+    the same base DataFrame (nothing is cached in memory)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _region(col):
