@@ -71,8 +71,10 @@ def new_rows_by_key(batch: DataFrame, existing: DataFrame, key: str = "id") -> D
     stored keys through ``anti_join_keys``: a bounded batch never makes the
     whole key table shuffle."""
     from ledgerline.operators.joins import anti_join_keys
-    fresh = dedupe_by_key(batch.filter(F.col(key).isNotNull()), key)
-    return anti_join_keys(fresh, existing.select(key).filter(F.col(key).isNotNull()), key)
+    keyed = batch.filter(F.col(key).isNotNull())
+    fresh = dedupe_by_key(keyed, key)
+    return anti_join_keys(fresh, existing.select(key).filter(F.col(key).isNotNull()), key,
+                          bound_from=keyed.select(key))
 
 
 def latest_snapshot(snapshots: DataFrame, as_of=None, keys=("user_id",),
