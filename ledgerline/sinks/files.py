@@ -10,6 +10,7 @@ committed task output becomes visible.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,7 +109,7 @@ def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None)
         new_rows_by_key(rows, rows.limit(0), key)
     fresh = fresh.select(*rows.columns)
     # Materialise before appending: the anti-join reads the target path.
-    staged = path.rstrip("/") + f"/_staging/{_dt.datetime.now():%Y%m%d%H%M%S%f}"
+    staged = path.rstrip("/") + f"/_staging/{uuid.uuid4().hex}"
     fresh.write.mode("overwrite").parquet(staged)
     staged_df = spark.read.parquet(staged)
     staged_df.write.mode("append").parquet(path.rstrip("/") + "/data")
@@ -120,10 +121,16 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_or_none(spark: SparkSession, path: str):
-    try:
-        return spark.read.parquet(path.rstrip("/") + "/data")
-    except Exception:  # noqa: BLE001 - absent table: nothing stored yet
+    """The stored users, or None when nothing was stored yet. Only a missing
+    folder counts as empty; any other read error propagates, so a table that
+    cannot be read is never mistaken for an empty one (that would re-append
+    every key)."""
+    from ledgerline import schemas
+    data = path.rstrip("/") + "/data"
+    fs, p, _ = _fs(spark, data)
+    if not fs.exists(p):
         return None
+    return spark.read.schema(schemas.USERS).parquet(data)
 
 
 def truncate_table(spark: SparkSession, path: str, schema) -> None:
