@@ -53,10 +53,12 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact:
     try:
         rows = raw.filter(F.col("order_date") == F.lit(day)).select(*RAW_COLUMNS)
         land_raw(rows, f"{base}/raw-sales-data", day)
-        write_raw(read_raw_json(spark, f"{base}/raw-sales-data/{date_text}"), f"{base}/raw_sales")
+        write_raw(read_raw_json(spark, f"{base}/raw-sales-data/{date_text}"), f"{base}/raw_sales",
+                  dates=[day])
         raw_day = scan_sales(spark, f"{base}/raw_sales", day, day, columns=list(RAW_COLUMNS),
                              schema=schemas.RAW_SALES_TABLE)
-        write_transformed(enrich(raw_day, day, day), f"{base}/transformed_sales", mode=mode)
+        write_transformed(enrich(raw_day, day, day), f"{base}/transformed_sales", mode=mode,
+                          dates=[day])
         transformed = scan_sales(spark, f"{base}/transformed_sales", day, day,
                                  schema=schemas.TRANSFORMED_SALES)
         stats = load_stats(transformed, day).first()

@@ -45,24 +45,30 @@ def land_raw(df: DataFrame, base: str, date) -> str:
 
 
 def write_raw(df: DataFrame, path: str, append: bool = False,
-              cluster_by=DEFAULT_CLUSTER) -> None:
+              cluster_by=DEFAULT_CLUSTER, dates=None) -> None:
     """K3: raw table partitioned by order_date with a created_at stamp.
-    ``append=True`` reproduces the original (rerun doubles a date)."""
+    ``append=True`` reproduces the original (rerun doubles a date). With
+    ``dates``, those dates are replaced even when the new data has no rows
+    for them."""
     out = df.withColumn("created_at", F.current_timestamp())
     out = _layout(out, "order_date", cluster_by, "order_id")
     (out.write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("order_date").parquet(path))
+    if dates and not append:
+        _drop_absent(df.sparkSession, path, "order_date", dates, df)
 
 
 def write_transformed(df: DataFrame, path: str, mode: str = "dynamic",
-                      cluster_by=DEFAULT_CLUSTER) -> None:
+                      cluster_by=DEFAULT_CLUSTER, dates=None) -> None:
     """K4: transformed table. ``dynamic`` replaces only the dates present;
     ``replace`` drops the whole table first (the original keeps one day)."""
     out = _layout(df, "order_date", cluster_by, "order_id")
     w = out.write.mode("overwrite").partitionBy("order_date")
     w = w.option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
     w.parquet(path)
+    if dates and mode != "replace":
+        _drop_absent(df.sparkSession, path, "order_date", dates, df)
 
 
 def write_summary(df: DataFrame, path: str, dates=None, append: bool = False) -> None:

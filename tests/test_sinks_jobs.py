@@ -130,3 +130,13 @@ def test_literal_modes_replace_and_append(spark, tmp_path):
     assert spark.read.parquet(raw_path).count() == 8                           # rerun doubles
     write_raw(_sales(spark, days=1), raw_path)
     assert spark.read.parquet(raw_path).count() == 4                           # default replaces
+
+
+def test_run_daily_empty_rerun_clears_the_day(spark, tmp_path):
+    raw = generate_sales(spark, RUN_DATE, 10, seed=5)
+    base = str(tmp_path / "wh")
+    assert run_daily(spark, raw, base, RUN_DATE, exact=False).first().status == "success"
+    err = run_daily(spark, raw.limit(0), base, RUN_DATE, exact=False).first()
+    assert err.status == "error" and err.error == "No records found for transformation"
+    assert spark.read.schema(schemas.RAW_SALES_TABLE).parquet(f"{base}/raw_sales").count() == 0
+    assert spark.read.schema(schemas.TRANSFORMED_SALES).parquet(f"{base}/transformed_sales").count() == 0
