@@ -6,7 +6,11 @@ number of shuffle records any single task read. With the plain window the
 hot customer's rows all land in one task; with ``order_sequence`` no task
 reads more than a share of them.
 
-    python tools/skew_check.py [rows]
+    python tools/skew_check.py [rows] [one-day]
+
+``one-day`` puts all the hot customer's rows on a single date, so the
+join-back key (customer, date) itself is hot; AQE's skew join then has to
+split it.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from ledgerline.session import build_session  # noqa: E402
 
 def main() -> None:
     n = int(sys.argv[1]) if len(sys.argv) > 1 else 3_000_000
+    one_day = len(sys.argv) > 2 and sys.argv[2] == "one-day"
     logdir = tempfile.mkdtemp(prefix="skewlog-")
     spark = build_session("local[8]", 16, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir,
@@ -35,6 +40,7 @@ def main() -> None:
         # keep AQE from folding the small test partitions into one
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": os.environ.get("FORCE_SKEW", "false"),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
     })
@@ -42,7 +48,9 @@ def main() -> None:
         F.col("id"),
         # every third row belongs to customer 0; the rest spread over 100k
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100_000 + 1).alias("customer_id"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 365).cast("int")).alias("order_date"))
+        F.date_add(F.lit("2024-01-01").cast("date"),
+                   F.when(F.lit(one_day) & (F.col("id") % 3 == 0), F.lit(0))
+                   .otherwise(F.col("id") % 365).cast("int")).alias("order_date"))
     jobs = {}
     sc = spark.sparkContext
     sc.setJobGroup("plain", "plain window")
