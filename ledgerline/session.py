@@ -36,6 +36,41 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths``, from a metadata listing
+    (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES,
+                 expansion: float = 3.0) -> int:
+    """Size the shuffle for the input at ``paths`` and return the partition
+    count.
+
+    Sets ``spark.sql.shuffle.partitions`` to the input size times
+    ``expansion`` (compressed columnar files grow when decoded into rows),
+    divided by ``target_bytes``, and never below the cluster's default
+    parallelism. The AQE advisory size and the scan split size are set to
+    ``target_bytes``, so each reduce task holds about that much data and AQE
+    merges the small partitions of selective queries.
+    """
+    size = input_bytes(spark, paths) * expansion
+    n = max(spark.sparkContext.defaultParallelism, -(-int(size) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    return n
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job output.
 

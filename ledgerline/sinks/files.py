@@ -95,8 +95,11 @@ def write_summary(df: DataFrame, path: str, dates=None, append: bool = False) ->
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """K7: the report rows as JSON (a few rows: one file)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """K7: the report rows as JSON in one file. The report has one row per
+    date, so one writer task is bounded. ``repartition(1)`` rather than
+    ``coalesce(1)``: the shuffle boundary keeps the aggregates and the join
+    above it parallel, where a coalesce would pull them into the one task."""
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None) -> DataFrame:

@@ -70,3 +70,23 @@ def test_ddl_creates_parquet_table(spark, tmp_path):
 def test_partitioned_scan_prunes(spark):
     plan = _plan(entry.queries()["partitioned_scan"](spark, SF))
     assert "PartitionFilters: [isnotnull(order_date" in plan and "1997-08-23" in plan
+
+
+def test_size_shuffle_from_listing(spark):
+    from ledgerline.session import input_bytes, size_shuffle
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.files.maxPartitionBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        size = input_bytes(spark, [f"{SF}/lineitem.parquet", f"{SF}/orders.parquet"])
+        assert size > 0
+        # 1 MB target: at least ceil(3 * size / 1 MB) partitions
+        n = size_shuffle(spark, [f"{SF}/lineitem.parquet", f"{SF}/orders.parquet"],
+                         target_bytes=1 << 20)
+        assert n == max(spark.sparkContext.defaultParallelism, -(-3 * size // (1 << 20)))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+        # a tiny input never goes below the default parallelism
+        assert size_shuffle(spark, f"{SF}/region.parquet") == spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
