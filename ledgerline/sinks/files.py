@@ -21,15 +21,21 @@ from ledgerline.operators.users import new_rows_by_key, to_user_rows
 DEFAULT_CLUSTER = ("region", "product")
 
 
-def _layout(df: DataFrame, partition_col: str, cluster_by=(), tiebreak: str | None = None,
-            partitions: int | None = None) -> DataFrame:
-    """Range-partition on (partition column, cluster columns, tiebreak) so
-    each task writes a contiguous slice: few files per date, and a hot date
-    is split across several tasks instead of landing in one. Sorting inside
-    the task gives tight parquet min/max statistics on the cluster columns."""
+def _layout(df: DataFrame, partition_col: str, cluster_by=(), tiebreak: str | None = None) -> DataFrame:
+    """Shuffle the rows so each date is written by as few tasks as its size
+    needs, then sort inside each task on (date, cluster columns, tiebreak)
+    for tight parquet min/max statistics on the cluster columns.
+
+    ``REBALANCE`` hash-partitions on the date, and AQE then splits a bucket
+    above the advisory size into several tasks (a date with a third of the
+    rows becomes many files of about that size) and merges small buckets, so
+    a quiet date is one file. Unlike a range repartition it needs no
+    sampling job, which computes the stage feeding the shuffle a second time
+    (for a JSON landing, the whole parse). The split needs AQE, which the
+    library's sessions enable; the streaming ingest, where AQE does not run,
+    keeps a range repartition."""
     order = [partition_col, *cluster_by] + ([tiebreak] if tiebreak else [])
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return df.hint("rebalance", partition_col).sortWithinPartitions(*order)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

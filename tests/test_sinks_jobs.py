@@ -140,3 +140,40 @@ def test_run_daily_empty_rerun_clears_the_day(spark, tmp_path):
     assert err.status == "error" and err.error == "No records found for transformation"
     assert spark.read.schema(schemas.RAW_SALES_TABLE).parquet(f"{base}/raw_sales").count() == 0
     assert spark.read.schema(schemas.TRANSFORMED_SALES).parquet(f"{base}/transformed_sales").count() == 0
+
+
+def test_layout_splits_hot_date_and_keeps_quiet_dates_whole(spark, tmp_path):
+    """A third of the rows on one date: that date is written by several
+    tasks; every other date is one file; no row is lost."""
+    import glob
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")
+    before = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        n = 90_000
+        hot = F.col("id") % 3 == 0
+        raw = spark.range(0, n, 1, 4).select(
+            F.col("id").alias("order_id"), (F.col("id") % 500).alias("customer_id"),
+            F.concat(F.lit("Widget "), (F.col("id") % 7).cast("string")).alias("product"),
+            (F.col("id") % 5 + 1).alias("quantity"), F.lit(20.0).alias("price"),
+            ((F.col("id") % 5 + 1) * 20.0).alias("total_amount"),
+            F.date_add(F.lit(dt.date(2024, 1, 1)),
+                       F.when(hot, F.lit(0)).otherwise(F.col("id") % 30 + 1).cast("int")).alias("order_date"),
+            F.lit("North").alias("region"), F.lit("Online").alias("channel"))
+        path = str(tmp_path / "t")
+        write_transformed(enrich(raw, stamp=False, with_sequence=False), path)
+        files = {}
+        for f in glob.glob(f"{path}/order_date=*/*.parquet"):
+            files.setdefault(f.split("/")[-2], []).append(f)
+        bucket = {str(r.order_date): r.b for r in raw.select("order_date").distinct().select(
+            "order_date", F.pmod(F.hash("order_date"), F.lit(64)).alias("b")).collect()}
+        hot_bucket = bucket["2024-01-01"]
+        assert len(files["order_date=2024-01-01"]) >= 2
+        # a date that shares the hot date's hash bucket is split with it
+        assert all(len(v) == 1 for k, v in files.items()
+                   if bucket[k.split("=")[1]] != hot_bucket)
+        assert spark.read.parquet(path).count() == n
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
