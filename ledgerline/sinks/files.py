@@ -58,11 +58,10 @@ def write_raw(df: DataFrame, path: str, append: bool = False,
     for them."""
     out = df.withColumn("created_at", F.current_timestamp())
     out = _layout(out, "order_date", cluster_by, "order_id")
-    (out.write.mode("append" if append else "overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("order_date").parquet(path))
-    if dates and not append:
-        _drop_absent(df.sparkSession, path, "order_date", dates, df)
+    w = (out.write.mode("append" if append else "overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("order_date"))
+    _overwrite_dates(df.sparkSession, path, "order_date", None if append else dates,
+                     lambda: w.parquet(path))
 
 
 def write_transformed(df: DataFrame, path: str, mode: str = "dynamic",
@@ -72,9 +71,8 @@ def write_transformed(df: DataFrame, path: str, mode: str = "dynamic",
     out = _layout(df, "order_date", cluster_by, "order_id")
     w = out.write.mode("overwrite").partitionBy("order_date")
     w = w.option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
-    w.parquet(path)
-    if dates and mode != "replace":
-        _drop_absent(df.sparkSession, path, "order_date", dates, df)
+    _overwrite_dates(df.sparkSession, path, "order_date", None if mode == "replace" else dates,
+                     lambda: w.parquet(path))
 
 
 def write_summary(df: DataFrame, path: str, dates=None, append: bool = False) -> None:
@@ -92,12 +90,11 @@ def write_summary(df: DataFrame, path: str, dates=None, append: bool = False) ->
     # key would be dropped as redundant after the aggregate, and AQE would
     # then fold the tiny aggregate into one task writing every folder in turn.
     writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartitionByRange(writers, "summary_date").write
-        .mode("append" if append else "overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("summary_date").parquet(path))
-    if dates and not append:
-        _drop_absent(df.sparkSession, path, "summary_date", dates, df)
+    w = (out.repartitionByRange(writers, "summary_date").write
+         .mode("append" if append else "overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("summary_date"))
+    _overwrite_dates(df.sparkSession, path, "summary_date", None if append else dates,
+                     lambda: w.parquet(path))
 
 
 def write_report(df: DataFrame, path: str) -> None:
@@ -191,12 +188,37 @@ def _delete_partitions(spark: SparkSession, path: str, col: str, dates) -> int:
     return n
 
 
-def _drop_absent(spark: SparkSession, path: str, col: str, dates, df: DataFrame) -> None:
-    """Dates asked for whose rerun produced no rows lose their old folder."""
-    present = {r[0] for r in df.select(col).distinct().limit(len(dates) + 1).collect()}
-    absent = [d for d in dates if to_date_value(d) not in present]
-    if absent:
-        _delete_partitions(spark, path, col, absent)
+def _listing(spark: SparkSession, path: str, col: str, dates) -> dict:
+    """File names in each requested date folder that exists (metadata only)."""
+    fs, root, jvm = _fs(spark, path)
+    out = {}
+    for d in dates:
+        p = jvm.org.apache.hadoop.fs.Path(root, f"{col}={to_date_value(d).isoformat()}")
+        if fs.exists(p):
+            out[to_date_value(d)] = frozenset(st.getPath().getName() for st in fs.listStatus(p))
+    return out
+
+
+def _overwrite_dates(spark: SparkSession, path: str, col: str, dates, write) -> None:
+    """Run ``write`` (a dynamic partition overwrite) so that every requested
+    date ends up holding exactly what the write produced for it.
+
+    Dynamic overwrite replaces each folder the write produced, under new file
+    names (every job's files carry a fresh id), and leaves the others alone.
+    A requested folder whose file names did not change was therefore not
+    written this time: its date had no rows, and its old folder is dropped.
+    The check lists one folder per requested date and never computes the
+    input again.
+    """
+    if not dates:
+        write()
+        return
+    before = _listing(spark, path, col, dates)
+    write()
+    after = _listing(spark, path, col, list(before))
+    stale = [d for d, names in before.items() if after.get(d) == names]
+    if stale:
+        _delete_partitions(spark, path, col, stale)
 
 
 def expire(spark: SparkSession, path: str, as_of, days: int, col: str = "order_date") -> int:

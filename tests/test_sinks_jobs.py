@@ -177,3 +177,19 @@ def test_layout_splits_hot_date_and_keeps_quiet_dates_whole(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_requested_date_kept_when_frame_has_more_dates(spark, tmp_path):
+    """Asking to replace one date of a multi-date frame keeps every date the
+    frame wrote; only a requested date with no rows loses its folder."""
+    path = str(tmp_path / "t")
+    enr = enrich(_sales(spark, days=6), stamp=False)
+    write_transformed(enr, path)
+    last = dt.date(2024, 1, 6)
+    write_transformed(enr, path, dates=[last])
+    assert last in partition_dates(spark, path, "order_date")
+    assert spark.read.parquet(path).count() == 24
+    # rerun of Jan 3 with no rows: that folder goes, the others stay
+    write_transformed(enr.filter("order_date = '2030-01-01'"), path, dates=[dt.date(2024, 1, 3)])
+    assert dt.date(2024, 1, 3) not in partition_dates(spark, path, "order_date")
+    assert len(partition_dates(spark, path, "order_date")) == 5
