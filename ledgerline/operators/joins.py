@@ -11,8 +11,12 @@ _CHECKED: dict = {}
 def fits(df: DataFrame, max_rows: int, cache_key=None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops after max_rows + 1 rows, so the
-    check costs at most that much whatever the table size. ``cache_key``
+    ``limit(max_rows + 1).count()`` runs a local limit in every task: each
+    task stops reading after max_rows + 1 rows and only a count reaches the
+    driver. The check therefore reads at most one pass over ``df`` and at
+    most tasks x (max_rows + 1) rows, so it belongs on the side that is meant
+    to be small (a dimension table, an incoming batch), never on the large
+    table it is joined to. ``cache_key``
     (e.g. the table path) remembers the answer for the life of the
     application, so a static dimension table is checked once.
     """
@@ -40,7 +44,7 @@ def anti_join_keys(left: DataFrame, right_keys: DataFrame, key: str,
     A left-anti join can only build on the right side, so joining a small
     batch against a huge key table would shuffle every stored key. When the
     left side has at most ``max_broadcast_rows`` rows (so at most that many
-    keys; the check stops reading after that many rows) its keys are
+    keys; each task of the check stops reading after that many rows) its keys are
     broadcast to cut the right side down first (a semi-join streamed over
     the key table, no shuffle), and the anti-join then meets only the
     matches. Above the bound: a plain shuffle anti-join (AQE splits skew).
