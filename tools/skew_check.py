@@ -118,6 +118,14 @@ def main() -> None:
         # keep AQE from folding the small test partitions into one
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        # AQE cuts a skewed partition into pieces of at least the advisory
+        # size (64 MB by default); scale it down with the test data, or a
+        # 30 MB hot partition stays one piece
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        # a hot key's rows compress well, so its partition is only ~5x the
+        # median in bytes here (8x in records); at scale a third of the data
+        # exceeds any factor
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": os.environ.get("FORCE_SKEW", "false"),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
