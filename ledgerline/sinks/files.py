@@ -32,8 +32,7 @@ def _layout(df: DataFrame, partition_col: str, cluster_by=(), tiebreak: str | No
     a quiet date is one file. Unlike a range repartition it needs no
     sampling job, which computes the stage feeding the shuffle a second time
     (for a JSON landing, the whole parse). The split needs AQE, which the
-    library's sessions enable; the streaming ingest, where AQE does not run,
-    keeps a range repartition."""
+    library's sessions enable."""
     order = [partition_col, *cluster_by] + ([tiebreak] if tiebreak else [])
     return df.hint("rebalance", partition_col).sortWithinPartitions(*order)
 

@@ -24,20 +24,21 @@ def ingest_new_files(spark: SparkSession, source_dir: str, target: str, checkpoi
     table at ``target`` (partitioned by order_date, stamped created_at).
     Returns the number of rows this run added.
 
-    Each micro-batch is range-partitioned on (order_date, order_id) over
-    ``writers`` tasks: a task writes a contiguous run of dates (one file
-    per date instead of one per date per input file), and a date with a
-    third of the rows is cut into several slices rather than one task.
+    Each micro-batch is rebalanced on order_date, the first of
+    ``order_cols`` (a streaming frame cannot be sorted). A date lands in one
+    bucket, so it becomes one file instead of one per input file that holds
+    it. AQE, which runs inside the micro-batches of a stateless query, cuts
+    a bucket holding a third of the rows into several tasks and merges small
+    ones. Unlike a range repartition there is no sampling job, which would
+    read and parse every micro-batch twice. ``writers`` sets the bucket count
+    (default ``spark.sql.shuffle.partitions``).
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     n = writers or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The row count is observed after the range shuffle: the partitioner's
-    # sampling pass reads the batch too, so the source's numInputRows counts
-    # every row twice.
     stream = (reader.load(source_dir).withColumn("created_at", F.current_timestamp())
-              .repartitionByRange(n, *order_cols)
+              .hint("rebalance", n, order_cols[0])
               .observe("ingested", F.count(F.lit(1)).alias("rows")))
     query = (stream.writeStream.format("parquet")
              .option("path", target)
