@@ -90,3 +90,14 @@ def test_size_shuffle_from_listing(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_table_write_layout_rebalances_without_range_sampling(spark):
+    """Partitioned writes shuffle by a rebalance on the date (AQE may split
+    or merge it), never by a range repartition, whose sampling job would
+    compute the input a second time."""
+    from ledgerline.sinks.files import _layout
+    raw = entry.queries()["scan_backfill"](spark, SF)
+    plan = _plan(_layout(raw, "order_date", ("region", "product"), "order_id"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "rangepartitioning" not in plan.lower()
