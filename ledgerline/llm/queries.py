@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import tokens
+from ledgerline.llm import quality, tokens
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -27,8 +27,13 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
+    "op3_quality_rules": op3_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
