@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality, tokens
+from ledgerline.llm import quality, simhash, tokens
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -31,9 +31,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
+    "op6_simhash_dedup": op6_simhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
