@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality, simhash, tokens
+from ledgerline.llm import decontaminate, quality, simhash, tokens
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -31,6 +31,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"),
+                                              table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
 }
 
