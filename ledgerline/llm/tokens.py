@@ -26,6 +26,7 @@ import hashlib
 import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +42,9 @@ FORMAT = "token-shard-1"
 NO_DICTIONARY = "0" * 64
 #: Distinct words whose ids a Python worker keeps; past it the cache is
 #: emptied and fills again, which changes time, not results.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: Text bytes that are encoded at once in a task.
+ENCODE_BYTES = 16 << 20
 READ_BYTES = 4 << 20
 
 MANIFEST_SCHEMA = ("shard long, name string, n_docs long, n_tokens long, "
@@ -51,9 +54,9 @@ DIGEST_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 @dataclass(frozen=True)
 class DictionarySample:
-    """Bounds of the dictionary's training sample: the documents with the
-    smallest id hashes, and how much of each text the training looks at.
-    Only compression ratio depends on it."""
+    """Bounds of the dictionary's training sample: how many documents, drawn
+    by id hash from the first partitions, and how much of each text the
+    training looks at. Only compression ratio depends on it."""
 
     documents: int = 512
     chars_each: int = 8192
@@ -68,34 +71,96 @@ class TokenFormat:
     level: int = 3
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes every byte as a printable letter: printable
+    Latin-1 bytes as themselves, the rest as the letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class Encoder:
-    """ids of a text, as bytes. The pre-tokenizer never joins characters
-    across ASCII white space, so a text's ids are its white-space-separated
-    chunks' ids in turn; each distinct chunk is encoded once per worker."""
+    """Ids of texts, without end ids. The tokenizer never joins characters across ASCII white
+    space and ignores ASCII case, so a text's ids are the ids of its
+    lower-cased chunks in turn; it also parts letters from punctuation.
+    Chunks are dictionary-encoded in Arrow, and each distinct one goes to the
+    tokenizer once per worker: plain lower-case Latin words straight to its
+    model, anything else through its whole pipeline."""
 
     def __init__(self, fmt: TokenFormat):
         from tokenizers import Tokenizer
 
         self.dtype = np.dtype(f"<u{fmt.id_width}")
+        self.code = {1: "B", 2: "H", 4: "I"}[fmt.id_width]
         self.tokenizer = Tokenizer.from_file(fmt.tokenizer)
-        self.end = np.array([fmt.end_id], self.dtype).tobytes()
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        chunked = [t.split() if t else [] for t in texts]
-        new = list(set().union(*chunked).difference(self.known)) if chunked else []
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(set().union(*chunked))
-        # Joined by spaces, many chunks are encoded in one call; each token's
-        # word start tells which chunk it came from.
-        for k in range(0, len(new), 4096):
-            part = [c.decode("utf-8") for c in new[k:k + 4096]]
-            for chunk, enc in zip(new[k:k + 4096], self.tokenizer.encode_batch_fast(
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {}
+        # Special tokens are matched before lower-casing.
+        self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a run of letters that needs no normalising."""
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return self._pack([t.id for t in self.model.tokenize(word)])
+
+    def _learn(self, chunks: list[str]) -> None:
+        known, whole = self.known, []
+        for chunk in chunks:
+            core = chunk[:-1] if chunk[-1] in ".,!?:;" else chunk
+            # Below U+0250 letters are in composed form already.
+            if core.isalpha() and max(core) < "\u0250" and core.islower():
+                if core not in known:
+                    known[core] = self._word(core)
+                if core is not chunk:
+                    mark = chunk[-1]
+                    if mark not in known:
+                        known[mark] = self._pack(
+                            self.tokenizer.encode(mark, add_special_tokens=False).ids)
+                    known[chunk] = known[core] + known[mark]
+            else:
+                whole.append(chunk)
+        for k in range(0, len(whole), 4096):
+            part = whole[k:k + 4096]
+            for chunk, enc in zip(part, self.tokenizer.encode_batch_fast(
                     part, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(enc.ids, self.dtype).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) + self.end for c in chunked]
+                known[chunk] = self._pack(enc.ids)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in turn, offsets of each text's ids)."""
+        import pyarrow.compute as pc
+
+        if texts.offset:  # pyarrow's ascii_lower misreads a slice
+            texts = pa.array(texts.to_pylist(), pa.large_string())
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        lower = pc.ascii_lower(texts)
+        for mark in self.marks:
+            lower = pc.if_else(pc.match_substring(texts, mark), texts, lower)
+        chunked = pc.ascii_split_whitespace(lower)
+        coded = chunked.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        self.known[""] = b""
+        packed = list(map(self.known.get, distinct))
+        new = [k for k, p in enumerate(packed) if p is None]
+        self._learn([distinct[k] for k in new])
+        for k in new:
+            packed[k] = self.known[distinct[k]]
+        sizes = np.fromiter(map(len, packed), np.int32, len(packed)) // self.dtype.itemsize
+        table = np.frombuffer(b"".join(packed), self.dtype)
+        # Lay the chunks' ids end to end.
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        shift = (np.cumsum(sizes, dtype=np.int64) - sizes)[codes] - ends[:-1]
+        ids = table[np.arange(ends[-1]) + np.repeat(shift, n)]
+        offsets = chunked.offsets.to_numpy()
+        return ids, ends[offsets - offsets[0]]
 
 
 def worker_encoder(fmt: TokenFormat) -> Encoder:
@@ -110,17 +175,34 @@ def train_dictionary(docs: DataFrame, fmt: TokenFormat, sample: DictionarySample
     (empty if the corpus is too small to train one)."""
     import zstandard as zstd
 
-    rows = (docs.where(F.col("text").isNotNull())
-            .select(F.xxhash64("doc_id").alias("_h"),
-                    F.substring("text", 1, sample.chars_each).alias("_t"))
-            .orderBy("_h", "_t").limit(sample.documents).collect())
-    samples = [s for s in Encoder(fmt).encode([r._t.encode("utf-8") for r in rows]) if len(s) > 16]
+    # A share by id hash that holds some times the wanted rows, so that
+    # reading stops after the first partitions.
+    share = min(1.0, 8 * sample.documents / max(1, docs.count()))
+    rows = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+            .select(F.substring("text", 1, sample.chars_each).alias("_t"))
+            .limit(sample.documents).collect())
+    ids, ends = Encoder(fmt).encode(pa.array([r._t for r in rows], pa.string()))
+    samples = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True) if b - a > 8]
     try:
         return zstd.train_dictionary(sample.dictionary_bytes, samples, k=128, d=8).as_bytes()
     except (zstd.ZstdError, ValueError):
         return b""
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Non-empty batches, small ones joined up to ``size`` bytes."""
+    held, held_bytes = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            held_bytes += batch.nbytes
+        if held_bytes >= size:
+            yield pa.concat_batches(held)
+            held, held_bytes = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_tokens(docs: DataFrame, folder: str, fmt: TokenFormat,
                  sample: DictionarySample = DictionarySample()) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into ``folder``; returns the manifest."""
@@ -140,22 +222,22 @@ def write_tokens(docs: DataFrame, folder: str, fmt: TokenFormat,
         encoder = worker_encoder(fmt)
         zdict = zstd.ZstdCompressionDict(dictionary) if dictionary else None
         pack = zstd.ZstdCompressor(level=fmt.level, dict_data=zdict, write_content_size=True)
+        end = np.array([fmt.end_id], encoder.dtype).tobytes()
         shard = TaskContext.get().partitionId()
         fs, path = open_fs(folder)
         name, out = f"shard-{shard:07d}-{uuid.uuid4().hex[:12]}", None
         ids, nulls, offsets, starts = [], [], [0], [0]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _gathered(batches, ENCODE_BYTES):
             out = out or fs.open_output_stream(f"{path}/{name}.bin")
             column = batch.column("doc_id")
             ids.append(column.fill_null(0).to_numpy(zero_copy_only=False))
             nulls.append(column.is_null().to_numpy(zero_copy_only=False).astype(np.int64))
-            for ids_of_doc in encoder.encode(batch.column("text").cast(pa.binary()).to_pylist()):
-                frame = pack.compress(ids_of_doc)
+            tokens, ends = encoder.encode(batch.column("text"))
+            starts += (ends[1:] + np.arange(1, len(ends)) + starts[-1]).tolist()
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                frame = pack.compress(tokens[a:b].tobytes() + end)
                 out.write(frame)
                 offsets.append(offsets[-1] + len(frame))
-                starts.append(starts[-1] + len(ids_of_doc) // fmt.id_width)
         if out is None:
             return
         out.close()
