@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, quality, simhash, tokens
+from ledgerline.llm import decontaminate, mixing, quality, simhash, tokens
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -40,11 +40,16 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
