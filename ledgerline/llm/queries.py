@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, mixing, quality, simhash, tokens
+from ledgerline.llm import decontaminate, html_text, mixing, pii, quality, simhash, tokens, warc
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -31,6 +31,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"),
                                               table(spark, sf_dir, "benchmark"))
@@ -44,12 +51,37 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.html_report(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op3_quality_rules": op3_quality_rules,
+    "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_mixing": op7_mixing,
+    "op9_pii": op9_pii,
+    "op10_html_text": op10_html_text,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+  FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM firsts""",
+}
