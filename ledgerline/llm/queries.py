@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, html_text, mixing, pii, quality, simhash, tokens, warc
+from ledgerline.llm import decontaminate, html_text, mixing, pii, quality, simhash, tokens, toxicity, warc
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -27,6 +27,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
+    "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
