@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, html_text, mixing, pii, quality, simhash, tokens, toxicity, warc
+from ledgerline.llm import decontaminate, html_text, language_model, mixing, pii, quality, simhash, tokens, toxicity, warc
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -55,6 +55,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.language_model_report(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_mixing": op7_mixing,
+    "op8_language_model": op8_language_model,
     "op9_pii": op9_pii,
     "op10_html_text": op10_html_text,
 }
