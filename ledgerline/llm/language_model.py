@@ -6,7 +6,8 @@ rank into classes; all other words fall into tail classes by a hash of their
 last letters. A token's probability is P(class | context) times P(token |
 class, context) for vocabulary words, or times the word's smoothed count
 share of its tail class. Both softmaxes sum weight rows of hashed features:
-the word before, the word before that (skip), and the two together.
+the word before and the word before that (skip), for the class also the two
+together.
 
 Training. Every training document is visited once, in ``rounds`` growing
 shares by hash: each task runs Adagrad over its documents from the shared
@@ -276,7 +277,7 @@ class Tokens:
         mine = outcome[word_at] << 44
         return Tokens(doc, outcome, ids % shape.class_words,
                       [_mix(c, 0, shape.class_bits) for c in contexts],
-                      word_at, [_mix(c[word_at] + mine, 1, shape.word_bits) for c in contexts])
+                      word_at, [_mix(c[word_at] + mine, 1, shape.word_bits) for c in contexts[:2]])
 
 
 def _softmax(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -326,8 +327,12 @@ class Learner:
             at = r[first]
             times = np.diff(np.append(first, len(r)))
             # Rows move along their mean gradient, often-touched rows by more.
-            move = np.add.reduceat(g[order], first, axis=0)
-            move /= np.sqrt(times)[:, None]
+            move = g[order[first]]
+            if (many := times > 1).any():
+                inside = np.repeat(many, times)
+                begin = np.concatenate(([0], np.cumsum(times[many])[:-1]))
+                move[many] = (np.add.reduceat(g[order[inside]], begin, axis=0)
+                              / np.sqrt(times[many], dtype=np.float32)[:, None])
             self.squares[k][at] += np.einsum("ij,ij->i", move, move)
             move *= (self.shape.rate / np.sqrt(self.squares[k][at]))[:, None]
             table[at] -= move
