@@ -190,7 +190,10 @@ def pii_report(docs: DataFrame) -> DataFrame:
     """doc_id, a count per base kind, base_sha256, spans."""
     found = with_spans(docs.select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
-    counts = [F.size(F.filter("pii", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in BASE_KINDS]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"),
                         _joined(F.col("pii")).alias("spans"))

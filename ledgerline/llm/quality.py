@@ -170,17 +170,17 @@ def judge(docs: DataFrame, rules=RULES, report: tuple[str, ...] = (),
         passed = ~rule.condition()
         df = df.withColumn("__q_kept", passed if alive is None else alive & passed)
         alive = F.col("__q_kept")
-    return df if order else df.withColumn("__q_kept", F.lit(True))
+    if not order:
+        return df.withColumn("__q_kept", F.lit(True))
+    # A generator keeps filters on the verdict above the cascade: pushed
+    # below, they would inline, and so repeat, every shared feature.
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != "__q_kept"],
+                     F.explode(F.array("__q_kept")).alias("__q_kept"))
 
 
-def keep(docs: DataFrame, rules=RULES) -> DataFrame:
+def keep(docs: DataFrame, rules=RULES, order: list[Rule] | None = None) -> DataFrame:
     """The documents that no rule rejects, with the input's columns."""
-    judged = judge(docs, rules)
-    # A generator keeps the filter above the cascade: pushed below, it would
-    # inline, and so repeat, the shared features in its condition.
-    return (judged.select(*[F.col(f"`{c}`") for c in docs.columns],
-                          F.explode(F.array("__q_kept")).alias("__q_keep"))
-            .where("__q_keep").drop("__q_keep"))
+    return judge(docs, rules, order=order).where("__q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def quality_report(docs: DataFrame, rules=RULES) -> DataFrame:
