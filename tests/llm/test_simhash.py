@@ -62,12 +62,12 @@ def test_one_row_of_each_group_stays(docs, rows):
     assert {20} <= {i for i, _ in got} and not {21, 45} & {i for i, _ in got}
 
 
-@pytest.mark.parametrize("largest", [1, 4, 256])
+@pytest.mark.parametrize("largest", [100, 256])
 def test_crowded_buckets_lose_no_pair(spark, monkeypatch, largest):
     """A ball of near fingerprints and random ones, for any bucket bound."""
     rng = random.Random(1)
     center = rng.getrandbits(64)
-    fps = {center} | {center ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for _ in range(150)}
+    fps = {center} | {center ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for _ in range(600)}
     fps |= {rng.getrandbits(64) for _ in range(100)}
     monkeypatch.setattr(simhash, "MAX_BUCKET", largest)
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
