@@ -65,6 +65,8 @@ FURNITURE_STARTS = ("advert", "banner", "breadcrumb", "comment", "consent", "coo
                     "disqus", "foot", "masthead", "menu", "nav", "newsletter", "notice", "notif",
                     "paginat", "promo", "recommend", "related", "replies", "respond", "share",
                     "sidebar", "social", "sponsor", "subscri", "widget")
+#: Readers may write more than the author: no size saves these.
+COMMENTS = re.compile(r"comment|disqus|repl(?:y|ies)|respond", re.I)
 HEADER_STARTS = ("header", "topbar")
 CONTENT_NAMES = frozenset("article content entry main post story text body".split())
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -206,8 +208,10 @@ def _prune(root: Node) -> list[Node]:
             if not isinstance(c, str):
                 if _is_furniture(c):
                     by_name = c.tag not in FURNITURE
-                    if not by_name or not (id(c) in holds or 2 * (c.size - c.linked) > running > 0
-                                           and c.tag not in PARAGRAPHS and c.linked * 4 < c.size):
+                    wraps = id(c) in holds or (2 * (c.size - c.linked) > running > 0
+                                               and c.tag not in PARAGRAPHS and 4 * c.linked < c.size
+                                               and not COMMENTS.search(c.attrs))
+                    if not (by_name and wraps):
                         continue
                 queue.append(c)
             kept.append(c)
