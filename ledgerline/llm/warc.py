@@ -174,16 +174,16 @@ def _starts(file, begin: int, end: int, limit: int) -> list[tuple[int, int]]:
         if head is None:
             continue
         follows = head[1] + int(head[0]["content-length"]) + 4
-        if follows >= end:
-            leaves[at] = follows
-        elif follows in leaves:
-            leaves[at] = leaves[follows]
+        # A place that follows inside the block but isn't one ends the chain
+        # there; reading it is an error if the chain is the true one.
+        leaves[at] = leaves.get(follows, follows)
     return list(leaves.items())
 
 
 def chain_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(name, bytes, offset): where the chain from each file's start enters
-    the file's blocks."""
+    the file's blocks. A true chain that breaks leads to an entry that is no
+    record, which reading reports."""
     blocks = manifest.select("name", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.greatest("bytes", F.lit(1)) - 1) / block_bytes))).alias("block"))
     blocks = blocks.repartition("name", "block")
@@ -196,7 +196,7 @@ def chain_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYT
                 with fs.open_input_file(f"{path}/{name}") as file:
                     found = _starts(file, begin, min(begin + block_bytes, size), size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(found)), pa.array([size] * len(found), pa.int64()),
+                    [pa.array([name] * len(found), pa.string()), pa.array([size] * len(found), pa.int64()),
                      pa.array([a for a, _ in found], pa.int64()),
                      pa.array([b for _, b in found], pa.int64())],
                     ["name", "bytes", "offset", "leaves"])
@@ -206,17 +206,15 @@ def chain_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYT
     # Only places that some chain leads to can be entries.
     led = places.where("leaves < bytes").select("name", F.col("leaves").alias("offset")).distinct()
     jumps = places.join(led, ["name", "offset"], "left_semi").select("name", "offset", "leaves")
-    start = places.where("offset = 0")
-    reached = start.select("name", "bytes", "offset")
-    first = start.where("leaves < bytes").select("name", "bytes", F.col("leaves").alias("offset"))
-    reached = reached.unionByName(first.join(jumps, ["name", "offset"], "left_semi"))
+    start = manifest.where("bytes > 0").select("name", "bytes", F.lit(0).cast("long").alias("offset"))
+    first = (start.join(places.select("name", "offset", "leaves"), ["name", "offset"])
+             .where("leaves < bytes").select("name", "bytes", F.col("leaves").alias("offset")))
+    reached = start.unionByName(first)
     most = manifest.agg(F.max("bytes")).first()[0] or 1
     rounds = math.ceil(math.log2(-(-most // block_bytes))) if most > block_bytes else 0
     for _ in range(rounds):
         further = (reached.join(jumps, ["name", "offset"]).where("leaves < bytes")
                    .select("name", "bytes", F.col("leaves").alias("offset")))
-        # A place that leads nowhere is no record: only real places are entered.
-        further = further.join(places.select("name", "offset"), ["name", "offset"], "left_semi")
         reached = reached.unionByName(further).distinct().checkpoint()
         onward = jumps.select("name", F.col("offset").alias("leaves"), F.col("leaves").alias("to"))
         jumps = (jumps.join(onward, ["name", "leaves"]).select("name", "offset", F.col("to").alias("leaves"))
