@@ -42,9 +42,9 @@ FORMAT = "token-shard-1"
 NO_DICTIONARY = "0" * 64
 #: Distinct words whose ids a Python worker keeps; past it the cache is
 #: emptied and fills again, which changes time, not results.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 #: Text bytes that are encoded at once in a task.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 READ_BYTES = 4 << 20
 
 MANIFEST_SCHEMA = ("shard long, name string, n_docs long, n_tokens long, "
