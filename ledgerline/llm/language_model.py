@@ -186,8 +186,9 @@ def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
             rows, size = batch.num_rows, np.diff(offsets) + 1
             deep = (n == 0)[codes]
             in_tail = (model_id >= vocabulary)[codes] & ~deep
-            log_local = np.bincount(doc[~deep], log_n[codes[~deep]], rows)
-            log_tail = np.bincount(doc[in_tail], log_n[codes[in_tail]], rows)
+            # Without any word, bincount counts in integers.
+            log_local = np.bincount(doc[~deep], log_n[codes[~deep]], rows).astype(float)
+            log_tail = np.bincount(doc[in_tail], log_n[codes[in_tail]], rows).astype(float)
             n_local = np.bincount(doc[~deep], minlength=rows)
             if end_n:
                 log_local += np.log10(end_n + 0.1)

@@ -161,6 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     small_batches(docs.sparkSession)
     row = (training_rows(docs, labels, how).coalesce(1)
            .mapInArrow(run, "bias double, weights binary").first())
+    if row is None:  # an empty table may have no task at all
+        return fit(pa.array([], pa.string()), np.zeros(0), how)
     return Model(how.bits, how.sizes, row["bias"], np.frombuffer(row["weights"], "<f4").astype(float))
 
 

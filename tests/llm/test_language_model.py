@@ -1,0 +1,72 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import language_model as L
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SMALL = L.Shape(classes=8, class_words=8, tail_classes=4, class_bits=9, word_bits=10, local_words=100)
+
+
+def brute(rows):
+    tokens = [[*WORD.findall((r[1] or "").translate(LOWER)), " "] for r in rows]
+    held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in rows]
+    counts = Counter(w for t, h in zip(tokens, held) if not h for w in t)
+    n, v = sum(counts.values()), len(counts)
+    return [(h, len(t), sum(counts[w] > 0 for w in t), n,
+             sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t))
+            for t, h in zip(tokens, held)]
+
+
+@pytest.mark.parametrize("shape", [SMALL, L.Shape(class_bits=9, word_bits=9)])
+def test_counts_and_base_score_equal_brute_force(docs, rows, shape):
+    got = L.language_model_report(docs, shape).collect()
+    key = lambda r: (str(r[0]), *r[1:5], round(r[5], 6))
+    want = sorted(key((r[0], *b)) for r, b in zip(rows, brute(rows)))
+    have = sorted(key((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score)) for r in got)
+    assert [w[:5] for w in want] == [h[:5] for h in have]
+    assert np.allclose([w[5] for w in want], [h[5] for h in have], rtol=1e-9, atol=1e-5)
+    assert all(r.score < 0 for r in got)
+
+
+def test_context_beats_counts(spark):
+    """Words follow a rule that only context shows."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        w, text = rng.randrange(30), []
+        for _ in range(80):
+            text.append(f"t{w}")
+            w = (7 * w + rng.choice((1, 2))) % 30
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = [r for r in L.language_model_report(docs, SMALL).collect() if r.held_out]
+    n = sum(r.n_tokens for r in held)
+    assert sum(r.score for r in held) / n > sum(r.base_score for r in held) / n + 0.3
+
+
+def test_probabilities_add_up():
+    """Over all vocabulary words and tail classes, in any context."""
+    rng = np.random.default_rng(0)
+    counts = L.Counts({}, 100, 64, (5,) * 4, (2,) * 4, tuple(range(64, 0, -1)))
+    w = L.Weights.start(SMALL, counts)
+    w.flat[:] += rng.normal(0, 0.3, len(w.flat)).astype(np.float32)
+    total = 0.0
+    for last in range(SMALL.vocabulary + SMALL.tail_classes):
+        t = L.Tokens.of([np.array([3, 9, last], "<u2").tobytes()], SMALL)
+        total += 10 ** L.log_probabilities(t, w)[2]
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_edges(spark, empty):
+    assert L.language_model_report(empty, SMALL).count() == 0
+    held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    docs = spark.createDataFrame([(i, t) for i, t in zip(held, ("a b", None, "a"))], "doc_id long, text string")
+    got = sorted(map(tuple, L.language_model_report(docs, SMALL).collect()))
+    assert [(r[2], r[3], r[4], r[5]) for r in got] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0), (2, 0, 0, 0.0)]
