@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import decontaminate, html_text, language_model, mixing, pii, quality, simhash, tokens, toxicity, warc
 from ledgerline.llm.common import table
+from ledgerline.llm.oracle import ORACLE_SQL
 from ledgerline.session import scratch_path
 
 
@@ -67,6 +68,8 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.html_report(table(spark, sf_dir, "pages"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_toxicity": op2_toxicity,
@@ -79,19 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_html_text": op10_html_text,
 }
-
-ORACLE_SQL: dict[str, str] = {
-    "op4_warc": """
-WITH payloads AS (
-  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
-         sha256(coalesce(html, '')) AS payload_digest
-  FROM pages),
-firsts AS (
-  SELECT *, CASE WHEN payload_bytes >= 100
-                 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
-  FROM payloads)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN page_id > first_id THEN first_id END AS refers_to
-FROM firsts""",
-}
