@@ -195,10 +195,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataF
     labels = components(close_pairs(nodes.select("fp"), max_bits))
     grouped = (nodes.join(labels.withColumnRenamed("node", "fp"), "fp")
                .select("fp", "label", "first"))
-    heads = grouped.groupBy("label").agg(F.min("first").alias("head"))
-    linked = grouped.join(heads, "label").select("fp", "head")
-    per_fp = (nodes.join(linked, "fp", "left")
-              .select("fp", F.coalesce("head", "first").alias("first")))
+    # Written tables on both sides of a join leave it to AQE to split a hot
+    # group: a large component, or a fingerprint with many copies.
+    heads = stored(grouped.groupBy("label").agg(F.min("first").alias("head")), "fingerprint-heads")
+    linked = stored(grouped, "fingerprint-groups").join(heads, "label").select("fp", "head")
+    per_fp = stored(nodes.join(linked, "fp", "left")
+                    .select("fp", F.coalesce("head", "first").alias("first")), "fingerprint-first")
     return marked.join(per_fp, "fp").select("doc_id", "text_hash", "fp", "first")
 
 
