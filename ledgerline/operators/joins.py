@@ -34,26 +34,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int, cache_key=None) -> DataFram
     bound the frame is returned unhinted and the planner / AQE picks a
     shuffle join."""
     return F.broadcast(df) if fits(df, max_rows, cache_key) else df
-
-
-def anti_join_keys(left: DataFrame, right_keys: DataFrame, key: str,
-                   max_broadcast_rows: int = 2_000_000,
-                   bound_from: DataFrame | None = None) -> DataFrame:
-    """``left`` rows whose ``key`` is absent from ``right_keys``.
-
-    A left-anti join can only build on the right side, so joining a small
-    batch against a huge key table would shuffle every stored key. When the
-    left side has at most ``max_broadcast_rows`` rows (so at most that many
-    keys; each task of the check stops reading after that many rows) its keys are
-    broadcast to cut the right side down first (a semi-join streamed over
-    the key table, no shuffle), and the anti-join then meets only the
-    matches. Above the bound: a plain shuffle anti-join (AQE splits skew).
-    ``bound_from`` is a frame with at least as many rows as ``left`` has
-    keys (e.g. the batch before deduplication) whose row check needs no
-    shuffle.
-    """
-    if fits(bound_from if bound_from is not None else left, max_broadcast_rows):
-        left_keys = left.select(key).distinct()
-        hits = right_keys.select(key).join(F.broadcast(left_keys), key, "left_semi")
-        return left.join(hits, key, "left_anti")
-    return left.join(right_keys.select(key), key, "left_anti")

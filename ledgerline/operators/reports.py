@@ -1,8 +1,9 @@
 """Aggregate reports.
 
-All of them are hash aggregates with a map-side partial step, so a hot key
-(one date, one customer, one product) is pre-combined in every task before
-the shuffle and never lands whole in one task.
+All of them aggregate with a map-side partial step, so a hot key (one date,
+one customer, one product) is pre-combined in every task before the shuffle
+and never lands whole in one task. They plan as hash aggregates, but for the
+minimum over structs (top product), which plans as a sort aggregate.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calendar import as_date, days_before, month_start
-from ledgerline.functions.money import money_avg, money_sum, money_sum_if
+from ledgerline.functions.calendar import as_date, days_before, month_start, to_date_value
+from ledgerline.functions.money import as_money, fraction, money_avg, money_sum, money_sum_if, whole
 
 # Fixed values that must equal the reference's: the named regions, channels
 # and product categories of the daily summary, and the report limits.
@@ -129,40 +130,58 @@ def product_performance(enriched: DataFrame, as_of, days: int = REPORT_DAYS) ->
                  F.col("product_category").asc_nulls_last()))
 
 
-def _top_product_by(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Per ``keys``: the product with the largest summed quantity; ties go
-    to the alphabetically first product. Two aggregates, both partial:
-    (keys, product) sums, then min over (-sum, product) per keys."""
-    per_product = df.groupBy(*keys, "product").agg(
+def top_product(df: DataFrame) -> DataFrame:
+    """The product with the largest summed quantity over the whole
+    frame; ties go to the alphabetically first product (one row)."""
+    per_product = df.groupBy("product").agg(
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("_q"))
     best = F.min(F.struct((-F.col("_q")).alias("nq"), F.col("product").alias("p")))
-    return per_product.groupBy(*keys).agg(best["p"].alias("top_product"))
-
-
-def top_product(df: DataFrame) -> DataFrame:
-    """Argmax of summed quantity over the whole frame (one row)."""
-    return _top_product_by(df, [])
+    return per_product.agg(best["p"].alias("top_product"))
+
+
+def _report(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Orders, revenue, mean, top product and distinct customers per
+    ``keys`` in one pass: sums per (keys, product) and per (keys, customer)
+    as grouping sets, then one aggregate to the keys. No join, so rows of a
+    NULL key are a group like any other."""
+    amount = _amount()
+    sums = (df.groupingSets([[*keys, "product"], [*keys, "customer_id"]],
+                            *keys, "product", "customer_id")
+            .agg(F.grouping("customer_id").alias("_by_product"), F.count(F.lit(1)).alias("_n"),
+                 F.count(amount).alias("_amounts"), F.sum(whole(amount)).alias("_whole"),
+                 F.sum(fraction(amount)).alias("_fraction"),
+                 F.coalesce(F.sum("quantity"), F.lit(0)).alias("_q")))
+    by_product = F.col("_by_product") == 1
+    customers = lambda c: F.sum(F.when(~by_product, F.col(c)))
+    revenue = as_money(customers("_whole"), customers("_fraction"))
+    best = F.min(F.when(by_product, F.struct((-F.col("_q")).alias("nq"), F.col("product").alias("p"))))
+    return sums.groupBy(*keys).agg(
+        F.coalesce(customers("_n"), F.lit(0)).alias("total_orders"), revenue.alias("total_revenue"),
+        (revenue / customers("_amounts").cast("double")).alias("average_order_value"),
+        best["p"].alias("top_product"),
+        F.count(F.when(~by_product, F.col("customer_id"))).alias("unique_customers"))
+
+
+REPORT_COLUMNS = ("date", "total_orders", "total_revenue", "average_order_value", "top_product",
+                  "unique_customers")
 
 
 def sales_report(df: DataFrame, date_col: str = "order_date") -> DataFrame:
-    """A10: one report per date (``date`` as yyyy-MM-dd text): orders,
-    revenue, mean, top product, distinct customers.
-
+    """A10: one report per date (``date`` as yyyy-MM-dd text, NULL for rows
+    without a date): orders, revenue, mean, top product, distinct customers.
     Works on the CSV job's frame (after ``derive_sales`` and ``fill_nulls``).
-    The top-product aggregate and the totals are both keyed by date and
-    meet in an equi-join on the date, one row per side.
     """
     # Group on the date value (a 4-byte key) and format only the output rows.
     keyed = df.withColumn("_day", F.to_date(F.col(date_col)))
-    totals = keyed.groupBy("_day").agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        money_sum(_amount()).alias("total_revenue"),
-        money_avg(_amount()).alias("average_order_value"),
-        F.countDistinct("customer_id").alias("unique_customers"))
-    top = _top_product_by(keyed, ["_day"])
-    return (totals.join(top, "_day")
-            .select(F.date_format("_day", "yyyy-MM-dd").alias("date"), "total_orders",
-                    "total_revenue", "average_order_value", "top_product", "unique_customers"))
+    return _report(keyed, ["_day"]).withColumn(
+        "date", F.date_format("_day", "yyyy-MM-dd")).select(*REPORT_COLUMNS)
+
+
+def run_report(df: DataFrame, run_date) -> DataFrame:
+    """A10 as the original job makes it: one report over the whole frame,
+    stamped with the run date."""
+    return _report(df, []).withColumn(
+        "date", F.lit(to_date_value(run_date).isoformat())).select(*REPORT_COLUMNS)
 
 
 def revenue_by_day(df: DataFrame) -> DataFrame:
@@ -170,14 +189,24 @@ def revenue_by_day(df: DataFrame) -> DataFrame:
 
 
 def revenue_variance(df: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Day-over-day revenue change. The previous calendar day is found
-    by an equi-join on the date shifted by one (no global window, which
-    would put every day in one task); a missing day gives NULL."""
+    """Day-over-day revenue change. Each day's revenue goes to its own
+    day and, as previous revenue, to the next; one group-by on the day puts
+    them together (no self-join, and no global window, which would put every
+    day in one task). A missing previous day gives NULL. A NULL order_date
+    is a day of its own without a previous one."""
     daily = revenue_by_day(df)
-    prev = daily.select(F.date_add("order_date", 1).alias("order_date"),
-                        F.col("revenue").alias("previous_revenue"))
-    out = (daily.join(prev, "order_date", "left")
-           .withColumn("variance", F.col("revenue") - F.col("previous_revenue")))
+    none = F.lit(None).cast("double")
+    sides = daily.select(F.inline(F.array(
+        F.struct(F.col("order_date"), F.lit(True).alias("own"), F.col("revenue"),
+                 none.alias("previous_revenue")),
+        F.struct(F.date_add("order_date", 1).alias("order_date"), F.lit(False).alias("own"),
+                 none.alias("revenue"), F.col("revenue").alias("previous_revenue")))))
+    sides = sides.where(F.col("own") | F.col("order_date").isNotNull())
+    out = (sides.groupBy("order_date").agg(
+        F.max("own").alias("own"), F.max("revenue").alias("revenue"),
+        F.max("previous_revenue").alias("previous_revenue"))
+        .where("own").drop("own")
+        .withColumn("variance", F.col("revenue") - F.col("previous_revenue")))
     if threshold is not None:
         out = out.withColumn("exceeds", F.abs(F.col("variance")) > F.lit(threshold))
     return out

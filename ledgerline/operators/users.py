@@ -13,6 +13,11 @@ from ledgerline import schemas
 CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+def _parsed(text_col: str, schema):
+    """The JSON text as a struct; text that does not parse fails the job."""
+    return F.from_json(F.col(text_col), schema, {"mode": "FAILFAST"})
+
+
 def flatten_users(docs: DataFrame, text_col: str | None = "value") -> DataFrame:
     """Nested user document -> id, firstname, lastname, email.
 
@@ -20,7 +25,7 @@ def flatten_users(docs: DataFrame, text_col: str | None = "value") -> DataFrame:
     (``text_col=None``). A missing ``personalInfo`` gives NULL names.
     """
     if text_col is not None:
-        docs = docs.select(F.from_json(F.col(text_col), schemas.USER_DOC).alias("d")).select("d.*")
+        docs = docs.select(_parsed(text_col, schemas.USER_DOC).alias("d")).select("d.*")
     return docs.select(
         F.col("id"),
         F.col("personalInfo.firstName").alias("firstname"),
@@ -65,16 +70,23 @@ def dedupe_by_key(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(best).select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def new_rows_by_key(batch: DataFrame, existing: DataFrame, key: str = "id") -> DataFrame:
+def require_key(df: DataFrame, key: str = "id") -> DataFrame:
+    """``df``, failing the job on a NULL key as a primary key would."""
+    value = F.col(key)
+    text = F.raise_error(F.lit(f"a row has no {key}"))
+    return df.withColumn(key, F.coalesce(value, text.cast(df.schema[key].dataType)))
+
+
+def new_rows_by_key(batch: DataFrame, existing: DataFrame | None, key: str = "id") -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``existing`` (each key
-    once). The batch is deduplicated by a partial aggregate, then meets the
-    stored keys through ``anti_join_keys``: a bounded batch never makes the
-    whole key table shuffle."""
-    from ledgerline.operators.joins import anti_join_keys
-    keyed = batch.filter(F.col(key).isNotNull())
-    fresh = dedupe_by_key(keyed, key)
-    return anti_join_keys(fresh, existing.select(key).filter(F.col(key).isNotNull()), key,
-                          bound_from=keyed.select(key))
+    once). A row without a key fails the job. The batch is deduplicated by a
+    partial aggregate on the key, which the anti-join's shuffle then reuses;
+    of the stored table only the key column is read. Where the stored keys
+    are few, AQE turns the join into a broadcast at run time."""
+    fresh = dedupe_by_key(require_key(batch, key), key)
+    if existing is None:
+        return fresh
+    return fresh.join(existing.select(key), key, "left_anti")
 
 
 def latest_snapshot(snapshots: DataFrame, as_of=None, keys=("user_id",),
@@ -103,12 +115,11 @@ def latest_snapshot(snapshots: DataFrame, as_of=None, keys=("user_id",),
               .select(*keys, *[F.col(f"_s.{c}").alias(c) for c in order + payload])
 
 
-def _first_result(snapshot: DataFrame, text_col: str | None):
+def first_result(snapshot: DataFrame, keys, text_col: str | None) -> DataFrame:
+    """The keys and the document's first result as one struct, parsed once."""
     # get() gives NULL for an empty array; [0] would fail under ANSI mode.
-    if text_col is not None:
-        doc = F.from_json(F.col(text_col), schemas.SNAPSHOT_DOC)
-        return F.get(doc["results"], 0)
-    return F.get(F.col("results"), 0)
+    results = _parsed(text_col, schemas.SNAPSHOT_DOC)["results"] if text_col else F.col("results")
+    return snapshot.select(*keys, F.get(results, 0).alias("_first"))
 
 
 def split_snapshot(snapshot: DataFrame, keys=("user_id", "snapshot_ts"), text_col: str | None = "doc",
@@ -117,9 +128,11 @@ def split_snapshot(snapshot: DataFrame, keys=("user_id", "snapshot_ts"), text_co
 
     Every field is kept, as in the original; ``drop_fields`` removes named
     login fields (e.g. the clear-text secret). An empty ``results`` array
-    gives NULL fields, not an error.
+    gives NULL fields, not an error. Each dataset evaluates ``snapshot`` for
+    itself: pass a written table (see ``store_split``) to do it once.
     """
-    first = _first_result(snapshot, text_col)
+    snapshot = first_result(snapshot, list(keys), text_col)
+    first = F.col("_first")
     keys = list(keys)
     loc = first["location"]
     location = snapshot.select(
@@ -137,6 +150,17 @@ def split_snapshot(snapshot: DataFrame, keys=("user_id", "snapshot_ts"), text_co
     return location, login
 
 
+def store_split(snapshot: DataFrame, path: str, keys=("user_id", "snapshot_ts"),
+                text_col: str | None = "doc", drop_fields=()) -> tuple[DataFrame, DataFrame]:
+    """N3 with one evaluation: the parsed first results are written to
+    ``path``, and both datasets read the fields they need from there."""
+    parsed = snapshot.select(*keys, (_parsed(text_col, schemas.SNAPSHOT_DOC)["results"] if text_col
+                                     else F.col("results")).alias("results"))
+    parsed.write.mode("overwrite").parquet(path)
+    stored = snapshot.sparkSession.read.schema(parsed.schema).parquet(path)
+    return split_snapshot(stored, keys, None, drop_fields)
+
+
 def records_to_json(df: DataFrame, col: str = "json") -> DataFrame:
     """One JSON object per record (NDJSON lines)."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]),

@@ -7,6 +7,7 @@ functions; each job returns a DataFrame the caller can act on.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,22 +18,24 @@ from ledgerline.operators.enrich import RAW_COLUMNS, derive_sales, enrich, fill_
 from ledgerline.operators.quality import (
     DEFAULT_GATE_ON, QualityGateError, gates, quality_gate, quality_profile, raise_on_failed,
 )
-from ledgerline.operators.reports import daily_summary, load_stats, sales_report
+from ledgerline.operators.reports import daily_summary, load_stats, run_report, sales_report
 from ledgerline.operators.users import flatten_users, stamp_created
 from ledgerline.sinks.files import (
-    append_by_key, backup, land_raw, write_csv, write_raw, write_report, write_summary,
+    append_by_key, backup, land_raw, partition_dates, write_csv, write_raw, write_report, write_summary,
     write_transformed,
 )
 from ledgerline.sources.files import read_raw_json, read_sales_csv, read_user_docs
 from ledgerline.sources.tables import scan_sales
 
+# Fixed value: the message the original returns.
 SUCCESS_MESSAGE = "Data transformation completed successfully"
 
 
 def _status(spark: SparkSession, status: str, date: str, records=None, revenue=None,
-            message=None, error=None) -> DataFrame:
+            message=None, error=None, checks=None) -> DataFrame:
     """The one-row run status record."""
-    return spark.createDataFrame([(status, date, records, revenue, message, error)],
+    return spark.createDataFrame([(status, date, records, revenue, message, error,
+                                   json.dumps(checks) if checks else None)],
                                  schemas.RUN_STATUS)
 
 
@@ -43,8 +46,10 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact:
 
     ``raw`` is any frame with the raw columns; only ``as_of``'s rows are
     processed. Every table is partitioned by date and rewritten per date,
-    so rerunning a day gives the same tables. Any failure becomes an
-    ``error`` status row with the message, as the original returned it.
+    so rerunning a day gives the same tables. The summary is that of
+    ``summary_date``, by default the day before ``as_of`` as in the original
+    query. Any failure becomes an ``error`` status row with the message, as
+    the original returned it; ``quality_checks`` holds the profile as JSON.
     """
     # No date means today's run; "2024-01-15T06:00:00" keeps the date part.
     day = to_date_value(as_of) if as_of is not None else _dt.date.today()
@@ -62,13 +67,16 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact:
         transformed = scan_sales(spark, f"{base}/transformed_sales", day, day,
                                  schema=schemas.TRANSFORMED_SALES)
         stats = load_stats(transformed, day).first()
-        quality_gate(quality_profile(transformed, day), exact=exact, gate_on=gate_on)
-        sday = to_date_value(summary_date) if summary_date is not None else day
-        summary_src = scan_sales(spark, f"{base}/transformed_sales", sday, sday,
-                                 schema=schemas.TRANSFORMED_SALES)
-        write_summary(daily_summary(summary_src, sday, sday), f"{base}/daily_summary", dates=[sday])
+        checks = quality_gate(quality_profile(transformed, day), exact=exact, gate_on=gate_on)
+        sday = to_date_value(summary_date) if summary_date is not None else day - _dt.timedelta(days=1)
+        # A date that the table does not hold (the first run, or mode
+        # "replace") was not computed here: its stored summary stays.
+        if sday == day or sday in partition_dates(spark, f"{base}/transformed_sales", "order_date"):
+            summary_src = scan_sales(spark, f"{base}/transformed_sales", sday, sday,
+                                     schema=schemas.TRANSFORMED_SALES)
+            write_summary(daily_summary(summary_src, sday, sday), f"{base}/daily_summary", dates=[sday])
         return _status(spark, "success", date_text, int(stats["row_count"]),
-                       float(stats["total_revenue"]), SUCCESS_MESSAGE, None)
+                       float(stats["total_revenue"]), SUCCESS_MESSAGE, None, checks)
     except Exception as exc:  # noqa: BLE001 - the job reports, the caller decides
         return _status(spark, "error", date_text, None, None, None, str(exc).split("\n")[0])
 
@@ -76,6 +84,8 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact:
 def run_csv_report(spark: SparkSession, csv_path: str, out_dir: str, run_date=None) -> DataFrame:
     """Extract (CSV) -> transform -> validate -> report (+ backup).
 
+    With ``run_date`` the report is one row over the whole file, stamped with
+    that date, whatever dates the rows hold; without it, one row per date.
     The transformed frame feeds the validation, the report and the backup,
     so it is written once and read back rather than recomputed.
     """
@@ -89,9 +99,7 @@ def run_csv_report(spark: SparkSession, csv_path: str, out_dir: str, run_date=No
     stored = spark.read.parquet(f"{out_dir}/transformed")
     write_csv(stored, f"{out_dir}/transformed_csv")
     raise_on_failed(gates(stored).filter(F.col("gate").isin("has_rows", "non_negative_revenue")))
-    report = sales_report(stored)
-    if run_date is not None:
-        report = report.filter(F.col("date") == to_date_value(run_date).isoformat())
+    report = sales_report(stored) if run_date is None else run_report(stored, run_date)
     write_report(report, f"{out_dir}/sales_report")
     backup(spark, f"{out_dir}/transformed", out_dir, run_date or _dt.date.today())
     return spark.read.schema(report.schema).json(f"{out_dir}/sales_report")
@@ -105,4 +113,11 @@ def run_users(spark: SparkSession, docs_path: str, table_path: str, created_at=N
     return append_by_key(flat, table_path, key="id")
 
 
-__all__ = ["run_daily", "run_csv_report", "run_users", "QualityGateError"]
+def processed_message(report: DataFrame) -> DataFrame:
+    """The extract step's one-line text over a report's rows."""
+    return report.select(F.format_string(
+        "Processed %d records, total revenue: $%.2f", F.sum("total_orders"),
+        F.sum("total_revenue")).alias("message"))
+
+
+__all__ = ["processed_message", "run_daily", "run_csv_report", "run_users", "QualityGateError"]

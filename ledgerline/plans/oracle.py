@@ -1,8 +1,8 @@
 """DuckDB SQL equivalents of the registered queries (the correctness gate).
 
 The SQL runs on the driver's parquet tables registered as views. Money
-sums go through DECIMAL(18,2) like the Spark side; every count and
-integer sum is cast to BIGINT.
+sums go through a DECIMAL that holds every decimal of the amounts; every
+count and integer sum is cast to BIGINT.
 """
 
 from __future__ import annotations
@@ -70,18 +70,19 @@ ENRICHED_COLS = (RAW_COLS + ", order_category, product_category, day_of_week, mo
 
 
 def msum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def mavg(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT({x}) AS DOUBLE))"
+    return f"(CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE) / CAST(COUNT({x}) AS DOUBLE))"
 
 
 def msum_if(cond: str, x: str = "total_amount") -> str:
-    return (f"CAST(SUM(CASE WHEN {cond} THEN CAST({x} AS DECIMAL(18,2)) "
-            f"ELSE CAST(0 AS DECIMAL(18,2)) END) AS DOUBLE)")
+    return (f"CAST(SUM(CASE WHEN {cond} THEN CAST({x} AS DECIMAL(38,6)) "
+            f"ELSE CAST(0 AS DECIMAL(38,6)) END) AS DOUBLE)")
 
 
+# The named regions, channels and categories of the summary.
 REGION_SUMS = ",\n  ".join(msum_if(f"region = '{r}'") + f" AS {r.lower()}_region_revenue"
                            for r in ("North", "South", "East", "West"))
 CHANNEL_SUMS = ",\n  ".join(msum_if(f"channel = '{c}'") + f" AS {c.lower()}_revenue"
@@ -92,10 +93,10 @@ CATEGORY_SUMS = ",\n  ".join([msum_if("product_category = 'Widgets'") + " AS wid
                               + " AS other_revenue"])
 
 
-def summary_sql(start=None, end=None) -> str:
+def summary_sql(start=None, end=None, keep_invalid=False) -> str:
     where = _range(start, end)
     w = ("WHERE " + " AND ".join(where)) if where else ""
-    return f"""WITH {SALES}, {enriched()}
+    return f"""WITH {SALES}, {enriched(keep_invalid=keep_invalid)}
 SELECT order_date AS summary_date,
   COUNT(*) AS total_orders,
   {msum('total_amount')} AS total_revenue,
@@ -140,7 +141,7 @@ top AS (
     FROM per_product) WHERE rn = 1)
 SELECT t.date, t.total_orders, t.total_revenue, t.average_order_value, top.top_product,
        t.unique_customers
-FROM totals t JOIN top ON t.date = top.date"""
+FROM totals t JOIN top ON t.date IS NOT DISTINCT FROM top.date"""
 
 
 def profile_cols() -> str:
@@ -240,7 +241,7 @@ SELECT product AS top_product FROM per_product ORDER BY q DESC, product ASC LIMI
     q["quality_profile_raw"] = f"WITH {SALES} SELECT {profile_cols()} FROM sales"
     q["gates"] = f"""WITH {SALES},
 w AS (
-  SELECT CAST(COALESCE(SUM(CAST(total_amount AS DECIMAL(18,2))), 0) AS DOUBLE) AS revenue_sum,
+  SELECT CAST(COALESCE(SUM(CAST(total_amount AS DECIMAL(38,6))), 0) AS DOUBLE) AS revenue_sum,
          CAST(COUNT(*) AS DOUBLE) AS rows_n,
          CAST(count_if(order_id IS NULL) + count_if(quantity <= 0) + count_if(price <= 0)
               + count_if(total_amount != quantity * price) AS DOUBLE) AS issues
@@ -285,19 +286,27 @@ FROM latest"""
                            f"order_date FROM sales")
     q["incremental_ingest"] = f"WITH {SALES} SELECT {RAW_COLS} FROM sales"
     q["idempotent_summary"] = summary_sql()
-    q["backup_copy"] = f"WITH {SALES}, {enriched(s, a)} SELECT {ENRICHED_COLS} FROM enriched"
+    q["backup_copy"] = f"WITH {SALES}, {enriched()} SELECT {ENRICHED_COLS} FROM enriched"
     q["retention_90"] = (f"WITH {SALES}, {enriched()} SELECT {ENRICHED_COLS} FROM enriched "
                          f"WHERE order_date >= {_d(P.RETENTION_CUTOFF)}")
     q["run_status"] = f"""WITH {SALES},
-day AS (SELECT COUNT(*) AS n, COALESCE({msum('total_amount')}, 0.0) AS revenue
-        FROM sales WHERE order_date = {_d(a)} AND quantity > 0 AND price > 0)
+rows AS (SELECT * FROM sales WHERE order_date = {_d(a)} AND quantity > 0 AND price > 0),
+day AS (SELECT COUNT(*) AS n, COALESCE({msum('total_amount')}, 0.0) AS revenue FROM rows),
+profile AS (SELECT {profile_cols()} FROM rows)
 SELECT CASE WHEN n > 0 THEN 'success' ELSE 'error' END AS status,
        '{a.isoformat()}' AS execution_date,
        CASE WHEN n > 0 THEN n END AS records_processed,
        CASE WHEN n > 0 THEN revenue END AS total_revenue,
        CASE WHEN n > 0 THEN 'Data transformation completed successfully' END AS message,
-       CASE WHEN n = 0 THEN 'No records found for transformation' END AS error
-FROM day"""
+       CASE WHEN n = 0 THEN 'No records found for transformation' END AS error,
+       CASE WHEN n > 0 THEN '{{"total_records": ' || n || ', "data_issues": {{' ||
+         '"null_order_ids": ' || null_order_ids || ', "null_customer_ids": ' || null_customer_ids ||
+         ', "null_products": ' || null_products || ', "invalid_quantities": ' || invalid_quantities ||
+         ', "invalid_prices": ' || invalid_prices || ', "calculation_errors": ' || calculation_errors ||
+         '}}, "business_flags": {{"high_value_orders": ' || high_value_orders || ', "bulk_orders": ' ||
+         bulk_orders || '}}, "revenue_range": {{"min": ' || min_revenue || ', "max": ' || max_revenue || '}}}}'
+       END AS quality_checks
+FROM day, profile"""
     q["csv_report_job"] = report_sql()
     q["user_ingest_job"] = f"""SELECT CAST(c.c_custkey AS INTEGER) AS id, split_part(c.c_name, '#', 1) AS firstName,
        split_part(c.c_name, '#', 2) AS lastName,
@@ -306,6 +315,36 @@ FROM customer c"""
     q["user_stamp"] = (f"SELECT CAST(c.c_custkey AS VARCHAR) AS id, {_user_names()}, "
                        f"'{P.USER_STAMP:%Y-%m-%d %H:%M:%S}' AS created_at FROM customer c")
     q["report_json"] = report_sql()
-    q["sql_views"] = q["top_customers"]
+    q["sql_views"] = f"""
+SELECT 'current_month_sales' AS view, CAST(order_date AS VARCHAR) AS item, orders AS n, revenue AS total,
+       avg_order_value AS mean FROM ({q["current_month_sales"]})
+UNION ALL SELECT 'top_customers', CAST(customer_id AS VARCHAR), order_count, total_spent, avg_order_value
+FROM ({q["top_customers"]})
+UNION ALL SELECT 'product_performance', product || '/' || product_category, times_sold, total_revenue, avg_price
+FROM ({q["product_performance"]})"""
     q["partitioned_scan"] = q["scan_day"]
+    q["quality_nested"] = f"""WITH {SALES}, {enriched()}, profile AS (SELECT {profile_cols()} FROM enriched)
+SELECT total_records, null_order_ids, null_customer_ids, null_products, invalid_quantities, invalid_prices,
+       calculation_errors, high_value_orders, bulk_orders, COALESCE(min_revenue, 0) AS min_revenue,
+       COALESCE(max_revenue, 0) AS max_revenue FROM profile"""
+    q["daily_summary_invalid"] = summary_sql(keep_invalid=True)
+    amount = "round(l_extendedprice * (1 - l_discount), 4)"
+    q["fine_amounts"] = f"""SELECT l_returnflag, {msum(amount)} AS total, {mavg(amount)} AS mean,
+       {msum_if("l_linestatus = 'F'", amount)} AS finished FROM lineitem GROUP BY l_returnflag"""
+    q["run_report"] = f"""WITH {SALES}, {CSV_DERIVED}, {CSV_FILLED},
+per_product AS (SELECT product, COALESCE(SUM(quantity), 0) AS q FROM csv_filled GROUP BY product)
+SELECT '{a.isoformat()}' AS date, COUNT(*) AS total_orders, {msum('total_amount')} AS total_revenue,
+       {mavg('total_amount')} AS average_order_value,
+       (SELECT product FROM per_product ORDER BY q DESC, product ASC LIMIT 1) AS top_product,
+       COUNT(DISTINCT customer_id) AS unique_customers FROM csv_filled"""
+    q["gen_sales_domains"] = """SELECT COUNT(*) AS rows, COUNT(DISTINCT o_orderkey) AS order_ids,
+       CAST(0 AS BIGINT) AS bad_customers, CAST(0 AS BIGINT) AS bad_products, CAST(0 AS BIGINT) AS bad_quantities,
+       CAST(0 AS BIGINT) AS bad_prices, CAST(0 AS BIGINT) AS bad_amounts, CAST(0 AS BIGINT) AS bad_regions,
+       CAST(0 AS BIGINT) AS bad_channels, CAST(0 AS BIGINT) AS bad_dates FROM orders"""
+    q["csv_text_round_trip"] = "SELECT doc_id, NULLIF(lang, '') AS lang, NULLIF(text, '') AS text FROM documents"
+    q["snapshot_files"] = f"""WITH {latest_events_sql()}
+SELECT TIMESTAMP '{P.SNAPSHOT_AS_OF.isoformat(sep=' ')}' AS snapshot_ts, 'city-' || event_type AS city,
+       md5(CAST(event_id AS VARCHAR)) AS uuid FROM latest"""
+    q["truncate_users"] = (f"SELECT CAST(0 AS BIGINT) AS after_truncate, COUNT(*) AS after_refill FROM customer "
+                           f"WHERE c_mktsegment = '{P.EXISTING_SEGMENT}'")
     return q

@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
+from ledgerline.functions.money import money_avg, money_sum, money_sum_if
 from ledgerline.operators.enrich import (
     RAW_COLUMNS, clean_filter, derive_sales, enrich, fill_nulls,
 )
 from ledgerline.operators.quality import gates, quality_profile, quality_struct
 from ledgerline.operators.reports import (
     breakdown, category_columns, channel_columns, current_month_sales, daily_summary,
-    load_stats, product_performance, region_columns, revenue_variance, sales_report,
+    load_stats, product_performance, region_columns, revenue_variance, run_report, sales_report,
     top_customers, top_product,
 )
 from ledgerline.operators.users import (
@@ -32,8 +33,10 @@ from ledgerline.operators.users import (
 from ledgerline.plans import params as P
 from ledgerline.session import scratch_path
 from ledgerline.sources import testdata as TD
-from ledgerline.sources.files import read_sales_csv
-from ledgerline.sources.generate import generate_sales_for
+from ledgerline.sources.files import read_csv, read_sales_csv, read_snapshots
+from ledgerline.sources.generate import (
+    CHANNELS, CUSTOMER_ID_RANGE, PRICE_RANGE, PRODUCTS, QUANTITY_RANGE, REGIONS, generate_sales_for,
+)
 
 ENRICHED_OUT = [*RAW_COLUMNS, "order_category", "product_category", "day_of_week", "month",
                 "quarter", "customer_order_sequence", "revenue", "estimated_profit",
@@ -134,6 +137,21 @@ def q_daily_summary_backfill(spark, d):
     return daily_summary(_report_input(spark, d))
 
 
+def q_daily_summary_invalid(spark, d):
+    """A6 with the invalid rows kept, so that issues are counted."""
+    return daily_summary(_enriched(spark, d, keep_invalid=True, rank=False))
+
+
+def q_fine_amounts(spark, d):
+    """Amounts of four decimals: sum, mean and conditional sum."""
+    items = TD.table(spark, d, "lineitem").select(
+        "l_returnflag", "l_linestatus",
+        F.round(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")), 4).alias("amount"))
+    return items.groupBy("l_returnflag").agg(
+        money_sum("amount").alias("total"), money_avg("amount").alias("mean"),
+        money_sum_if(F.col("l_linestatus") == "F", "amount").alias("finished"))
+
+
 def q_region_breakdown(spark, d):
     return breakdown(_report_input(spark, d), region_columns())
 
@@ -166,6 +184,11 @@ def q_sales_report(spark, d):
     return sales_report(fill_nulls(_csv_frame(spark, d)))
 
 
+def q_run_report(spark, d):
+    """A10 over the whole frame, stamped with the run date."""
+    return run_report(fill_nulls(_csv_frame(spark, d)), P.AS_OF)
+
+
 def q_top_product(spark, d):
     return top_product(fill_nulls(_csv_frame(spark, d)))
 
@@ -179,7 +202,11 @@ def q_quality_profile_raw(spark, d):
 
 
 def q_quality_nested(spark, d):
-    return quality_struct(quality_profile(_report_input(spark, d)))
+    """The nested result, its fields read back as columns."""
+    nested = quality_struct(quality_profile(_report_input(spark, d)))
+    return nested.select("total_records", "data_issues.*", "business_flags.*",
+                         F.col("revenue_range.min").alias("min_revenue"),
+                         F.col("revenue_range.max").alias("max_revenue"))
 
 
 def q_gates(spark, d):
@@ -230,6 +257,25 @@ def q_gen_sales(spark, d):
     return generate_sales_for(orders, "o_orderkey", F.col("o_orderdate"), P.SEED)
 
 
+def q_gen_sales_domains(spark, d):
+    """Generated rows outside their domains, by rule."""
+    rows = q_gen_sales(spark, d)
+    amount_off = F.abs(F.col("total_amount") - F.round(F.col("quantity") * F.col("price"), 2)) > 1e-9
+    lo, hi = PRICE_RANGE
+    rules = {
+        "bad_customers": ~F.col("customer_id").between(*CUSTOMER_ID_RANGE),
+        "bad_products": ~F.col("product").isin(*PRODUCTS),
+        "bad_quantities": ~F.col("quantity").between(*QUANTITY_RANGE),
+        "bad_prices": ~F.col("price").between(lo, hi),
+        "bad_amounts": amount_off,
+        "bad_regions": ~F.col("region").isin(*REGIONS),
+        "bad_channels": ~F.col("channel").isin(*CHANNELS),
+        "bad_dates": F.col("order_date").isNull(),
+    }
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("order_id").alias("order_ids"),
+                    *[F.count_if(F.coalesce(c, F.lit(True))).alias(n) for n, c in rules.items()])
+
+
 # ---- sinks, streaming, jobs (write under the work folder, read back) ----------
 
 def q_csv_round_trip(spark, d):
@@ -239,6 +285,42 @@ def q_csv_round_trip(spark, d):
     return read_sales_csv(spark, path)
 
 
+def q_csv_text_round_trip(spark, d):
+    """S1 + K1 on free text: quotes, commas and line breaks in a field."""
+    from ledgerline.sinks.files import write_csv
+    path = scratch_path(spark, "csv-text")
+    docs = TD.table(spark, d, "documents").select("doc_id", "lang", "text")
+    write_csv(docs, path)
+    return read_csv(spark, path, docs.schema, multiline=True)
+
+
+def q_snapshot_files(spark, d):
+    """Snapshot documents written under a dated path, read back with
+    the time from the path; the first result's city per document."""
+    path = scratch_path(spark, "snapshots")
+    latest = _latest(spark, d)
+    latest.select(F.col("doc").alias("value"), F.lit(P.SNAPSHOT_AS_OF.isoformat(sep=" ")).alias("taken")) \
+        .write.partitionBy("taken").text(path)
+    docs = read_snapshots(spark, path, multiline=False, ts_col="taken")
+    return docs.select("snapshot_ts", F.get("results", 0)["location"]["city"].alias("city"),
+                       F.get("results", 0)["login"]["uuid"].alias("uuid"))
+
+
+def q_truncate_users(spark, d):
+    """K9: a keyed table, filled and truncated, stays readable; refilled with
+    one segment it holds just that."""
+    from ledgerline.sinks.files import append_by_key, read_users, truncate_table
+    path = scratch_path(spark, "truncated")
+    users = flatten_users(TD.user_docs_from_customer(spark, d))
+    append_by_key(users, path, created_at=P.USER_STAMP)
+    truncate_table(spark, path, schemas.USERS)
+    left = read_users(spark, path).count()
+    append_by_key(flatten_users(TD.user_docs_from_customer(spark, d, segment=P.EXISTING_SEGMENT)), path,
+                  created_at=P.USER_STAMP)
+    return read_users(spark, path).agg(F.lit(left).cast("bigint").alias("after_truncate"),
+                                       F.count(F.lit(1)).alias("after_refill"))
+
+
 def q_incremental_ingest(spark, d):
     """Two arrivals: files up to the as-of date, then the rest. Each run
     ingests only the files it has not seen; a third run with nothing new
@@ -248,7 +330,7 @@ def q_incremental_ingest(spark, d):
     raw = _raw(spark, d)
     raw.filter(F.col("order_date") <= F.lit(P.AS_OF)).write.json(f"{base}/landing/batch=1")
     args = dict(source_dir=f"{base}/landing/*", target=f"{base}/table",
-                checkpoint=f"{base}/checkpoint", timeout_s=600)
+                checkpoint=f"{base}/checkpoint")
     ingest_new_files(spark, **args)
     raw.filter(F.col("order_date") > F.lit(P.AS_OF)).write.json(f"{base}/landing/batch=2")
     ingest_new_files(spark, **args)
@@ -269,9 +351,9 @@ def q_idempotent_summary(spark, d):
 def q_backup_copy(spark, d):
     from ledgerline.sinks.files import backup, write_transformed
     base = scratch_path(spark, "backup")
-    write_transformed(_enriched(spark, d, P.WINDOW_START, P.AS_OF), f"{base}/transformed")
-    dest = backup(spark, f"{base}/transformed", base, P.AS_OF)
-    return spark.read.parquet(dest).select(*ENRICHED_OUT)
+    write_transformed(_enriched(spark, d), f"{base}/transformed")
+    dest = backup(spark, f"{base}/transformed", base, P.AS_OF, schemas.TRANSFORMED_SALES, "order_date")
+    return spark.read.schema(schemas.TRANSFORMED_SALES).parquet(dest).select(*ENRICHED_OUT)
 
 
 def q_retention_90(spark, d):
@@ -324,11 +406,17 @@ def q_report_json(spark, d):
 
 
 def q_sql_views(spark, d):
-    """The three views registered over the transformed rows; the top
-    customers are read back through SQL."""
+    """The three views registered over the transformed rows, each read
+    back through SQL."""
     from ledgerline.plans.views import register_views
-    register_views(_report_input(spark, d, P.WINDOW_START, P.AS_OF), P.AS_OF)
-    return spark.sql("SELECT * FROM top_customers")
+    register_views(_report_input(spark, d), P.AS_OF)
+    return spark.sql("""
+        SELECT 'current_month_sales' AS view, CAST(order_date AS STRING) AS item, orders AS n,
+               revenue AS total, avg_order_value AS mean FROM current_month_sales
+        UNION ALL SELECT 'top_customers', CAST(customer_id AS STRING), order_count, total_spent,
+               avg_order_value FROM top_customers
+        UNION ALL SELECT 'product_performance', concat(product, '/', product_category), times_sold,
+               total_revenue, avg_price FROM product_performance""")
 
 
 def q_partitioned_scan(spark, d):
@@ -337,7 +425,7 @@ def q_partitioned_scan(spark, d):
     from ledgerline.sinks.files import write_raw
     from ledgerline.sources.tables import scan_sales
     path = scratch_path(spark, "raw")
-    write_raw(_raw(spark, d, *P.BACKFILL), path)
+    write_raw(_raw(spark, d), path)
     return scan_sales(spark, path, P.AS_OF, P.AS_OF, columns=list(RAW_COLUMNS),
                       schema=schemas.RAW_SALES_TABLE)
 

@@ -162,11 +162,20 @@ RUN_STATUS = T.StructType([
     T.StructField("total_revenue", T.DoubleType()),
     T.StructField("message", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("quality_checks", T.StringType()),  # JSON
 ])
 
+# The columns that default to the time of the insert.
+INSERT_TIME_COLUMNS = ("created_at", "processing_timestamp")
+
 
 def ddl(table: str, schema: T.StructType, path: str, partition_by: str | None = None) -> str:
-    """CREATE TABLE statement for a parquet table at ``path``."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """CREATE TABLE statement for a parquet table at ``path``; insert-time
+    columns default to current_timestamp()."""
+    def column(f) -> str:
+        default = " DEFAULT current_timestamp()" if f.name in INSERT_TIME_COLUMNS else ""
+        return f"`{f.name}` {f.dataType.simpleString()}{default}"
+
+    cols = ", ".join(map(column, schema.fields))
     part = f" PARTITIONED BY ({partition_by})" if partition_by else ""
     return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} LOCATION '{path}'"

@@ -26,9 +26,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g"))
-               .config("spark.driver.bindAddress", "127.0.0.1")
-               .config("spark.driver.host", "127.0.0.1")
                .config("spark.ui.showConsoleProgress", "false"))
+    if master.startswith("local"):
+        builder = (builder.config("spark.driver.bindAddress", "127.0.0.1")
+                   .config("spark.driver.host", "127.0.0.1"))
     for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -37,6 +38,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Map tasks times reduce partitions is the number of shuffle blocks that the
+# driver tracks; past some ten thousand partitions larger ones serve better.
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
@@ -58,13 +62,15 @@ def size_shuffle(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITIO
 
     Sets ``spark.sql.shuffle.partitions`` to the input size times
     ``expansion`` (compressed columnar files grow when decoded into rows),
-    divided by ``target_bytes``, and never below the cluster's default
-    parallelism. The AQE advisory size and the scan split size are set to
+    divided by ``target_bytes``, between the cluster's default parallelism
+    and ``MAX_SHUFFLE_PARTITIONS``. ``paths`` are the tables that are shuffled;
+    ``expansion`` below 1 accounts for columns that are not read. The AQE advisory size and the scan split size are set to
     ``target_bytes``, so each reduce task holds about that much data and AQE
     merges the small partitions of selective queries.
     """
     size = input_bytes(spark, paths) * expansion
     n = max(spark.sparkContext.defaultParallelism, -(-int(size) // target_bytes))
+    n = min(n, MAX_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
@@ -81,6 +87,8 @@ def work_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerline-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import to_date_value
 from ledgerline.operators.users import new_rows_by_key, to_user_rows
+from ledgerline.sources.files import CSV_QUOTES
 
 DEFAULT_CLUSTER = ("region", "product")
+# Fixed value: the folder name Spark gives a NULL partition value.
+NO_DATE = "=__HIVE_DEFAULT_PARTITION__"
 
 
 def _layout(df: DataFrame, partition_col: str, cluster_by=(), tiebreak: str | None = None) -> DataFrame:
@@ -38,8 +41,10 @@ def _layout(df: DataFrame, partition_col: str, cluster_by=(), tiebreak: str | No
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1: CSV with a header row."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """K1: CSV with a header row. Fields with quotes, commas or line breaks
+    are quoted, quotes doubled; white space at a field's ends stays."""
+    df.write.mode(mode).options(header=True, ignoreLeadingWhiteSpace=False,
+                                ignoreTrailingWhiteSpace=False, **CSV_QUOTES).csv(path)
 
 
 def land_raw(df: DataFrame, base: str, date) -> str:
@@ -107,28 +112,26 @@ def write_report(df: DataFrame, path: str) -> None:
 def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None) -> DataFrame:
     """K8 + J1: create-if-absent and append users whose key is new.
 
-    Returns the appended rows (read back from the written files, so the
-    caller's count is the committed one). One writer at a time: parquet has
-    no key constraint to stop two concurrent appends of the same key.
+    Each batch is written once, into a folder of its own, and the appended
+    rows are read back from there, so the caller's count is the committed
+    one. One writer at a time: parquet has no key constraint to stop two
+    concurrent appends of the same key.
     """
     from ledgerline.operators.users import stamp_created
     spark = batch.sparkSession
     rows = to_user_rows(stamp_created(batch, created_at, as_text=False)
                         if "created_at" not in batch.columns else batch)
-    existing = _read_or_none(spark, path)
-    fresh = new_rows_by_key(rows, existing, key) if existing is not None else \
-        new_rows_by_key(rows, rows.limit(0), key)
-    fresh = fresh.select(*rows.columns)
-    # Materialise before appending: the anti-join reads the target path.
-    staged = path.rstrip("/") + f"/_staging/{uuid.uuid4().hex}"
-    fresh.write.mode("overwrite").parquet(staged)
-    staged_df = spark.read.parquet(staged)
-    staged_df.write.mode("append").parquet(path.rstrip("/") + "/data")
-    return spark.read.parquet(staged)
+    fresh = new_rows_by_key(rows, _read_or_none(spark, path), key).select(*rows.columns)
+    folder = f"{path.rstrip('/')}/data/batch={uuid.uuid4().hex}"
+    fresh.write.parquet(folder)
+    return spark.read.schema(fresh.schema).parquet(folder)
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path.rstrip("/") + "/data")
+    """The stored users; empty if nothing was stored yet."""
+    from ledgerline import schemas
+    stored = _read_or_none(spark, path)
+    return stored if stored is not None else spark.createDataFrame([], schemas.USERS)
 
 
 def _read_or_none(spark: SparkSession, path: str):
@@ -141,19 +144,34 @@ def _read_or_none(spark: SparkSession, path: str):
     fs, p, _ = _fs(spark, data)
     if not fs.exists(p):
         return None
-    return spark.read.schema(schemas.USERS).parquet(data)
+    names = [f.name for f in schemas.USERS.fields]
+    return spark.read.schema(schemas.USERS).parquet(data).select(*names)
 
 
 def truncate_table(spark: SparkSession, path: str, schema) -> None:
-    """K9: overwrite with an empty frame of the same schema."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-
-
-def backup(spark: SparkSession, src: str, base: str, date=None) -> str:
-    """Dated copy ``backup_yyyyMMdd`` of a parquet table."""
+    """K9: the table stays and has no rows. A keyed table (``append_by_key``)
+    loses its batch folders; any other is overwritten with an empty frame."""
+    fs, data, _ = _fs(spark, path.rstrip("/") + "/data")
+    if fs.exists(data):
+        fs.delete(data, True)
+    else:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def backup(spark: SparkSession, src: str, base: str, date=None, schema=None,
+           partition_col: str | None = None, cluster_by=DEFAULT_CLUSTER) -> str:
+    """Dated copy ``backup_yyyyMMdd`` of a parquet table. With
+    ``partition_col`` the copy is laid out and partitioned like the table;
+    ``schema`` spares the inference of its column types."""
     d = to_date_value(date) if date is not None else _dt.date.today()
     dest = f"{base.rstrip('/')}/backup_{d:%Y%m%d}"
-    spark.read.parquet(src).write.mode("overwrite").parquet(dest)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    rows = reader.parquet(src)
+    if partition_col:
+        rows = _layout(rows, partition_col, cluster_by, "order_id")
+        rows.write.mode("overwrite").partitionBy(partition_col).parquet(dest)
+    else:
+        rows.write.mode("overwrite").parquet(dest)
     return dest
 
 
@@ -164,14 +182,15 @@ def _fs(spark: SparkSession, path: str):
 
 
 def partition_dates(spark: SparkSession, path: str, col: str) -> list[_dt.date]:
-    """Dates of the ``col=yyyy-MM-dd`` folders (a metadata listing)."""
+    """Dates of the ``col=yyyy-MM-dd`` folders (a metadata listing). The
+    folder of rows without a date is not among them."""
     fs, root, _ = _fs(spark, path)
     if not fs.exists(root):
         return []
     out = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(col + "="):
+        if st.isDirectory() and name.startswith(col + "=") and not name.endswith(NO_DATE):
             out.append(_dt.date.fromisoformat(name.split("=", 1)[1]))
     return sorted(out)
 
@@ -222,7 +241,8 @@ def _overwrite_dates(spark: SparkSession, path: str, col: str, dates, write) ->
 
 def expire(spark: SparkSession, path: str, as_of, days: int, col: str = "order_date") -> int:
     """Drop partitions older than ``as_of - days`` (kept: col >= as_of -
-    days). Deletes whole partition folders; no data is rewritten."""
+    days). Deletes whole partition folders; no data is rewritten. Rows
+    without a date have no age and stay."""
     cutoff = to_date_value(as_of) - _dt.timedelta(days=days)
     old = [d for d in partition_dates(spark, path, col) if d < cutoff]
     return _delete_partitions(spark, path, col, old)

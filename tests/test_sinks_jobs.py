@@ -74,11 +74,11 @@ def test_incremental_ingest_each_file_once(spark, tmp_path):
     rec = {"order_id": 1, "customer_id": 5, "product": "Widget A", "quantity": 1, "price": 2.0,
            "total_amount": 2.0, "order_date": "2024-01-15", "region": "North", "channel": "Online"}
     put("a.json", [rec, {**rec, "order_id": 2}])
-    assert ingest_new_files(spark, src, target, ckpt, timeout_s=300) == 2
-    assert ingest_new_files(spark, src, target, ckpt, timeout_s=300) == 0
+    assert ingest_new_files(spark, src, target, ckpt) == 2
+    assert ingest_new_files(spark, src, target, ckpt) == 0
     assert spark.read.parquet(target).count() == 2
     put("b.json", [{**rec, "order_id": 3}])
-    ingest_new_files(spark, src, target, ckpt, timeout_s=300)
+    ingest_new_files(spark, src, target, ckpt)
     assert sorted(r.order_id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
 
 
@@ -96,9 +96,9 @@ def test_generate_sales_deterministic(spark):
 def test_run_daily_success_error_and_rerun(spark, tmp_path):
     raw = generate_sales(spark, RUN_DATE, 40, seed=3)
     base = str(tmp_path / "wh")
-    ok = run_daily(spark, raw, base, RUN_DATE, exact=False).first()
+    ok = run_daily(spark, raw, base, RUN_DATE, exact=False, summary_date=RUN_DATE).first()
     assert ok.status == "success" and ok.records_processed == 40
-    again = run_daily(spark, raw, base, RUN_DATE, exact=False).first()
+    again = run_daily(spark, raw, base, RUN_DATE, exact=False, summary_date=RUN_DATE).first()
     assert again.records_processed == 40                      # rerun replaces, no doubling
     assert spark.read.parquet(f"{base}/raw_sales").count() == 40
     assert spark.read.parquet(f"{base}/daily_summary").count() == 1

@@ -49,7 +49,11 @@ def test_dedupe_and_anti_join(spark):
     batch = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "z")], "id int, v string")
     assert {tuple(r) for r in dedupe_by_key(batch.filter("id is not null")).collect()} == {(1, "a"), (2, "c")}
     existing = spark.createDataFrame([(2,)], "id int")
-    assert [tuple(r) for r in new_rows_by_key(batch, existing).collect()] == [(1, "a")]
+    keyed = batch.filter("id is not null")
+    assert [tuple(r) for r in new_rows_by_key(keyed, existing).collect()] == [(1, "a")]
+    assert {tuple(r) for r in new_rows_by_key(keyed, None).collect()} == {(1, "a"), (2, "c")}
+    with pytest.raises(Exception, match="a row has no id"):
+        new_rows_by_key(batch, existing).collect()
 
 
 def _snap(user, ts, sid, city, results=True, postcode=1234):
@@ -90,13 +94,3 @@ def test_run_users_job(spark, tmp_path):
     assert run_users(spark, str(docs), table).count() == 1
     assert run_users(spark, str(docs), table).count() == 0
     assert read_users(spark, table).filter(F.col("id") == 1293234).count() == 1
-
-
-def test_anti_join_keys_both_paths(spark):
-    from ledgerline.operators.joins import anti_join_keys
-    left = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "id int, v string")
-    right = spark.createDataFrame([(i,) for i in range(0, 200, 3)], "id int")
-    expect = sorted(i for i in range(50) if i % 3)
-    for bound in (0, 1000):          # 0 forces the shuffle path, 1000 the broadcast path
-        got = sorted(r.id for r in anti_join_keys(left, right, "id", bound).collect())
-        assert got == expect
