@@ -42,9 +42,9 @@ FORMAT = "token-shard-1"
 NO_DICTIONARY = "0" * 64
 #: Distinct words whose ids a Python worker keeps; past it the cache is
 #: emptied and fills again, which changes time, not results.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 #: Text bytes that are encoded at once in a task.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 READ_BYTES = 4 << 20
 
 MANIFEST_SCHEMA = ("shard long, name string, n_docs long, n_tokens long, "
@@ -157,8 +157,10 @@ class Encoder:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[codes]
         ends = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
-        shift = (np.cumsum(sizes, dtype=np.int64) - sizes)[codes] - ends[:-1]
-        ids = table[np.arange(ends[-1]) + np.repeat(shift, n)]
+        small = np.int32 if max(ends[-1], len(table)) < 1 << 30 else np.int64
+        place = np.repeat(((np.cumsum(sizes, dtype=np.int64) - sizes)[codes] - ends[:-1]).astype(small), n)
+        place += np.arange(ends[-1], dtype=small)
+        ids = table[place]
         offsets = chunked.offsets.to_numpy()
         return ids, ends[offsets - offsets[0]]
 
