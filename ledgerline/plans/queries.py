@@ -439,3 +439,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 HEADLINE = ("enrich_range", "customer_order_sequence", "daily_summary_backfill", "top_customers",
             "product_performance", "current_month_sales", "quality_profile_raw", "sales_report",
             "gates", "revenue_variance", "latest_snapshot", "keyed_append", "user_flatten")
+
+# Timed beside them: queries whose feature is a write.
+WRITERS = ("user_ingest_job", "report_json", "idempotent_summary", "retention_90")
