@@ -172,7 +172,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, bytes]]]:
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"),
                             F.col("text").cast("binary").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-int(total) // BLOCK_BYTES)
+    n = max(1, -(-int(total) // BLOCK_BYTES))
     for k in range(n):
         mine = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else rows
         yield [(r.item_id, bytes(r.text)) for r in mine.where("text IS NOT NULL").collect()]
@@ -191,7 +191,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
            .withColumn("__d_spans", F.array().cast(_SPANS))
            .withColumn("__d_items", F.array().cast("array<string>")))
     schema = out.schema
-    for items in [*_blocks(benchmark)] or [[]]:
+    for items in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(items)
         out = out.mapInArrow(_scanner(shared, window), schema)
     return out

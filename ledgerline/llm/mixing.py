@@ -292,5 +292,6 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), with_shard: bool = False) -> DataFr
     out = rows.select(*columns, "__m_hash", F.explode(draws).alias("__m_draw"))
     out = (out.select(*columns, F.col("__m_draw.shard").alias("__m_shard"),
                       F.xxhash64(F.lit(mix.seed + 4), "__m_hash", "__m_draw.pass").alias("__m_turn"))
-           .repartition(plan.shards, "__m_shard").sortWithinPartitions("__m_shard", "__m_turn"))
+           .repartitionById(plan.shards, F.col("__m_shard").cast("int"))
+           .sortWithinPartitions("__m_shard", "__m_turn"))
     return out.select(*columns, *(["__m_shard"] if with_shard else []))
