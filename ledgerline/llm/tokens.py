@@ -42,7 +42,7 @@ FORMAT = "token-shard-1"
 NO_DICTIONARY = "0" * 64
 #: Distinct words whose ids a Python worker keeps; past it the cache is
 #: emptied and fills again, which changes time, not results.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 #: Text bytes that are encoded at once in a task.
 ENCODE_BYTES = 2 << 20
 READ_BYTES = 4 << 20
