@@ -14,8 +14,9 @@ successors are already chained up to the first place beyond it. Starting at
 offset 0 of each file, pointer jumping (reached places are joined with the
 jump table, the jump table with itself) finds where the true chain enters
 each block, in a logarithmic number of rounds. Record magic inside a payload
-is a place too, but no chain from the file's start reaches it. Each entry's
-chain is then read record by record.
+is a place too, but no chain from the file's start reaches it; one whose
+record would end beyond the file is no place. Each entry's chain is then read
+record by record.
 
 Defined cases: a null html is an empty payload; a null url is left out; a
 row without page_id is a revisit if its payload has a response, and else a
@@ -48,6 +49,8 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConte
 #: bytes is read on until it has one or the file ends.
 HEAD_BYTES = 1 << 14
 BLOCK_BYTES = 8 << 20
+#: Fixed value: lengths of more digits may not fit an offset of 64 bits.
+LENGTH_DIGITS = 18
 #: Rows of the digest table up to which it is broadcast (some 100 bytes each).
 BROADCAST_DIGESTS = 200_000
 
@@ -141,7 +144,11 @@ def _head(read, at: int, limit: int) -> tuple[dict[str, str], int] | None:
         if not colon:
             return None
         headers[key.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if not headers.get("content-length", "").isdecimal():
+    length = headers.get("content-length", "")
+    if not (length.isascii() and length.isdecimal()):
+        return None
+    headers["content-length"] = length.lstrip("0") or "0"
+    if len(headers["content-length"]) > LENGTH_DIGITS:
         return None
     return headers, at + end + 4
 
@@ -174,6 +181,8 @@ def _starts(file, begin: int, end: int, limit: int) -> list[tuple[int, int]]:
         if head is None:
             continue
         follows = head[1] + int(head[0]["content-length"]) + 4
+        if follows > limit:
+            continue
         # A place that follows inside the block but isn't one ends the chain
         # there; reading it is an error if the chain is the true one.
         leaves[at] = leaves.get(follows, follows)
@@ -254,6 +263,8 @@ def _read_chain(file, at: int, end: int, limit: int, with_payload: bool) -> list
             raise ValueError(f"no record at offset {at}")
         headers, body_at = head
         length = int(headers["content-length"])
+        if body_at + length + 4 > limit:
+            raise ValueError(f"record at offset {at} ends beyond the file")
         body = block(body_at, length)
         if block(body_at + length, 4) != b"\r\n\r\n":
             raise ValueError(f"record at offset {at} doesn't end where its length says")

@@ -76,3 +76,31 @@ def test_empty_table(spark):
     folder = scratch_path(spark, "warc")
     manifest = warc.write_archives(spark.createDataFrame([], PAGES), folder)
     assert warc.read_archives(manifest, folder).count() == 0
+
+
+@pytest.mark.parametrize("block", [700, 8 << 20])
+def test_planted_lengths_beyond_the_file(spark, block):
+    """Magic in payloads with lengths that fit no offset, or no int()."""
+    bait = "<p>x</p>WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %s\r\n\r\nfake"
+    lengths = ["1" + "0" * 20, "9" * 5000, str(2**63 - 1), str(2**63), "9" * 18, "0" * 5000 + "7", "\u0663\u0663"]
+    rows = [(k, f"http://a/{k}", bait % n, "c1", "c2", "c3") for k, n in enumerate(lengths)]
+    rows += [(50 + k, "h", f"page {k} " * 60, "c1", "c2", "c3") for k in range(8)]
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), folder)
+    got = warc.read_archives(manifest, folder, block_bytes=block).collect()
+    assert sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to))
+                  for r in got) == brute(rows)
+
+
+def test_a_record_that_ends_beyond_the_file_is_an_error(spark, page_rows):
+    folder = scratch_path(spark, "warc")
+    manifest = warc.write_archives(spark.createDataFrame(page_rows[:4], PAGES).coalesce(1), folder)
+    name = manifest.first()["name"]
+    fs, path = warc.open_fs(folder)
+    with fs.open_input_stream(f"{path}/{name}") as f:
+        data = f.read()
+    with fs.open_output_stream(f"{path}/{name}") as f:
+        f.write(data[:-1])
+    short = spark.createDataFrame([(name, len(data) - 1, 5)], warc.MANIFEST)
+    with pytest.raises(Exception, match="ends beyond the file"):
+        warc.read_archives(short, folder, block_bytes=1 << 20).collect()
