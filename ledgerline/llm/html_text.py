@@ -58,23 +58,45 @@ FURNITURE = frozenset(
 FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar "
     "form status toolbar".split())
-#: Name parts (of class and id) of furniture: whole parts, and beginnings.
-FURNITURE_NAMES = frozenset("ad ads adv dfp sponsored popup modal overlay toolbar pager login signup "
-                            "register hidden skip rss tags meta byline".split())
-FURNITURE_STARTS = ("advert", "banner", "breadcrumb", "comment", "consent", "cookie", "disclaimer",
-                    "disqus", "foot", "masthead", "menu", "nav", "newsletter", "notice", "notif",
-                    "paginat", "promo", "recommend", "related", "replies", "respond", "share",
-                    "sidebar", "social", "sponsor", "subscri", "widget")
-#: Readers may write more than the author: no size saves these.
-COMMENTS = re.compile(r"comment|disqus|repl(?:y|ies)|respond", re.I)
-HEADER_STARTS = ("header", "topbar")
+#: Names of furniture, as whole parts of a class or id. The plain ones mean
+#: nothing else; the others count where nothing in their class or id but
+#: layout words stands beside them ("share-buttons", not "share-prices").
+PLAIN_NAMES = frozenset(
+    "ads adv advert adverts advertisement advertisements advertising adsense dfp sponsored popup modal "
+    "toolbar pager login signup rss byline breadcrumb breadcrumbs disqus footer masthead navbar navigation "
+    "navmenu newsletter pagination paginator sidebar sidebars subscribe".split())
+COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+FURNITURE_NAMES = PLAIN_NAMES | COMMENT_NAMES - {"reply"} | frozenset(
+    "ad overlay register hidden skip tags meta banner banners consent cookie cookies cookiebar "
+    "disclaimer disclaimers foot menu menus menubar nav navs notice notices notification notifications "
+    "promo promos promotion promotions recommend recommended recommendation recommendations related "
+    "share shares sharing sharebar sharebox social subscription subscriptions sponsor sponsors widget "
+    "widgets".split())
+HEADER_NAMES = frozenset("header headers topbar".split())
+LAYOUT_NAMES = frozenset(
+    "a area article articles aside bar block blocks body bottom box btn button buttons card cards center "
+    "col column cont container content contents count desktop div element entry feed fixed float form "
+    "full global group header heading holder home icon icons id inline inner item items js label large "
+    "layout left link links list lists main media mid middle mini mobile module modules nav new news "
+    "outer page pages pane panel part placeholder post posts pre primary primer region responsive right "
+    "row rhs lhs secondary section sections side simple site slot small sticky stories story sub tab "
+    "text the thread title tool tools top ui ul unit view web wrap wrapper wrappers zone".split())
+#: Words beside a comment name in the containers of readers' comments.
+COMMENT_LAYOUT = frozenset("area block body box container content div form inner item list section text "
+                           "thread title wrap wrapper".split())
 CONTENT_NAMES = frozenset("article content entry main post story text body".split())
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+RUNNING = HEADINGS | frozenset("p pre blockquote figcaption".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 START_POINTS = {"article": 10, "main": 10, "div": 5, "section": 5, "blockquote": 3, "td": 3,
                 "ul": -3, "ol": -3, "dl": -3, "h1": -5, "h2": -5, "h3": -5, "h4": -5, "th": -5}
 
 
+#: Characters of text a link in a menu inside an article has, on average.
+SHORT_LINK = 15
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "children", "size", "linked", "points")
 
@@ -135,29 +157,51 @@ def _end_any(here: Node, tags: frozenset, stop: frozenset) -> Node:
     return out
 
 
-def _is_furniture(node: Node) -> bool:
+def _is_furniture(node: Node, inside: bool) -> bool:
     tag = node.tag
     if tag in FURNITURE:
         return True
     if tag == "header":
-        return not _inside_article(node)
+        return not inside
     if not node.attrs:
         return False
-    names: set[str] = set()
     for key, *values in ATTR.findall(node.attrs):
         key, value = key.lower(), "".join(values)
         if (key == "role" and value.lower() in FURNITURE_ROLES
                 or key == "aria-hidden" and value.lower() == "true"
                 or key == "style" and HIDES.search(value)):
             return True
-        if key in ("class", "id"):
-            names |= {p.lower() for p in NAME_PARTS.findall(value)}
     if HIDDEN.search(node.attrs):
         return True
-    if names & FURNITURE_NAMES or any(n.startswith(FURNITURE_STARTS) for n in names):
+    names = _names(node)
+    if tag in ("article", "main"):
+        return any(map(_of_readers, names))
+    if tag in RUNNING and inside:
+        return False
+    if any(map(_of_furniture, names)):
         return True
-    return (any(n.startswith(HEADER_STARTS) for n in names) and not names & CONTENT_NAMES
-            and not _inside_article(node))
+    parts = frozenset().union(*names)
+    return bool(parts & HEADER_NAMES) and not parts & CONTENT_NAMES and not inside
+
+
+def _names(node: Node) -> list[frozenset[str]]:
+    """The parts of each class and of the id, digits left out."""
+    out = []
+    for key, *values in ATTR.findall(node.attrs):
+        if key.lower() in ("class", "id"):
+            out += [frozenset(p.lower() for p in NAME_PARTS.findall(v) if not p.isdigit())
+                    for v in "".join(values).split()]
+    return out
+
+
+def _of_furniture(parts: frozenset[str]) -> bool:
+    return bool(parts & PLAIN_NAMES) or bool(parts & FURNITURE_NAMES) and parts <= FURNITURE_NAMES | LAYOUT_NAMES
+
+
+def _of_readers(parts: frozenset[str]) -> bool:
+    """The name of a container of readers' comments. They may write more
+    than the author: no size saves it."""
+    return bool(parts & COMMENT_NAMES) and parts <= COMMENT_NAMES | COMMENT_LAYOUT
 
 
 def _inside_article(node: Node) -> bool:
@@ -190,30 +234,31 @@ def _measure(root: Node) -> list[Node]:
 
 def _prune(root: Node) -> list[Node]:
     """Take furniture out. A name alone does not condemn a subtree that
-    holds the page's article or more than half of its running text."""
+    holds an article or more than half of the page's running text, but for
+    readers' comments."""
     nodes = _measure(root)
     running = sum(n.size - n.linked for n in nodes if n.tag in PARAGRAPHS)
     holds = set()
     for n in nodes:
-        if n.tag in ("article", "main"):
+        if n.tag in ("article", "main") and not any(map(_of_readers, _names(n))):
             p = n.parent
             while p is not None and id(p) not in holds:
                 holds.add(id(p))
                 p = p.parent
-    queue = [root]
+    queue = [(root, False)]
     while queue:
-        node = queue.pop()
+        node, inside = queue.pop()
+        inside = inside or node.tag in ("article", "main")
         kept = []
         for c in node.children:
             if not isinstance(c, str):
-                if _is_furniture(c):
+                if _is_furniture(c, inside):
                     by_name = c.tag not in FURNITURE
                     wraps = id(c) in holds or (2 * (c.size - c.linked) > running > 0
-                                               and c.tag not in PARAGRAPHS and 4 * c.linked < c.size
-                                               and not COMMENTS.search(c.attrs))
-                    if not (by_name and wraps):
+                                               and c.tag not in PARAGRAPHS and 4 * c.linked < c.size)
+                    if not (by_name and wraps) or any(map(_of_readers, _names(c))):
                         continue
-                queue.append(c)
+                queue.append((c, inside))
             kept.append(c)
         node.children = kept
     return _measure(root)
@@ -266,9 +311,12 @@ def best_container(root: Node, nodes: list[Node]) -> Node:
 
 
 def _menu(node: Node) -> bool:
-    """A list or box that is all but links only."""
-    return (node.tag in ("ul", "ol", "dl", "div", "section", "table") and node.size > 0
-            and node.linked > 0.8 * node.size and _links(node) >= 3)
+    """A list or box that is all but links only; in an article only a list
+    of short ones, since sources and references are links too."""
+    if (node.tag not in ("ul", "ol", "dl", "div", "section", "table") or not node.size
+            or node.linked <= 0.8 * node.size or (links := _links(node)) < 3):
+        return False
+    return not _inside_article(node) or node.tag in ("ul", "ol", "dl") and node.size < SHORT_LINK * links
 
 
 def _links(node: Node) -> int:

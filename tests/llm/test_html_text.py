@@ -31,6 +31,32 @@ def test_main_text(page, want):
     assert H.main_text(page) == want
 
 
+LINKS = "".join(f"<li><a href=#{k}>A cited work with a long title, number {k}</a></li>" for k in range(4))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<article><p>{P1}</p><h2 id="related-work">Related work</h2><p id="footprint">{P2}</p></article>',
+     f"{P1}\n\nRelated work\n\n{P2}"),
+    (f'<article><h2 id="menu-planning">Menus</h2><p class="shareholders">{P1}</p><p class="notice">{P2}</p></article>',
+     f"Menus\n\n{P1}\n\n{P2}"),
+    (f'<article><p>{P1}</p><section class="social-history"><p>{P2}</p></section><div class="footnotes">1 See a.</div>'
+     '</article>', f"{P1}\n\n{P2}\n\n1 See a."),
+    (f'<div><p>{P1}</p><h2 id="related-work">Related work</h2><p id="footprint">{P2}</p></div>',
+     f"{P1}\n\nRelated work\n\n{P2}"),
+    (f'<article class="post comments-open"><p>{P1}</p></article>', P1),
+    (f'<article><p>{P1}</p></article><article hidden class="x"><p>{P2}</p></article>', P1),
+    (f'<article class="commentary"><p>{P1}</p></article>', P1),
+    (f'<div class="has-share"><main class="related"><p>{P1}</p></main></div>', P1),
+    (f'<article><p>{P1}</p></article><div id="comments"><article class="comment-body"><p>{P2} {P2}</p></article></div>', P1),
+    (f'<article><p>{P1}</p><div class="share-buttons">Tell</div><div class="related-posts"><p>{P2}</p></div>'
+     f'<div class="site-footer">f</div></article>', P1),
+    (f"<article><p>{P1}</p><ul>{LINKS}</ul></article>",
+     "\n\n".join([P1, *(f"A cited work with a long title, number {k}" for k in range(4))])),
+])
+def test_names_take_only_furniture(page, want):
+    assert H.main_text(page) == want
+
+
 @pytest.mark.parametrize("page", [
     "<a " * 60_000, "<p x='" + "y" * 200_000, "<div>" * 20_000 + "deep", "<!--" + "-" * 200_000, "<" * 200_000,
     "<a b=" * 40_000, "<p " + "a" * 200_000 + ">t", "<script>" * 20_000, "</p>" * 50_000, "<li>" * 20_000 + "x",
