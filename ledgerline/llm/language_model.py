@@ -9,6 +9,16 @@ share of its tail class. Both softmaxes sum weight rows of hashed features:
 the word before and the word before that (skip), for the class also the two
 together.
 
+On top of that model stand exact counts of all n-grams of the words
+themselves: the word after the word before, after the word before that
+(skip), and after both. Each level mixes its counts with the level below (see
+``interpolate``), so every word has an identity as target and as context,
+whatever the size of the vocabulary, and what is gathered grows with the
+corpus. N-grams are counted as 64-bit hashes in blocks sized from the token
+count: groups of documents send each block their distinct n-grams and get
+the corpus counts of these back. A token of a training document is scored
+without its own occurrence in the n-gram counts.
+
 Training. Every training document is visited once, in ``rounds`` growing
 shares by hash: each task runs Adagrad over its documents from the shared
 weights and gives back how far each row moved, and the moves are averaged by
@@ -28,6 +38,7 @@ not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,6 +54,15 @@ FOLDS = 10
 #: No word has a space, so the end token can't clash with one.
 END = " "
 NEVER = -40.0
+#: Tokens of the documents that ask for n-gram counts together.
+GROUP_TOKENS = 1 << 20
+#: N-gram keys in one block, about; a key is its block and KEY_BITS.
+BLOCK_KEYS = 1 << 21
+KEY_BITS = np.uint64(40)
+#: Counts a level needs to weigh as much as the level below.
+SKIP_PRIOR, BEFORE_PRIOR, JOINT_PRIOR = 16.0, 16.0, 4.0
+#: What the skip and bigram counts get of the mix with the level below.
+SKIP_SHARE, BEFORE_SHARE = 0.25, 0.5
 
 
 @dataclass(frozen=True)
@@ -126,6 +146,10 @@ class Counts:
     tail_distinct: tuple[int, ...]
     vocabulary_counts: tuple[int, ...]
 
+    @property
+    def local_ids(self) -> np.ndarray:
+        return np.array([k for k, _ in self.local.values()], "<u2")
+
 
 def gather_counts(counts: DataFrame, shape: Shape) -> Counts:
     """``counts`` is written down. The local words are all that occur at
@@ -160,47 +184,49 @@ def gather_counts(counts: DataFrame, shape: Shape) -> Counts:
 
 
 ENCODED = ("row long, doc_id long, held_out boolean, share double, n_tokens long, n_local long, "
-           "log_local double, log_tail double, ids binary, deep array<struct<word:string,n:int>>")
+           "log_local double, group long, words binary, deep array<struct<word:string,n:int>>")
 _DEEP = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
 
 
 def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
-    """Each row's tokens as model ids (little-endian uint16), the sums of
-    log10(count + 0.1) over its local words (``log_tail``: over those in tail
-    classes), and its other words with their numbers (``deep``)."""
+    """Each row's tokens (``words``: places among the local words, and behind
+    them in ``deep``, see ``_places``), the sum of log10(count + 0.1) over
+    its local words, and its other words with their numbers (``deep``). Rows
+    of one ``group`` hold about GROUP_TOKENS."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts.local)
-    tails, vocabulary = shape.tail_classes, shape.vocabulary
+    group_tokens = GROUP_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = shared.value
-        end_id, end_n = local.get(END, (vocabulary + tail_class(END, tails), 0))
+        places = {w: k for k, w in enumerate(local)}
+        end_n = local.get(END, (0, 0))[1]
         for batch in batches:
             codes, distinct, offsets = words_of(batch.column("text"))
             got = [local.get(w) for w in distinct]
-            model_id = np.array([g[0] if g else vocabulary + tail_class(w, tails)
-                                 for g, w in zip(got, distinct, strict=True)], "<u2")
             n = np.array([g[1] if g else 0 for g in got], float)
             log_n = np.log10(n + 0.1)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             rows, size = batch.num_rows, np.diff(offsets) + 1
             deep = (n == 0)[codes]
-            in_tail = (model_id >= vocabulary)[codes] & ~deep
             # Without any word, bincount counts in integers.
             log_local = np.bincount(doc[~deep], log_n[codes[~deep]], rows).astype(float)
-            log_tail = np.bincount(doc[in_tail], log_n[codes[in_tail]], rows).astype(float)
             n_local = np.bincount(doc[~deep], minlength=rows)
             if end_n:
                 log_local += np.log10(end_n + 0.1)
                 n_local += 1
-                if end_id >= vocabulary:
-                    log_tail += np.log10(end_n + 0.1)
-            ids = model_id[codes]
-            packed = [np.append(ids[a:b], np.array([end_id], "<u2")).tobytes()
-                      for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            pairs, times = np.unique(doc[deep] * max(1, len(distinct)) + codes[deep], return_counts=True)
+            pairs, back, times = np.unique(doc[deep] * max(1, len(distinct)) + codes[deep],
+                                           return_inverse=True, return_counts=True)
             of, word = np.divmod(pairs, max(1, len(distinct)))
             starts = np.searchsorted(of, np.arange(rows + 1)).astype(np.int32)
+            place = np.array([places.get(w, 0) for w in distinct], "<u4")[codes]
+            place[deep] = len(local) + back - starts[doc[deep]]
+            end_at = np.full(rows, places[END]) if end_n else len(local) + np.diff(starts)
+            packed = [_squeeze(np.append(place[a:b], np.array([e], "<u4")))
+                      for a, b, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), end_at.tolist(), strict=True)]
+            before = np.cumsum(size) - size
+            first = np.searchsorted(before // group_tokens, before // group_tokens)
+            group = batch.column("row").take(pa.array(first))
             words = pa.array(distinct, pa.string()).take(pa.array(word, pa.int64()))
             deep_rows = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays(
                 [words, pa.array(times, pa.int32())], ["word", "n"]))
@@ -209,9 +235,9 @@ def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
                  batch.column("share"), pa.array(size.astype(np.int64)), pa.array(n_local.astype(np.int64)),
-                 pa.array(log_local), pa.array(log_tail), pa.array(packed, pa.binary()), deep_rows],
+                 pa.array(log_local), group, pa.array(packed, pa.binary()), deep_rows],
                 ["row", "doc_id", "held_out", "share", "n_tokens", "n_local", "log_local",
-                 "log_tail", "ids", "deep"])
+                 "group", "words", "deep"])
 
     return (docs.select(F.monotonically_increasing_id().alias("row"),
                         F.col("doc_id").cast("long").alias("doc_id"),
@@ -220,6 +246,41 @@ def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
                         "text").mapInArrow(run, ENCODED))
 
 
+def _squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first, and compressed."""
+    raw = numbers.astype(numbers.dtype.newbyteorder("<")).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _expand(data: bytes, kind: str) -> np.ndarray:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    parts = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(parts.T).view(kind).ravel()
+
+
+def _places(words: pa.Array, deep: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Each row's tokens as places among the local words and, behind them,
+    its deep words."""
+    for packed, far in zip(words.to_pylist(), deep.to_pylist(), strict=True):
+        yield _expand(packed, "<u4").astype(np.int64), [d["word"] for d in far or []]
+
+
+def _model_ids(words: pa.Array, deep: pa.Array, local: np.ndarray, shape: Shape) -> list[bytes]:
+    """Each row's tokens as model ids (little-endian uint16)."""
+    out = []
+    for place, far in _places(words, deep):
+        if far:
+            tails = [shape.vocabulary + tail_class(w, shape.tail_classes) for w in far]
+            inside = place < len(local)
+            ids = np.empty(len(place), "<u2")
+            ids[inside] = local[place[inside]]
+            ids[~inside] = np.array(tails, "<u2")[place[~inside] - len(local)]
+            out.append(ids.tobytes())
+        else:
+            out.append(local[place].tobytes())
+    return out
+
+
 class Weights:
     """Class and word weight rows, flat in one float32 array."""
 
@@ -356,33 +417,35 @@ BLOCK_ROWS = 512
 GROUP_BYTES = 1 << 19
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], int, int]]:
-    """(batch, ids of rows a..b, a, b), of about GROUP_BYTES each."""
-    for batch in batches:
-        packed, a, size = batch.column("ids").to_pylist(), 0, 0
-        for b, ids in enumerate(packed, 1):
-            size += len(ids)
-            if size >= GROUP_BYTES or b == len(packed):
-                yield batch, packed[a:b], a, b
-                a, size = b, 0
+def _cuts(packed: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges a..b of the rows, of about GROUP_BYTES each."""
+    a, size = 0, 0
+    for b, ids in enumerate(packed, 1):
+        size += len(ids)
+        if size >= GROUP_BYTES or b == len(packed):
+            yield a, b
+            a, size = b, 0
 
 
 MOVES = "block int, seen binary, moved binary"
 
 
-def train_round(encoded: DataFrame, w: Weights) -> Weights:
+def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
     """One round over the documents of ``encoded``."""
     spark = encoded.sparkSession
     shape = w.shape
     shared = spark.sparkContext.broadcast(w.flat)
+    local_ids = spark.sparkContext.broadcast(counts.local_ids)
     class_blocks = (1 << shape.class_bits) // BLOCK_ROWS
     blocks = class_blocks + (1 << shape.word_bits) // BLOCK_ROWS
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = Weights(shape, shared.value)
         learner = Learner(Weights(shape, shared.value.copy()))
-        for _, packed, _, _ in _groups(batches):
-            learner.learn(Tokens.of(packed, shape))
+        for batch in batches:
+            packed = _model_ids(batch.column("words"), batch.column("deep"), local_ids.value, shape)
+            for a, b in _cuts(packed):
+                learner.learn(Tokens.of(packed[a:b], shape))
         for b in range(blocks):
             k, at = (0, b) if b < class_blocks else (1, b - class_blocks)
             s = slice(at * BLOCK_ROWS, (at + 1) * BLOCK_ROWS)
@@ -408,7 +471,7 @@ def train_round(encoded: DataFrame, w: Weights) -> Weights:
                 "block": pa.array([b], pa.int32()), "seen": [seen.tobytes()],
                 "moved": [(moved / np.maximum(seen, 1)[:, None]).astype(np.float32).tobytes()]})
 
-    moves = (encoded.select("ids").mapInArrow(learn, MOVES)
+    moves = (encoded.select("words", "deep").mapInArrow(learn, MOVES)
              .repartition(blocks, "block").mapInArrow(add, MOVES))
     out = Weights(shape, w.flat.copy())
     for r in moves.collect():  # one row per block of the model
@@ -418,33 +481,200 @@ def train_round(encoded: DataFrame, w: Weights) -> Weights:
     return out
 
 
+def word_keys(words: list[str]) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+                     for w in words], np.uint64)
+
+
+#: The context of a document's first token.
+START = word_keys(["  "])[0]
+END_KEY = word_keys([END])[0]
+
+
+def gram_keys(kind: int, *words: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the n-grams of ``words``."""
+    x = np.uint64((kind + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    with np.errstate(over="ignore"):
+        for w in words:
+            x = (x ^ w) * np.uint64(0xBF58476D1CE4E5B9)
+            x = x ^ (x >> np.uint64(29))
+            x = x * np.uint64(0x94D049BB133111EB)
+            x = x ^ (x >> np.uint64(32))
+    return x
+
+
+@dataclass
+class Grams:
+    """The n-grams of a group's tokens. ``keys``: distinct words, bigrams,
+    skip pairs and joint n-grams in sorted parts, then (word, END) of each
+    distinct word; ``at``: the tokens' places in ``keys``, by level."""
+
+    place: np.ndarray
+    keys: np.ndarray
+    at: list[np.ndarray]
+    ends: int
+
+    @staticmethod
+    def of(words: np.ndarray, place: np.ndarray) -> "Grams":
+        before = np.where(place >= 1, np.roll(words, 1), START)
+        skip = np.where(place >= 2, np.roll(words, 2), START)
+        parts, at, n = [], [], 0
+        word, back = np.unique(words, return_inverse=True)
+        parts.append(gram_keys(0, word))
+        at.append(back)
+        n += len(word)
+        for keys in (gram_keys(1, before, words), gram_keys(2, skip, words), gram_keys(3, skip, before, words)):
+            part, back = np.unique(keys, return_inverse=True)
+            parts.append(part)
+            at.append(back + n)
+            n += len(part)
+        parts.append(gram_keys(1, word, END_KEY))
+        return Grams(place, np.concatenate(parts), at, n)
+
+    def own(self, learned: np.ndarray) -> np.ndarray:
+        """How often tokens of training documents have each key."""
+        return sum(np.bincount(a[learned], minlength=len(self.keys)) for a in self.at)
+
+    def numbers(self, n: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """From the corpus counts ``n`` of ``keys``: the words' counts, and
+        (n-gram's, context's count) of the skip, bigram and joint level, but
+        for the token itself. A level that a token's place lacks counts 0."""
+        word, pair, skip, joint = (n[a] for a in self.at)
+        starts = np.flatnonzero(self.place == 0)
+        last = np.append(starts[1:], len(word)) - 1
+        documents = np.repeat(word[last], last - starts + 1)  # end tokens
+        context = np.where(self.place >= 1, np.roll(word, 1), documents)
+        before_end = n[self.ends:][self.at[0]]
+        two = np.where(self.place >= 2, np.roll(word - before_end, 2), 0)
+        both = np.where(self.place >= 1, np.roll(pair, 1), 0)
+        less = learned.astype(np.int64)
+        out = []
+        for hit, total, have in ((skip, two, self.place >= 2), (pair, context, self.place >= 0),
+                                 (joint, both, self.place >= 1)):
+            out.append((np.where(have, hit - less, 0), np.where(have, total - less, 0)))
+        return word, out
+
+
+def interpolate(model: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Probabilities from the model's and the (n-gram, context) counts of the
+    skip, bigram and joint level: (n + prior * below) / (context + prior),
+    mixed with the level below. They add up to 1 if the model's do."""
+    p = model
+    for (n, total), prior, share in zip(levels, (SKIP_PRIOR, BEFORE_PRIOR, JOINT_PRIOR),
+                                        (SKIP_SHARE, BEFORE_SHARE, 1.0), strict=True):
+        p = (1 - share) * p + share * (n + prior * p) / (total + prior)
+    return p
+
+
+def _words_of_group(docs: pa.Table, local: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit words, sizes of the documents, whether learned) by token."""
+    keys, sizes = [], []
+    for place, far in _places(docs["words"], docs["deep"]):
+        key = local[np.minimum(place, len(local) - 1)] if len(local) else np.empty(len(place), np.uint64)
+        if far:
+            outside = place >= len(local)
+            key[outside] = word_keys(far)[place[outside] - len(local)]
+        keys.append(key)
+        sizes.append(len(place))
+    sizes = np.array(sizes, np.int64)
+    learned = np.repeat(~docs["held_out"].to_numpy(), sizes)
+    return np.concatenate(keys), sizes, learned
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return _squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(_expand(data, "<u8"), dtype=np.uint64)
+
+
+def _dealt(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the keys by block and rest, bounds of blocks, ordered rests)."""
+    block = (keys >> KEY_BITS) % np.uint64(blocks)
+    rest = keys & ((np.uint64(1) << KEY_BITS) - np.uint64(1))
+    order = np.argsort((block << KEY_BITS) | rest)
+    return order, np.searchsorted(block[order], np.arange(blocks + 1).astype(np.uint64)), rest[order]
+
+
 def model_scores(encoded: DataFrame, w: Weights, counts: Counts) -> DataFrame:
-    """row -> the model's log10 probability but for the counts of words in
-    tail classes."""
+    """row -> the log10 probability of its tokens."""
     spark = encoded.sparkSession
     shape = w.shape
     shared = spark.sparkContext.broadcast(w.flat)
-    tail = np.log10(np.array(counts.tail_tokens) + 0.1 * (np.array(counts.tail_distinct) + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lexicon = spark.sparkContext.broadcast(word_keys(list(counts.local)))
+    local_ids = spark.sparkContext.broadcast(counts.local_ids)
+    tail = np.array(counts.tail_tokens) + 0.1 * (np.array(counts.tail_distinct) + 1)
+    # About three keys a token; those that a group repeats count once.
+    blocks = min(max(1, -(-3 * counts.tokens // BLOCK_KEYS)), 1 << 23)
+
+    def grams(docs: pa.Table) -> tuple[Grams, np.ndarray, np.ndarray]:
+        words, sizes, learned = _words_of_group(docs, lexicon.value)
+        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return Grams.of(words, place), sizes, learned
+
+    def ask(docs: pa.Table) -> pa.Table:
+        docs = docs.sort_by("row")
+        g, _, learned = grams(docs)
+        order, bounds, rest = _dealt(g.keys, blocks)
+        own = g.own(learned)[order].astype("<u4")
+        some = np.flatnonzero(np.diff(bounds)).tolist()
+        cuts = [(int(bounds[b]), int(bounds[b + 1])) for b in some]
+        return pa.table({"group": pa.array([docs["group"][0].as_py()] * len(some), pa.int64()),
+                         "block": pa.array(some, pa.int32()),
+                         "keys": pa.array([_pack(rest[a:b]) for a, b in cuts], pa.binary()),
+                         "n": pa.array([_squeeze(own[a:b]) for a, b in cuts], pa.binary())})
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: dict[int, list[tuple[int, bytes, bytes]]] = {}
+        for batch in batches:
+            for group, block, keys, n in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                asked.setdefault(block, []).append((group, keys, n))
+        while asked:
+            block, parts = asked.popitem()
+            keys = [_unpack(k) for _, k, _ in parts]
+            _, back = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.concatenate([_expand(n, "<u4") for _, _, n in parts])
+            n = np.bincount(back, n)[back].astype("<i8")
+            ends = np.cumsum([len(k) for k in keys]).tolist()
+            yield pa.RecordBatch.from_pydict({
+                "group": pa.array([g for g, _, _ in parts], pa.int64()),
+                "block": pa.array([block] * len(parts), pa.int32()),
+                "n": pa.array([_squeeze(n[b - len(k):b]) for k, b in zip(keys, ends, strict=True)], pa.binary())})
+
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        docs, answers = docs.sort_by("row"), answers.sort_by("block")
+        g, sizes, learned = grams(docs)
+        order, _, _ = _dealt(g.keys, blocks)
+        n = np.empty(len(g.keys), np.int64)
+        n[order] = np.concatenate([_expand(x, "<i8") for x in answers["n"].to_pylist()])
+        word, levels = g.numbers(n, learned)
         w = Weights(shape, shared.value)
-        for batch, packed, a, b in _groups(batches):
-            t = Tokens.of(packed, shape)
-            logs = log_probabilities(t, w)
-            far = t.outcome >= shape.classes
-            logs[far] -= tail[t.outcome[far] - shape.classes]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row").slice(a, b - a), pa.array(np.bincount(t.doc, logs, b - a))],
-                ["row", "model"])
-
-    return encoded.select("row", "ids").mapInArrow(run, "row long, model double")
+        packed = _model_ids(docs["words"], docs["deep"], local_ids.value, shape)
+        logs = []
+        ends = np.cumsum(sizes)
+        for a, b in _cuts(packed):
+            logs.append(log_probabilities(t := Tokens.of(packed[a:b], shape), w))
+            far = np.flatnonzero(t.outcome >= shape.classes)
+            begin = int(ends[a] - sizes[a])
+            logs[-1][far] += np.log10((word[begin + far] + 0.1) / tail[t.outcome[far] - shape.classes])
+        p = interpolate(10 ** np.concatenate(logs), levels)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        return pa.table({"row": docs["row"], "model": np.bincount(doc, np.log10(p), len(sizes))})
+
+    tokens = encoded.select("group", "row", "held_out", "words", "deep")
+    answers = (tokens.groupBy("group").applyInArrow(ask, "group long, block int, keys binary, n binary")
+               .repartition(blocks, "block").mapInArrow(answer, "group long, block int, n binary"))
+    return (tokens.groupBy("group").cogroup(answers.groupBy("group"))
+            .applyInArrow(score, "row long, model double"))
 
 
 def train(encoded: DataFrame, counts: Counts, shape: Shape) -> Weights:
     w, begin = Weights.start(shape, counts), 0.0
     for upto in shape.rounds:
         w = train_round(encoded.where(~F.col("held_out") & (F.col("share") >= begin)
-                                      & (F.col("share") < upto)), w)
+                                      & (F.col("share") < upto)), w, counts)
         begin = upto
     return w
 
@@ -466,8 +696,8 @@ def language_model_report(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     none = F.lit(0)
     log_deep = F.coalesce("log_deep", F.lit(0.0))
     base = float(np.log10(known.tokens + 0.1 * (known.distinct + 1)))
-    return (encoded.drop("ids", "deep").join(models, "row").join(deep, "row", "left").select(
+    return (encoded.drop("words", "deep").join(models, "row").join(deep, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_local") + F.coalesce("deep_known", none)).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("log_local") + log_deep - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        (F.col("model") + F.col("log_tail") + log_deep).alias("score")))
+        F.col("model").alias("score")))

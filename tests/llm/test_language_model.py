@@ -70,3 +70,70 @@ def test_edges(spark, empty):
     docs = spark.createDataFrame([(i, t) for i, t in zip(held, ("a b", None, "a"))], "doc_id long, text string")
     got = sorted(map(tuple, L.language_model_report(docs, SMALL).collect()))
     assert [(r[2], r[3], r[4], r[5]) for r in got] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0), (2, 0, 0, 0.0)]
+
+
+def test_words_outside_the_vocabulary_have_contexts(spark):
+    """600 words, of which 64 are vocabulary, all with the same last letters:
+    which follows which only the words themselves show."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        w, text = rng.randrange(600), []
+        for _ in range(120):
+            text.append(f"t{w}zz")
+            w = (7 * w + rng.choice((1, 2))) % 600
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = [r for r in L.language_model_report(docs, SMALL).collect() if r.held_out]
+    n = sum(r.n_tokens for r in held)
+    assert sum(r.score for r in held) / n > sum(r.base_score for r in held) / n + 1
+
+
+@pytest.mark.parametrize("tokens, keys", [(1 << 18, 1 << 21), (50, 40)])
+def test_gram_counts_equal_brute_force(spark, monkeypatch, tokens, keys):
+    """Scores against counts by plain Python, for any cut into groups and
+    blocks, above the model's starting weights."""
+    monkeypatch.setattr(L, "GROUP_TOKENS", tokens)
+    monkeypatch.setattr(L, "BLOCK_KEYS", keys)
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 90}" for _ in range(rng.randrange(12)))) for i in range(90)]
+    shape = L.Shape(classes=16, class_words=16, tail_classes=4, class_bits=9, word_bits=9, local_words=20)
+    docs = [(i, zlib.crc32(str(i).encode()) % 10 == 0, [*t.split(), " "]) for i, t in rows]
+    pair, skip, joint, one, two, both = (Counter() for _ in range(6))
+    for _, held, t in docs:
+        for k, w in enumerate(t if not held else []):
+            u, v = (t[k - 1] if k else None), (t[k - 2] if k > 1 else None)
+            pair[u, w] += 1
+            one[u] += 1
+            joint[v, u, w] += k >= 1
+            both[v, u] += k >= 1
+            skip[v, w] += k >= 2
+            two[v] += k >= 2
+    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = L.stored(L.count_words(data.where(L.id_hash_mod("doc_id", 10) != 0)), "test-counts")
+    known = L.gather_counts(counts, shape)
+    n_of = {r["word"]: r["n"] for r in counts.collect()}
+    encoded = L.stored(L.encode(data, known, shape), "test-encoded")
+    weights = L.Weights.start(shape, known)
+    got = {r["row"]: r["model"] for r in L.model_scores(encoded, weights, known).collect()}
+    assert encoded.select("group").distinct().count() > (8 if tokens == 50 else 0)
+    texts = {i: (held, t) for i, held, t in docs}
+    assert len(got) == len(rows)
+    ids = {w: k for w, (k, _) in known.local.items()}
+    tail_id = lambda w: shape.vocabulary + L.tail_class(w, shape.tail_classes)
+    for r in encoded.collect():
+        held, words = texts[r["doc_id"]]
+        seen = L.Tokens.of([np.array([ids.get(w, tail_id(w)) for w in words], "<u2").tobytes()], shape)
+        beneath = 10 ** L.log_probabilities(seen, weights)
+        total, own = 0.0, 0 if held else 1
+        for k, w in enumerate(words):
+            p, tail = beneath[k], seen.outcome[k] - shape.classes
+            if tail >= 0:
+                p *= (n_of.get(w, 0) + 0.1) / (known.tail_tokens[tail] + 0.1 * (known.tail_distinct[tail] + 1))
+            u, v = (words[k - 1] if k else None), (words[k - 2] if k > 1 else None)
+            levels = [(skip[v, w] - own, two[v] - own) if k > 1 else (0, 0), (pair[u, w] - own, one[u] - own),
+                      (joint[v, u, w] - own, both[v, u] - own) if k else (0, 0)]
+            for (n, all_), prior, share in zip(levels, (16, 16, 4), (0.25, 0.5, 1), strict=True):
+                p = (1 - share) * p + share * (n + prior * p) / (all_ + prior)
+            total += math.log10(p)
+        assert got[r["row"]] == pytest.approx(total, abs=1e-6)
