@@ -8,8 +8,11 @@ that occurs in some item. A match of at least ``window`` words, or of the
 whole of an item shorter than that, marks its words as hit.
 
 ``contamination_report`` counts; ``decontaminate`` acts: matched spans of at
-least ``min_span`` words are cut from the text, and a document whose hit
-share exceeds ``max_coverage`` is dropped.
+least ``min_span`` words (by default the window) are cut from the text, and
+a document of which such spans are more than ``max_coverage`` is dropped.
+Shorter spans, that is whole items below the window such as an answer of one
+word, are counted but not acted on: clean texts are full of them. Spans that
+touch are one.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of
 text, one automaton each; documents pass through the blocks in turn, row by
@@ -254,11 +257,11 @@ def _cutter(min_span: int, max_coverage: float, has_chars: bool):
             totals = batch.column(at["__d_words"]).to_pylist()
             kept, changed = [], []
             for k, spans in enumerate(all_spans):
-                hit = sum(s["end"] - s["start"] for s in spans)
+                cut = [s for s in spans if s["end"] - s["start"] >= min_span]
+                hit = sum(s["end"] - s["start"] for s in cut)
                 if hit and hit > max_coverage * totals[k]:
                     continue
                 kept.append(k)
-                cut = [s for s in spans if s["end"] - s["start"] >= min_span]
                 if cut:
                     text, edges = texts[k], word_spans(texts[k])
                     parts, last = [], 0
@@ -283,10 +286,10 @@ def _cutter(min_span: int, max_coverage: float, has_chars: bool):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  min_span: int = 1, max_coverage: float = 0.5) -> DataFrame:
-    """``docs`` without contaminated spans of ``min_span`` words or more, and
-    without documents of which more than ``max_coverage`` is hit. n_chars,
-    where present, follows the text."""
+                  min_span: int | None = None, max_coverage: float = 0.5) -> DataFrame:
+    """``docs`` without contaminated spans of ``min_span`` words or more (by
+    default ``window``), and without documents of which such spans are more
+    than ``max_coverage``. n_chars, where present, follows the text."""
     return scan(docs, benchmark, window).mapInArrow(
-        _cutter(min_span, max_coverage, "n_chars" in docs.columns), docs.schema)
+        _cutter(window if min_span is None else min_span, max_coverage, "n_chars" in docs.columns), docs.schema)
 

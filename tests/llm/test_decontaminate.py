@@ -86,6 +86,19 @@ def test_spans_go_and_clean_documents_stay(case):
     assert again.where("contaminated").count() < docs.count() / 20
 
 
+def test_short_items_leave_clean_documents_alone(spark):
+    passage = " ".join(f"q{k}" for k in range(12))
+    items = spark.createDataFrame([(1, "yes"), (2, "New York"), (3, passage)], "item_id long, text string")
+    rows = [doc(1, "Yes."), doc(2, "yes, New York"), doc(3, "I said yes in New York and went home."),
+            doc(4, f"yes to all of this: {passage} and then to much more that is said in New York, yes, a lot"),
+            doc(5, f"yes {passage}")]
+    got = {r.doc_id: r.text for r in decontaminate.decontaminate(spark.createDataFrame(rows, DOCS), items).collect()}
+    assert {k: got[k] for k in (1, 2, 3)} == {r[0]: r[1] for r in rows[:3]}
+    assert got[4] == rows[3][1].replace(passage, "") and 5 not in got
+    report = decontaminate.contamination_report(spark.createDataFrame(rows, DOCS), items)
+    assert report.where("contaminated").count() == 5
+
+
 def test_empty_tables(spark, docs, empty, case):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination_report(docs, none).where("contaminated").count() == 0
