@@ -140,19 +140,21 @@ def fit(texts: pa.Array, toxic: np.ndarray, how: Training = Training()) -> Model
 def training_rows(docs: DataFrame, labels: DataFrame, how: Training) -> DataFrame:
     """(text, toxic) of the sample: labelled ids outside the held-out fold,
     those of the smallest hashes. Ids are chosen on the labels alone; their
-    table, ``how.documents`` rows at most, is broadcast to the texts."""
+    table, ``how.documents`` rows at most, is broadcast to the texts. Equal
+    rows of a document count once."""
     ids = (labels.where((id_hash_mod("doc_id", FOLDS) != 0) & F.col("toxic").isNotNull()
                         & F.col("doc_id").isNotNull())
            .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.documents))
-    return docs.join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    return (docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").distinct()
+            .select("text", "toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Model:
     """Fit on the bounded sample, in one task; the model comes back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [*batches]
-        texts = pa.concat_arrays([b.column("text") for b in got]) if got else pa.array([], pa.string())
+        texts = pa.concat_arrays([b.column("text").cast(pa.large_string()) for b in got]) if got else pa.array([], pa.string())
         toxic = np.concatenate([b.column("toxic").to_numpy(zero_copy_only=False) for b in got] or [[]])
         model = fit(texts, toxic > 0, how)
         yield pa.RecordBatch.from_pydict({"bias": [model.bias],

@@ -62,3 +62,12 @@ def test_edges(spark, docs, empty, rows):
     none = toxicity.toxicity_report(docs, labels.limit(0), HOW).collect()
     assert len({r.score for r in none}) == 1 and none[0].predicted == 0
     assert toxicity.toxicity_report(empty, labels, HOW).count() == 0
+
+
+def test_repeated_rows_are_learned_from_once(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % toxicity.FOLDS]
+    rows = [(i, f"text {i}") for i in ids[:20]] + [(ids[0], "text again")] + [(ids[1], "text 1x")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids[:20]], "doc_id long, toxic int")
+    got = toxicity.training_rows(docs, labels, toxicity.Training()).collect()
+    assert len(got) == 22 and len({r.text for r in got}) == 22
