@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, html_text, language_model, mixing, pii, quality, simhash, tokens, toxicity, warc
+from ledgerline.llm import conversation, decontaminate, html_text, language_model, mixing, pii, quality, simhash, tokens, toxicity, warc
 from ledgerline.llm.common import table
 from ledgerline.llm.oracle import ORACLE_SQL
 from ledgerline.session import scratch_path
@@ -68,6 +69,25 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.html_report(table(spark, sf_dir, "pages"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The damage that operator 11 is to repair, by crc32 of
+    ``conv_id:turn``: rows with 0 ``copies`` (dropped), no text, no end
+    marks, 2 ``copies``, or the user's role."""
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(as_text("conv_id"), F.lit(":"), as_text("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", as_text("role").alias("role"),
+                                as_text("text").alias("text"), kind.alias("kind"))
+    text = (F.when(F.col("kind") == 1, F.lit(""))
+            .when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")))
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        text.alias("text"), F.when(F.col("kind") == 0, 0).when(F.col("kind") == 3, 2).otherwise(1).alias("copies"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.repair_report(damaged(table(spark, sf_dir, "conversations")), "copies")
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -81,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_pii": op9_pii,
     "op10_html_text": op10_html_text,
+    "op11_conversation_repair": op11_conversation_repair,
 }
