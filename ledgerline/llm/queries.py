@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import conversation, decontaminate, html_text, language_model, mixing, pii, quality, simhash, tokens, toxicity, warc
-from ledgerline.llm.common import table
+from ledgerline.llm import conversation, decontaminate, html_text, language_model, mixing, periodic, pii, quality, simhash, tokens, toxicity, warc
+from ledgerline.llm.common import SPACES, WORD, table
 from ledgerline.llm.oracle import ORACLE_SQL
 from ledgerline.session import scratch_path
 
@@ -88,6 +88,28 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair_report(damaged(table(spark, sf_dir, "conversations")), "copies")
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The repeats that operator 12 is to find: where h, the crc32 of the
+    decimal doc_id (null: of no text), is a multiple of 10, the words from
+    number a on are the first p of them over and over."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when((F.col("h") % 10 == 0) & (F.rtrim("text", F.lit(SPACES)) != ""),
+                   F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
+    g = F.expr("h div 10")
+    rows = (docs.select("doc_id", "text", h.alias("h")).withColumn("words", words)
+            .withColumn("n", F.size("words")).withColumn("g", g)
+            .withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+            .withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)")))
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")),
+                                    F.expr("CAST((n - a) div p + 1 AS INT)")))
+    text = F.array_join(F.concat(F.slice("words", 1, F.col("a")), F.slice(tail, 1, F.col("n") - F.col("a"))), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs_report(with_repeats(table(spark, sf_dir, "documents")))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -102,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_html_text": op10_html_text,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
 }
