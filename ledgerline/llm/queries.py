@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import conversation, decontaminate, html_text, language_model, mixing, periodic, pii, quality, simhash, tokens, toxicity, warc
+from ledgerline.llm import conversation, decontaminate, html_text, language_model, mixing, packing, periodic, pii, quality, simhash, tokens, toxicity, warc
 from ledgerline.llm.common import SPACES, WORD, table
 from ledgerline.llm.oracle import ORACLE_SQL
 from ledgerline.session import scratch_path
@@ -110,6 +110,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs_report(with_repeats(table(spark, sf_dir, "documents")))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fmt = packing.PackFormat(tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), fmt).drop("ids")
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -125,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
