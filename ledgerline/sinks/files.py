@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import to_date_value
-from ledgerline.operators.users import new_rows_by_key, to_user_rows
+from ledgerline.operators.users import dedupe_by_key, require_key, to_user_rows
+from ledgerline.session import scratch_path
+from ledgerline.sinks.key_filters import folders_to_read, write_filter
 from ledgerline.sources.files import CSV_QUOTES
 
 DEFAULT_CLUSTER = ("region", "product")
+#: Distinct keys of a batch up to which the stored folders' filters are asked.
+PRUNE_KEYS = 1_000_000
 # Fixed value: the folder name Spark gives a NULL partition value.
 NO_DATE = "=__HIVE_DEFAULT_PARTITION__"
 
@@ -109,22 +113,40 @@ def write_report(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("overwrite").json(path)
 
 
-def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None) -> DataFrame:
+def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None,
+                  prune_keys: int = PRUNE_KEYS) -> DataFrame:
     """K8 + J1: create-if-absent and append users whose key is new.
 
     Each batch is written once, into a folder of its own, and the appended
     rows are read back from there, so the caller's count is the committed
     one. One writer at a time: parquet has no key constraint to stop two
     concurrent appends of the same key.
+
+    Beside each folder goes a Bloom filter of its keys. A batch of up to
+    ``prune_keys`` distinct keys asks the filters which folders may hold one
+    of them and compares with those folders' keys only; a larger one, which
+    would hit them all, compares with every stored key. Either way the
+    anti-join decides, on the keys themselves.
     """
     from ledgerline.operators.users import stamp_created
     spark = batch.sparkSession
     rows = to_user_rows(stamp_created(batch, created_at, as_text=False)
                         if "created_at" not in batch.columns else batch)
-    fresh = new_rows_by_key(rows, _read_or_none(spark, path), key).select(*rows.columns)
-    folder = f"{path.rstrip('/')}/data/batch={uuid.uuid4().hex}"
-    fresh.write.parquet(folder)
-    return spark.read.schema(fresh.schema).parquet(folder)
+    incoming = scratch_path(spark, "incoming")
+    dedupe_by_key(require_key(rows, key), key).select(*rows.columns).write.parquet(incoming)
+    fresh = spark.read.schema(rows.schema).parquet(incoming)
+    data, filters = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/filters"
+    existing = _read_or_none(spark, path)
+    if existing is not None and fresh.count() <= prune_keys:
+        folders = folders_to_read(spark, data, filters, fresh, key)
+        existing = _read_folders(spark, [f"{data}/{f}" for f in folders]) if folders else None
+    if existing is not None:
+        fresh = fresh.join(existing.select(key), key, "left_anti").select(*rows.columns)
+    name = f"batch={uuid.uuid4().hex}"
+    fresh.write.parquet(f"{data}/{name}")
+    appended = spark.read.schema(fresh.schema).parquet(f"{data}/{name}")
+    write_filter(appended, key, appended.count(), f"{filters}/{name}")
+    return appended
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
@@ -144,16 +166,22 @@ def _read_or_none(spark: SparkSession, path: str):
     fs, p, _ = _fs(spark, data)
     if not fs.exists(p):
         return None
-    names = [f.name for f in schemas.USERS.fields]
-    return spark.read.schema(schemas.USERS).parquet(data).select(*names)
+    return _read_folders(spark, [data])
+
+
+def _read_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
+    from ledgerline import schemas
+    return spark.read.schema(schemas.USERS).parquet(*folders).select(*schemas.USERS.names)
 
 
 def truncate_table(spark: SparkSession, path: str, schema) -> None:
     """K9: the table stays and has no rows. A keyed table (``append_by_key``)
-    loses its batch folders; any other is overwritten with an empty frame."""
-    fs, data, _ = _fs(spark, path.rstrip("/") + "/data")
+    loses its batch folders (and their filters, afterwards: a filter without
+    a folder is not asked); any other is overwritten with an empty frame."""
+    fs, data, jvm = _fs(spark, path.rstrip("/") + "/data")
     if fs.exists(data):
         fs.delete(data, True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/filters"), True)
     else:
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
