@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import as_date, days_before, month_start, to_date_value
 from ledgerline.functions.money import as_money, fraction, money_avg, money_sum, money_sum_if, whole
+from ledgerline.operators.partials import (
+    category_conditions, channel_conditions, finished, partial_columns, region_conditions, with_limbs,
+)
 
-# Fixed values that must equal the reference's: the named regions, channels
-# and product categories of the daily summary, and the report limits.
-SUMMARY_REGIONS = ("North", "South", "East", "West")
-SUMMARY_CHANNELS = ("Online", "Retail", "Mobile")
-SUMMARY_CATEGORIES = ("Widgets", "Gadgets")
+# Fixed values that must equal the reference's: the report limits.
 REPORT_DAYS = 30
 TOP_CUSTOMERS_LIMIT = 100
 REPEAT_CUSTOMER_MIN_ORDERS = 1
@@ -42,23 +41,17 @@ def load_stats(df: DataFrame, date=None) -> DataFrame:
 
 def region_columns() -> list[Column]:
     """A3: one conditional sum per named region."""
-    return [money_sum_if(F.col("region") == r, _amount()).alias(f"{r.lower()}_region_revenue")
-            for r in SUMMARY_REGIONS]
+    return [money_sum_if(c, _amount()).alias(n) for n, c in region_conditions().items()]
 
 
 def channel_columns() -> list[Column]:
     """A4: one conditional sum per channel."""
-    return [money_sum_if(F.col("channel") == c, _amount()).alias(f"{c.lower()}_revenue")
-            for c in SUMMARY_CHANNELS]
+    return [money_sum_if(c, _amount()).alias(n) for n, c in channel_conditions().items()]
 
 
 def category_columns() -> list[Column]:
     """A5: named categories plus everything NOT IN them (NULL is neither)."""
-    cat = F.col("product_category")
-    cols = [money_sum_if(cat == c, _amount()).alias(f"{c.lower()}_revenue")
-            for c in SUMMARY_CATEGORIES]
-    cols.append(money_sum_if(~cat.isin(*SUMMARY_CATEGORIES), _amount()).alias("other_revenue"))
-    return cols
+    return [money_sum_if(c, _amount()).alias(n) for n, c in category_conditions().items()]
 
 
 def daily_summary(enriched: DataFrame, start=None, end=None) -> DataFrame:
@@ -69,15 +62,8 @@ def daily_summary(enriched: DataFrame, start=None, end=None) -> DataFrame:
         df = df.filter(F.col("order_date") >= as_date(start))
     if end is not None:
         df = df.filter(F.col("order_date") <= as_date(end))
-    return df.groupBy(F.col("order_date").alias("summary_date")).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        money_sum(_amount()).alias("total_revenue"),
-        money_avg(_amount()).alias("average_order_value"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        *region_columns(), *channel_columns(), *category_columns(),
-        F.sum(F.when(F.col("has_data_quality_issues"), 1).otherwise(0)).cast("bigint")
-         .alias("data_quality_issues_count"),
-    )
+    return finished(with_limbs(df).groupBy(F.col("order_date").alias("summary_date")).agg(
+        *partial_columns(), F.countDistinct("customer_id").alias("unique_customers")))
 
 
 def breakdown(enriched: DataFrame, columns: list[Column]) -> DataFrame:
