@@ -20,6 +20,7 @@ from ledgerline.operators.quality import (
 )
 from ledgerline.operators.reports import daily_summary, load_stats, run_report, sales_report
 from ledgerline.operators.users import flatten_users, stamp_created
+from ledgerline.plans.ledger import RunLedger, files_fingerprint, rows_fingerprint
 from ledgerline.sinks.files import (
     append_by_key, backup, land_raw, partition_dates, write_csv, write_raw, write_report, write_summary,
     write_transformed,
@@ -41,7 +42,7 @@ def _status(spark: SparkSession, status: str, date: str, records=None, revenue=N
 
 def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact: bool = True,
               gate_on=DEFAULT_GATE_ON, mode: str = "dynamic",
-              summary_date=None) -> DataFrame:
+              summary_date=None, resume: bool = False) -> DataFrame:
     """Land -> raw table -> enrich -> stats -> quality gate -> summary.
 
     ``raw`` is any frame with the raw columns; only ``as_of``'s rows are
@@ -50,31 +51,42 @@ def run_daily(spark: SparkSession, raw: DataFrame, base: str, as_of=None, exact:
     ``summary_date``, by default the day before ``as_of`` as in the original
     query. Any failure becomes an ``error`` status row with the message, as
     the original returned it; ``quality_checks`` holds the profile as JSON.
+
+    With ``resume``, completed steps are recorded under ``base/run_ledger``,
+    and steps whose input and files have not changed since are not run again:
+    a run that failed is taken up at the step that failed.
     """
     # No date means today's run; "2024-01-15T06:00:00" keeps the date part.
     day = to_date_value(as_of) if as_of is not None else _dt.date.today()
     date_text = day.isoformat()
     base = base.rstrip("/")
+    landed, stored, made = f"{base}/raw-sales-data", f"{base}/raw_sales", f"{base}/transformed_sales"
+    step = RunLedger(spark, f"{base}/run_ledger", date_text).step if resume else (
+        lambda name, given, run, left=None: run())
+    files = (lambda *folders: files_fingerprint(spark, *folders)) if resume else (lambda *folders: "")
     try:
         rows = raw.filter(F.col("order_date") == F.lit(day)).select(*RAW_COLUMNS)
-        land_raw(rows, f"{base}/raw-sales-data", day)
-        write_raw(read_raw_json(spark, f"{base}/raw-sales-data/{date_text}"), f"{base}/raw_sales",
-                  dates=[day])
-        raw_day = scan_sales(spark, f"{base}/raw_sales", day, day, columns=list(RAW_COLUMNS),
-                             schema=schemas.RAW_SALES_TABLE)
-        write_transformed(enrich(raw_day, day, day), f"{base}/transformed_sales", mode=mode,
-                          dates=[day])
-        transformed = scan_sales(spark, f"{base}/transformed_sales", day, day,
-                                 schema=schemas.TRANSFORMED_SALES)
-        stats = load_stats(transformed, day).first()
-        checks = quality_gate(quality_profile(transformed, day), exact=exact, gate_on=gate_on)
+        of_day = [f"{landed}/{date_text}", f"{stored}/order_date={date_text}", f"{made}/order_date={date_text}"]
+        step("land", rows_fingerprint(rows) if resume else "", lambda: land_raw(rows, landed, day),
+             lambda: files(of_day[0]))
+        step("raw", files(of_day[0]), lambda: write_raw(
+            read_raw_json(spark, of_day[0]), stored, dates=[day]), lambda: files(of_day[1]))
+        raw_day = scan_sales(spark, stored, day, day, columns=list(RAW_COLUMNS), schema=schemas.RAW_SALES_TABLE)
+        step("transform", f"{mode} {files(of_day[1])}", lambda: write_transformed(
+            enrich(raw_day, day, day), made, mode=mode, dates=[day]), lambda: files(of_day[2]))
+        transformed = scan_sales(spark, made, day, day, schema=schemas.TRANSFORMED_SALES)
+        done = files(of_day[2])
+        stats = step("stats", done, lambda: load_stats(transformed, day).first().asDict())
+        checks = step("quality", f"{exact} {sorted(gate_on)} {done}", lambda: quality_gate(
+            quality_profile(transformed, day), exact=exact, gate_on=gate_on))
         sday = to_date_value(summary_date) if summary_date is not None else day - _dt.timedelta(days=1)
         # A date that the table does not hold (the first run, or mode
         # "replace") was not computed here: its stored summary stays.
-        if sday == day or sday in partition_dates(spark, f"{base}/transformed_sales", "order_date"):
-            summary_src = scan_sales(spark, f"{base}/transformed_sales", sday, sday,
-                                     schema=schemas.TRANSFORMED_SALES)
-            write_summary(daily_summary(summary_src, sday, sday), f"{base}/daily_summary", dates=[sday])
+        if sday == day or sday in partition_dates(spark, made, "order_date"):
+            summary_src = scan_sales(spark, made, sday, sday, schema=schemas.TRANSFORMED_SALES)
+            step("summary", files(f"{made}/order_date={sday.isoformat()}"),
+                 lambda: write_summary(daily_summary(summary_src, sday, sday), f"{base}/daily_summary", dates=[sday]),
+                 lambda: files(f"{base}/daily_summary/summary_date={sday.isoformat()}"))
         return _status(spark, "success", date_text, int(stats["row_count"]),
                        float(stats["total_revenue"]), SUCCESS_MESSAGE, None, checks)
     except Exception as exc:  # noqa: BLE001 - the job reports, the caller decides

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.calendar import to_date_value
 from ledgerline.operators.users import dedupe_by_key, require_key, to_user_rows
 from ledgerline.session import scratch_path
+from ledgerline.sinks.clustering import along_curve
 from ledgerline.sinks.key_filters import folders_to_read, write_filter
 from ledgerline.sources.files import CSV_QUOTES
 
@@ -73,10 +74,15 @@ def write_raw(df: DataFrame, path: str, append: bool = False,
 
 
 def write_transformed(df: DataFrame, path: str, mode: str = "dynamic",
-                      cluster_by=DEFAULT_CLUSTER, dates=None) -> None:
+                      cluster_by=DEFAULT_CLUSTER, dates=None, curve: bool = False,
+                      files: int | None = None) -> None:
     """K4: transformed table. ``dynamic`` replaces only the dates present;
-    ``replace`` drops the whole table first (the original keeps one day)."""
-    out = _layout(df, "order_date", cluster_by, "order_id")
+    ``replace`` drops the whole table first (the original keeps one day).
+    ``curve`` lays the rows of large dates out along a Z-order curve through
+    ``cluster_by`` (see ``along_curve``, also for ``files``), so that filters
+    on either column skip files; it reads a sample of ``df`` beforehand."""
+    out = (along_curve(df, "order_date", cluster_by, "order_id", files) if curve
+           else _layout(df, "order_date", cluster_by, "order_id"))
     w = out.write.mode("overwrite").partitionBy("order_date")
     w = w.option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
     _overwrite_dates(df.sparkSession, path, "order_date", None if mode == "replace" else dates,

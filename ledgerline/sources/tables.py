@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import as_date
+from ledgerline.operators.joins import broadcast_if_small
 
 
 def date_range_filter(df: DataFrame, start=None, end=None, col: str = "order_date") -> DataFrame:
@@ -28,3 +29,25 @@ def scan_sales(spark: SparkSession, path: str, start=None, end=None,
     df = reader.parquet(path)
     df = date_range_filter(df, start, end, date_col)
     return df.select(*columns) if columns else df
+
+
+#: Dates of a list that a scan is told at once; a century has 36,525 days.
+MAX_DATES = 100_000
+
+
+def scan_dates(spark: SparkSession, path: str, dates: DataFrame, columns: list[str] | None = None,
+               date_col: str = "order_date", schema=None) -> DataFrame:
+    """S3 for any list of dates: the rows of a table written with
+    ``partitionBy(date_col)`` whose date is in the first column of ``dates``.
+
+    The list is joined to the partition column, and Spark's dynamic partition
+    pruning hands the dates it finds to the scan, which lists and reads their
+    folders only. Pruning is planned for a broadcast list that has a filter;
+    ``broadcast_if_small`` checks the size, and a longer list is joined
+    without pruning.
+    """
+    wanted = dates.select(F.col(dates.columns[0]).cast("date").alias(date_col)).distinct()
+    wanted = wanted.where(F.col(date_col) >= F.lit("0001-01-01").cast("date"))
+    table = scan_sales(spark, path, columns=None, date_col=date_col, schema=schema)
+    out = table.join(broadcast_if_small(wanted, MAX_DATES), date_col, "left_semi").select(*table.columns)
+    return out.select(*columns) if columns else out
