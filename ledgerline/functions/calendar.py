@@ -24,6 +24,11 @@ def as_date(value) -> Column:
     return F.lit(value)
 
 
+def iso_date(text) -> Column:
+    """The date of an ISO date or timestamp text (what stands before "T")."""
+    return F.to_date(F.split(_c(text), "T").getItem(0), "yyyy-MM-dd")
+
+
 def day_of_week(d="order_date") -> Column:
     """1 = Sunday .. 7 = Saturday, as BIGINT."""
     return F.dayofweek(_c(d)).cast("bigint")

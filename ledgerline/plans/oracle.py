@@ -347,4 +347,48 @@ SELECT TIMESTAMP '{P.SNAPSHOT_AS_OF.isoformat(sep=' ')}' AS snapshot_ts, 'city-'
        md5(CAST(event_id AS VARCHAR)) AS uuid FROM latest"""
     q["truncate_users"] = (f"SELECT CAST(0 AS BIGINT) AS after_truncate, COUNT(*) AS after_refill FROM customer "
                            f"WHERE c_mktsegment = '{P.EXISTING_SEGMENT}'")
+    q["run_dates"] = f"""SELECT CAST(ts AS DATE) AS day, COUNT(*) AS events,
+       CAST(ts AS DATE) = DATE '{P.EVENT_DAY_TEXT.split("T")[0]}' AS is_run_date,
+       CAST(ts AS DATE) < current_date AS is_past FROM events GROUP BY 1"""
+    q["insert_stamps"] = f"""WITH {SALES}
+SELECT 'insert' AS rows_of, COUNT(*) AS n, COUNT(*) AS stamped FROM sales
+UNION ALL SELECT 'enrich', COUNT(*), COUNT(*) FROM sales WHERE quantity > 0 AND price > 0"""
+    q["processed_message"] = f"""SELECT printf('Processed %d records, total revenue: $%.2f',
+       CAST(SUM(total_orders) AS BIGINT), SUM(total_revenue)) AS message FROM ({report_sql()})"""
+    q["customer_order_sequence_ranges"] = q["customer_order_sequence"]
+    q["ingest_counts"] = f"""WITH {SALES},
+n AS (SELECT count_if(order_date <= {_d(a)}) AS early, count_if(order_date > {_d(a)}) AS late FROM sales)
+SELECT 'first' AS run, early AS stored FROM n UNION ALL SELECT 'second', late FROM n
+UNION ALL SELECT 'second again', late FROM n UNION ALL SELECT 'third', CAST(0 AS BIGINT) FROM n"""
+    segments = ", ".join(f"'{x}'" for x in P.STORED_SEGMENTS)
+    q["append_filtered"] = f"""SELECT CAST(c.c_custkey AS INTEGER) AS id, split_part(c.c_name, '#', 1) AS firstName,
+       split_part(c.c_name, '#', 2) AS lastName,
+       lower(split_part(c.c_name, '#', 1) || '.' || split_part(c.c_name, '#', 2) || '@example.com') AS email
+FROM customer c WHERE c_mktsegment IN ({segments}) OR c_custkey IN (SELECT o_custkey FROM orders)"""
+    q["snapshot_as_of_event"] = """WITH s AS (
+  SELECT user_id, ts AS snapshot_ts, MAX(event_id) AS snapshot_id FROM events
+  WHERE event_type = 'signup' GROUP BY 1, 2)
+SELECT e.event_id, e.user_id, e.ts, e.event_type, s.snapshot_ts, s.snapshot_id
+FROM events e ASOF LEFT JOIN s ON e.user_id = s.user_id AND e.ts >= s.snapshot_ts"""
+    q["incremental_summary"] = summary_sql()
+    q["stream_summary"] = summary_sql()
+    q["clustered_scan"] = (f"WITH {SALES}, {enriched()} SELECT {ENRICHED_COLS} FROM enriched "
+                           f"WHERE region = '{P.CLUSTER_REGION}' AND product LIKE '{P.CLUSTER_PRODUCT_PREFIX}%'")
+    # The reasons the quarantine gives.
+    q["quarantine"] = f"""WITH {SALES}, lines AS (
+  SELECT *, order_id % 50 AS kind, CAST(to_json(struct_pack(order_id := order_id,
+    customer_id := customer_id, product := product, quantity := quantity, price := price,
+    total_amount := total_amount, order_date := order_date, region := region, channel := channel))
+    AS VARCHAR) AS line FROM sales)
+SELECT {RAW_COLS}, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS text FROM lines
+WHERE kind NOT IN (7, 8)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE kind WHEN 7 THEN 'not a JSON object' ELSE 'a field does not fit its type' END,
+  CASE kind WHEN 7 THEN substring(line, 1, 30) ELSE replace(line, '"quantity":', '"quantity":"x","q":') END
+FROM lines WHERE kind IN (7, 8)"""
+    q["scan_dates"] = (f"WITH {SALES} SELECT {RAW_COLS} FROM sales WHERE order_date IN (SELECT CAST(o_orderdate AS DATE) "
+                       f"FROM orders WHERE o_totalprice > {P.LARGE_ORDER})")
+    q["resumed_run"] = f"""SELECT status, execution_date, records_processed, total_revenue, message, error,
+  CASE status WHEN 'success' THEN 'land:1,quality:1,raw:1,stats:1,transform:1'
+       ELSE 'land:1,raw:1,stats:1,transform:1' END AS steps FROM ({q["run_status"]})"""
     return q

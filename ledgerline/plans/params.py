@@ -14,3 +14,8 @@ SNAPSHOT_AS_OF = _dt.datetime(2024, 1, 20, 0, 0, 0)
 EXISTING_SEGMENT = "BUILDING"
 SEED = 42
 USER_STAMP = _dt.datetime(2025, 6, 17, 4, 24, 45)
+EVENT_DAY_TEXT = "2024-01-15T06:00:00"
+CLUSTER_REGION = "West"
+CLUSTER_PRODUCT_PREFIX = "old"
+LARGE_ORDER = 450_000
+STORED_SEGMENTS = ("BUILDING", "AUTOMOBILE", "MACHINERY")

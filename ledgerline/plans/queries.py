@@ -10,13 +10,16 @@ session's work folder and return what they read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
+from ledgerline.functions.calendar import as_date, iso_date
 from ledgerline.functions.money import money_avg, money_sum, money_sum_if
+from ledgerline.operators.asof import as_of_join
 from ledgerline.operators.enrich import (
     RAW_COLUMNS, clean_filter, derive_sales, enrich, fill_nulls,
 )
@@ -430,6 +433,167 @@ def q_partitioned_scan(spark, d):
                       schema=schemas.RAW_SALES_TABLE)
 
 
+# ---- run dates, stamps, messages -----------------------------------------------
+
+def q_run_dates(spark, d):
+    """Dates from ISO timestamp texts, against a run date given as such a
+    text and against the default run date, today."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    days = TD.table(spark, d, "events").select(iso_date(text).alias("day"))
+    return days.groupBy("day").agg(F.count(F.lit(1)).alias("events")).select(
+        "day", "events", (F.col("day") == as_date(P.EVENT_DAY_TEXT)).alias("is_run_date"),
+        (F.col("day") < as_date(None)).alias("is_past"))
+
+
+def q_insert_stamps(spark, d):
+    """K12 + P10: rows inserted without a stamp get the default of the DDL;
+    enriched rows are stamped. Rows, and those with a stamp of this run."""
+    path, name = scratch_path(spark, "defaults"), f"ledgerline_{uuid.uuid4().hex}"
+    began = spark.range(1).select(F.current_timestamp()).first()[0]
+    rows = _raw(spark, d)
+    rows.createOrReplaceTempView(f"{name}_rows")
+    spark.sql(schemas.ddl(name, schemas.RAW_SALES_TABLE, path))
+    columns = ", ".join(RAW_COLUMNS)
+    spark.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {name}_rows")
+    spark.sql(f"DROP TABLE {name}")
+    spark.catalog.dropTempView(f"{name}_rows")
+    stored = spark.read.schema(schemas.RAW_SALES_TABLE).parquet(path)
+    made = enrich(rows, with_sequence=False)
+    count = lambda df, what, stamp: df.agg(
+        F.lit(what).alias("rows_of"), F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(stamp) >= F.lit(began)).alias("stamped"))
+    return count(stored, "insert", "created_at").unionByName(count(made, "enrich", "processed_at"))
+
+
+def q_processed_message(spark, d):
+    """The extract step's text over the per-date reports."""
+    from ledgerline.plans.jobs import processed_message
+    return processed_message(sales_report(fill_nulls(_csv_frame(spark, d))))
+
+
+# ---- state kept between runs ---------------------------------------------------
+
+def q_customer_order_sequence_ranges(spark, d):
+    """W1 in one pass: range partitions, totals carried across borders."""
+    return enrich(_raw(spark, d), stamp=False, in_ranges=True).select(
+        "customer_id", "order_date", "order_id", "product", "quantity", "customer_order_sequence")
+
+
+def q_ingest_counts(spark, d):
+    """Rows stored per run, by the sink's commit log. The second run is
+    called twice under its id, the last finds nothing new."""
+    from ledgerline.streaming.ingest import ingest_new_files
+    base = scratch_path(spark, "ingest-counts")
+    raw = _raw(spark, d)
+    args = dict(source_dir=f"{base}/landing/*", target=f"{base}/table", checkpoint=f"{base}/checkpoint")
+    raw.filter(F.col("order_date") <= F.lit(P.AS_OF)).write.json(f"{base}/landing/batch=1")
+    found = [("first", ingest_new_files(spark, **args, run_id="first"))]
+    raw.filter(F.col("order_date") > F.lit(P.AS_OF)).write.json(f"{base}/landing/batch=2")
+    for name, run_id in (("second", "second"), ("second again", "second"), ("third", "third")):
+        found.append((name, ingest_new_files(spark, **args, run_id=run_id)))
+    return spark.createDataFrame(found, "run string, stored long")
+
+
+def q_append_filtered(spark, d):
+    """K8: a batch per market segment, then all customers with an order; the
+    filters name the folders to compare with. Every key once."""
+    from ledgerline.sinks.files import append_by_key, read_users
+    path = scratch_path(spark, "append-filtered")
+    for segment in P.STORED_SEGMENTS:
+        append_by_key(flatten_users(TD.user_docs_from_customer(spark, d, segment=segment)), path,
+                      created_at=P.USER_STAMP)
+    append_by_key(flatten_users(TD.user_docs_from_orders(spark, d)), path, created_at=P.USER_STAMP)
+    return read_users(spark, path).select("id", "firstName", "lastName", "email")
+
+
+def q_snapshot_as_of_event(spark, d):
+    """W2 at each event's own time: the user's latest signup at or before."""
+    events = TD.table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    signups = events.where(F.col("event_type") == "signup").select(
+        "user_id", F.col("ts").alias("snapshot_ts"), F.col("event_id").alias("snapshot_id"))
+    return as_of_join(events, signups, "user_id", "ts", "snapshot_ts", "snapshot_id")
+
+
+def q_incremental_summary(spark, d):
+    """A2 + K5 batch by batch; the last batch brings late rows for all
+    dates, and one batch is delivered twice."""
+    from ledgerline.sinks.summary_state import apply_batch, read_summary
+    path = scratch_path(spark, "incremental")
+    rows, part = _report_input(spark, d), F.pmod(F.col("order_id"), F.lit(10))
+    for batch, share in enumerate((part < 6, part.between(6, 8), part == 9)):
+        apply_batch(rows.where(share), path, batch)
+    apply_batch(rows.where(part.between(6, 8)), path, 1)
+    return read_summary(spark, path)
+
+
+def q_stream_summary(spark, d):
+    """T1 + A2: files that hold all dates, taken in over several
+    micro-batches and two runs."""
+    from ledgerline.sinks.summary_state import read_summary
+    from ledgerline.streaming.summary import stream_summary
+    base = scratch_path(spark, "stream-summary")
+    raw, part = _raw(spark, d), F.pmod(F.col("order_id"), F.lit(10))
+    for n, share in enumerate((part < 5, part >= 5)):
+        raw.where(share).repartition(3).write.json(f"{base}/landing/arrival={n}")
+        stream_summary(spark, f"{base}/landing/*", f"{base}/summary", f"{base}/checkpoint",
+                       lateness="36500 days", max_files_per_trigger=2)
+    return read_summary(spark, f"{base}/summary")
+
+
+def q_clustered_scan(spark, d):
+    """K4 along the curve, read back with a filter on both columns."""
+    from ledgerline.sinks.files import write_transformed
+    path = scratch_path(spark, "clustered")
+    write_transformed(_enriched(spark, d), path, curve=True)
+    rows = spark.read.schema(schemas.TRANSFORMED_SALES).parquet(path)
+    return rows.where((F.col("region") == P.CLUSTER_REGION)
+                      & F.col("product").startswith(P.CLUSTER_PRODUCT_PREFIX)).select(*ENRICHED_OUT)
+
+
+def q_quarantine(spark, d):
+    """S4 with rejects: JSON lines of which some are cut off and some hold a
+    text for a number; every record comes back as a row or a reject."""
+    from ledgerline.sources.quarantine import read_rejects, read_rows, take_in
+    base = scratch_path(spark, "quarantine")
+    raw = _raw(spark, d)
+    kind = F.pmod(F.col("order_id"), F.lit(50))
+    line = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
+    raw.select(F.when(kind == 7, F.substring(line, 1, 30))
+               .when(kind == 8, F.replace(line, F.lit('"quantity":'), F.lit('"quantity":"x","q":')))
+               .otherwise(line).alias("value")).write.text(f"{base}/in")
+    take_in(spark, f"{base}/in", f"{base}/table", schemas.RAW_SALES)
+    rows = read_rows(spark, f"{base}/table", schemas.RAW_SALES).select(
+        *RAW_COLUMNS, F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("text"))
+    rejects = read_rejects(spark, f"{base}/table", schemas.RAW_SALES).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RAW_SALES.fields],
+        F.col("reject_reason").alias("reason"), F.col("reject_text").alias("text"))
+    return rows.unionByName(rejects)
+
+
+def q_scan_dates(spark, d):
+    """S3 over a list of dates: all sales of the days with a large order."""
+    from ledgerline.sinks.files import write_raw
+    from ledgerline.sources.tables import scan_dates
+    path = scratch_path(spark, "raw-dates")
+    write_raw(_raw(spark, d), path)
+    days = TD.table(spark, d, "orders").where(F.col("o_totalprice") > P.LARGE_ORDER).select("o_orderdate")
+    return scan_dates(spark, path, days, list(RAW_COLUMNS), schema=schemas.RAW_SALES_TABLE)
+
+
+def q_resumed_run(spark, d):
+    """A run that fails at its quality gate and is taken up there; the
+    status, and how often each step ran."""
+    from ledgerline.plans.jobs import run_daily
+    from ledgerline.plans.ledger import read_ledger
+    base = scratch_path(spark, "resumed")
+    raw = _raw(spark, d, P.AS_OF, P.AS_OF)
+    run_daily(spark, raw, base, P.AS_OF, gate_on=("total_records",), resume=True)
+    status = run_daily(spark, raw, base, P.AS_OF, exact=False, resume=True)
+    steps = F.array_sort(F.collect_list(F.concat_ws(":", "step", "runs")))
+    told = read_ledger(spark, f"{base}/run_ledger").agg(F.array_join(steps, ",")).first()[0]
+    return status.drop("quality_checks").withColumn("steps", F.lit(told))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

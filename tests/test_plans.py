@@ -13,7 +13,9 @@ from ledgerline.operators.users import latest_snapshot, split_snapshot
 SF = "/root/testdata/sf0.001"
 WRITES = {"csv_round_trip", "incremental_ingest", "idempotent_summary", "backup_copy",
           "retention_90", "run_status", "csv_report_job", "user_ingest_job", "report_json",
-          "partitioned_scan"}
+          "partitioned_scan", "insert_stamps", "customer_order_sequence_ranges", "ingest_counts",
+          "append_filtered", "incremental_summary", "stream_summary", "clustered_scan", "quarantine",
+          "scan_dates", "resumed_run"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
