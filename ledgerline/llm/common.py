@@ -60,3 +60,34 @@ def worker_state() -> dict:
 def id_hash_mod(column: str, n: int) -> Column:
     """crc32 of an id as text, modulo ``n`` (null ids: as the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % n
+
+
+class Kept:
+    """Packed ids by word or chunk, in two generations: when the young one is
+    full it becomes the old one, and what is asked for again moves back.
+    Frequent ones so stay, and the number kept is bounded."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def age(self, size: int) -> None:
+        if len(self.young) > size:
+            self.young, self.old = {}, self.young
+
+    def look_up(self, keys: list[str], learn) -> list[bytes]:
+        """The ids of all keys; ``learn`` puts unknown ones into ``young``."""
+        young, old = self.young, self.old
+        packed = list(map(young.get, keys))
+        new = []
+        for k in [k for k, found in enumerate(packed) if found is None]:
+            found = old.get(keys[k])
+            if found is None:
+                new.append(k)
+            else:
+                young[keys[k]] = packed[k] = found
+        if new:
+            learn(list(dict.fromkeys(keys[k] for k in new)))
+            for k in new:
+                packed[k] = young[keys[k]]
+        return packed

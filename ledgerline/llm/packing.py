@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import small_batches, stored, worker_state
+from ledgerline.llm.common import Kept, small_batches, stored, worker_state
 
 #: Distinct chunks of either generation that a Python worker keeps.
 CACHE_CHUNKS = 500_000
@@ -95,35 +95,6 @@ def parts_at_spaces(tokenizer: str) -> bool:
             and not any(t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", [])))
 
 
-class Chunks:
-    """Packed ids by chunk, in two generations: when the young one is full it
-    becomes the old one, and what is asked for again moves back. Frequent
-    chunks so stay, and the number kept is bounded."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def look_up(self, chunks: list[str], learn) -> list[bytes]:
-        """Ids of chunks; ``learn`` puts the unknown ones into ``young``."""
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        packed = list(map(young.get, chunks))
-        missing = [k for k, found in enumerate(packed) if found is None]
-        new = []
-        for k, chunk in zip(missing, map(chunks.__getitem__, missing), strict=True):
-            found = old.get(chunk)
-            if found is None:
-                new.append(k)
-            else:
-                young[chunk] = packed[k] = found
-        if new:
-            learn(list(dict.fromkeys(chunks[k] for k in new)))
-            for k in new:
-                packed[k] = young[chunks[k]]
-        return packed
-
-
 class ByteEncoder:
     """Ids of texts, without end ids."""
 
@@ -140,8 +111,8 @@ class ByteEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.break_ids = self._whole(["\n"])[0]
         self.mark_ids = {m: self._whole([m])[0] for m in _MARKS}
-        self.spaced = Chunks(CACHE_CHUNKS)  # a space and the key, or a line break for _BREAK
-        self.bare = Chunks(CACHE_CHUNKS)  # the key as it stands
+        self.spaced = Kept()  # a space and the key, or a line break for _BREAK
+        self.bare = Kept()  # the key as it stands
 
     def _pack(self, ids) -> bytes:
         return array(self.code, ids).tobytes()
@@ -177,9 +148,11 @@ class ByteEncoder:
                 known.update(zip(rest[k:k + 4096], self._whole(texts[k:k + 4096]), strict=True))
 
     def _spaced(self, chunks: list[str]) -> list[bytes]:
+        self.spaced.age(CACHE_CHUNKS)
         return self.spaced.look_up(chunks, lambda new: self._learn(self.spaced.young, new, self.space))
 
     def _bare(self, chunks: list[str]) -> list[bytes]:
+        self.bare.age(CACHE_CHUNKS)
         return self.bare.look_up(chunks, lambda new: self._learn(self.bare.young, new, ""))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

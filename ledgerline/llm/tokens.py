@@ -36,15 +36,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import open_fs, small_batches, worker_state
+from ledgerline.llm.common import Kept, open_fs, small_batches, worker_state
 
 FORMAT = "token-shard-1"
 NO_DICTIONARY = "0" * 64
-#: Distinct words whose ids a Python worker keeps; past it the cache is
-#: emptied and fills again, which changes time, not results.
-CACHE_WORDS = 150_000
+#: Marks that end many words; the pre-tokenizer parts them from letters.
+MARKS = (".", ",", "!", "?", ":", ";")
+#: Distinct words of either generation (see ``Kept``) whose ids a Python
+#: worker keeps; it changes time, not results.
+CACHE_WORDS = 400_000
 #: Text bytes that are encoded at once in a task.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 6 << 20
+#: Characters of the text that divide the rows of one doc_id among tasks.
+PLACE_CHARS = 48
 READ_BYTES = 4 << 20
 
 MANIFEST_SCHEMA = ("shard long, name string, n_docs long, n_tokens long, "
@@ -95,33 +99,30 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(fmt.tokenizer)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.kept = Kept()
+        self.marked = {m: self._pack(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in MARKS}
         # Special tokens are matched before lower-casing.
         self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
 
     def _pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a run of letters that needs no normalising."""
-        if not word.isascii():
-            word = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return self._pack([t.id for t in self.model.tokenize(word)])
-
     def _learn(self, chunks: list[str]) -> None:
-        known, whole = self.known, []
+        known, old, tokenize, code, whole = self.kept.young, self.kept.old, self.model.tokenize, self.code, []
         for chunk in chunks:
-            core = chunk[:-1] if chunk[-1] in ".,!?:;" else chunk
+            mark = chunk[-1] if chunk[-1:] in MARKS else ""
+            core = chunk[:-1] if mark else chunk
             # Below U+0250 letters are in composed form already.
-            if core.isalpha() and max(core) < "\u0250" and core.islower():
-                if core not in known:
-                    known[core] = self._word(core)
-                if core is not chunk:
-                    mark = chunk[-1]
-                    if mark not in known:
-                        known[mark] = self._pack(
-                            self.tokenizer.encode(mark, add_special_tokens=False).ids)
-                    known[chunk] = known[core] + known[mark]
+            plain = core.isascii()
+            if core.isalpha() and core.islower() and (plain or max(core) < "\u0250"):
+                # A run of letters that needs no normalising.
+                ids = (known.get(core) or old.get(core)) if mark else None
+                if ids is None:
+                    letters = core if plain else core.encode("utf-8").decode("latin-1").translate(self.letters)
+                    ids = array(code, [t.id for t in tokenize(letters)]).tobytes()
+                    if mark:
+                        known[core] = ids
+                known[chunk] = ids + self.marked[mark] if mark else ids
             else:
                 whole.append(chunk)
         for k in range(0, len(whole), 4096):
@@ -142,15 +143,9 @@ class Encoder:
             lower = pc.if_else(pc.match_substring(texts, mark), texts, lower)
         chunked = pc.ascii_split_whitespace(lower)
         coded = chunked.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        self.known[""] = b""
-        packed = list(map(self.known.get, distinct))
-        new = [k for k, p in enumerate(packed) if p is None]
-        self._learn([distinct[k] for k in new])
-        for k in new:
-            packed[k] = self.known[distinct[k]]
+        self.kept.age(CACHE_WORDS)
+        self.kept.young[""] = b""
+        packed = self.kept.look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._learn)
         sizes = np.fromiter(map(len, packed), np.int32, len(packed)) // self.dtype.itemsize
         table = np.frombuffer(b"".join(packed), self.dtype)
         # Lay the chunks' ids end to end.
@@ -258,7 +253,8 @@ def write_tokens(docs: DataFrame, folder: str, fmt: TokenFormat,
             "first_doc": pa.array([int(known[0]) if len(known) else None], pa.int64()),
             "last_doc": pa.array([int(known[-1]) if len(known) else None], pa.int64())})
 
-    (docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # A doc_id of any number of rows is divided by how its texts begin.
+    (docs.repartitionByRange("doc_id", F.substring("text", 1, PLACE_CHARS)).sortWithinPartitions("doc_id", "text")
      .mapInArrow(write_shard, MANIFEST_SCHEMA).write.parquet(f"{folder}/manifest"))
     return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{folder}/manifest")
 

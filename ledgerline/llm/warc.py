@@ -48,6 +48,8 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConte
 #: Header names are short; a start whose head has no end within this many
 #: bytes is read on until it has one or the file ends.
 HEAD_BYTES = 1 << 14
+#: Tasks that read archives at once; past it, a task reads several blocks.
+MAX_TASKS = 50_000
 BLOCK_BYTES = 8 << 20
 #: Fixed value: lengths of more digits may not fit an offset of 64 bits.
 LENGTH_DIGITS = 18
@@ -189,13 +191,20 @@ def _starts(file, begin: int, end: int, limit: int) -> list[tuple[int, int]]:
     return list(leaves.items())
 
 
+def _tasks(manifest: DataFrame, block_bytes: int) -> int:
+    """Partitions for rows that each stand for a block to be read. A number
+    given by us is kept; AQE would merge them by the bytes of the rows."""
+    blocks = F.sum(F.ceil(F.greatest("bytes", F.lit(1)) / block_bytes))
+    return max(1, min(int(manifest.agg(blocks).first()[0] or 1), MAX_TASKS))
+
+
 def chain_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(name, bytes, offset): where the chain from each file's start enters
     the file's blocks. A true chain that breaks leads to an entry that is no
     record, which reading reports."""
     blocks = manifest.select("name", "bytes", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.greatest("bytes", F.lit(1)) - 1) / block_bytes))).alias("block"))
-    blocks = blocks.repartition("name", "block")
+    blocks = blocks.repartition(_tasks(manifest, block_bytes), "name", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = open_fs(folder)
@@ -235,7 +244,8 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = False,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The page records of all archives. payload_bytes and payload_digest of
     a response are measured on what the file holds."""
-    entries = chain_entries(manifest, folder, block_bytes).repartition("name", "offset")
+    entries = chain_entries(manifest, folder, block_bytes).repartition(
+        _tasks(manifest, block_bytes), "name", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = open_fs(folder)

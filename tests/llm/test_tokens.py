@@ -65,3 +65,17 @@ def test_encoder_cache_reset_changes_nothing(monkeypatch, tokenizer):
             assert ids[ends[k]:ends[k + 1]].tolist() == ids_of(tokenizer, t)[:-1]
     sliced, ends = encoder.encode(pa.array(["skip me", *texts], pa.string())[1:])
     assert len(ends) == len(texts) + 1 and sliced[:ends[1]].tolist() == ids_of(tokenizer, texts[0])[:-1]
+
+
+def test_hot_id_is_divided(spark):
+    """90 % of the rows have no id: no shard gets more than its share."""
+    df = spark.range(0, 4000, 1, 8).selectExpr(
+        "IF(id % 10 = 0, id, NULL) AS doc_id", "concat(md5(string(id)), ' words') AS text")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = tokens.write_tokens(df, scratch_path(spark, "tokens"), tokens.TokenFormat(tokenizer_path()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    sizes = [r["n_docs"] for r in manifest.collect()]
+    assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) < 2 * 4000 / 8

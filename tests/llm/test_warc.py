@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import warc
 from ledgerline.session import scratch_path
@@ -104,3 +105,15 @@ def test_a_record_that_ends_beyond_the_file_is_an_error(spark, page_rows):
     short = spark.createDataFrame([(name, len(data) - 1, 5)], warc.MANIFEST)
     with pytest.raises(Exception, match="ends beyond the file"):
         warc.read_archives(short, folder, block_bytes=1 << 20).collect()
+
+
+def test_blocks_are_read_by_as_many_tasks(spark, tmp_path):
+    """200 blocks in one archive: neither the search for starts nor the
+    reading of records is merged into few tasks."""
+    pages = spark.range(0, 400, 1, 1).selectExpr("id AS page_id", "string(id) AS url", "repeat(md5(string(id)), 20) AS html")
+    manifest = warc.write_archives(pages, str(tmp_path))
+    block = manifest.first()["bytes"] // 200 + 1
+    got = warc.read_archives(manifest, str(tmp_path), block_bytes=block)
+    assert got.count() == 400
+    used = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used > 60 and got.rdd.getNumPartitions() == 200
