@@ -1,23 +1,20 @@
 r"""Language-model scoring with a hashed maximum-entropy model (operator 8).
 
-Tokens are a text's words (A-Z lower-cased) and one end token. The most
-frequent ``classes * class_words`` tokens are the model's vocabulary, cut by
-rank into classes; all other words fall into tail classes by a hash of their
-last letters. A token's probability is P(class | context) times P(token |
-class, context) for vocabulary words, or times the word's smoothed count
-share of its tail class. Both softmaxes sum weight rows of hashed features:
-the word before and the word before that (skip), for the class also the two
-together.
-
-On top of that model stand exact counts of all n-grams of the words
-themselves: the word after the word before, after the word before that
-(skip), and after both. Each level mixes its counts with the level below (see
-``interpolate``), so every word has an identity as target and as context,
-whatever the size of the vocabulary, and what is gathered grows with the
-corpus. N-grams are counted as 64-bit hashes in blocks sized from the token
-count: groups of documents send each block their distinct n-grams and get
-the corpus counts of these back. A token of a training document is scored
-without its own occurrence in the n-gram counts.
+Tokens are a text's words (A-Z lower-cased) and one end token. A token's
+probability is a product along its path in a tree of softmaxes. The
+``classes * class_words`` most frequent tokens are cut by rank into classes:
+P(class | context) P(token | class, context). All other words fall into tail
+classes by a hash of their last letters, and below these the digits of the
+word's own hash are drawn one after another, each given the digits before
+it, so deep that a leaf holds about ``leaf_words`` distinct words; within a
+leaf a word has its smoothed share of the leaf's counts.
+
+Every softmax sums weight rows of hashed features of the words themselves
+(64-bit hashes, whatever their frequency): the word before and the word
+before that (skip), for the class also the two together. The size of the
+model follows the corpus: depth and leaves the distinct words counted, weight
+rows the square root of the tokens counted (``Fit``). So do the tasks that
+train, so what they send, rows times tasks, is in proportion to the tokens.
 
 Training. Every training document is visited once, in ``rounds`` growing
 shares by hash: each task runs Adagrad over its documents from the shared
@@ -25,9 +22,10 @@ weights and gives back how far each row moved, and the moves are averaged by
 how often tasks touched the row. Moves are added up block by block in
 streams, so no task holds more than its blocks of weights.
 
-Counts cover all training words. The ``local_words`` most frequent are sent
-to the tasks (a bounded table); the rest meet the count table in a shuffle
-join, as one row per document and word.
+Counts cover all training words. Some ``local_words`` of the most frequent
+are sent to the tasks (a bounded table; of equally frequent ones at its edge
+a part by hash); the rest meet the counts in a shuffle join, as one row per
+document and word.
 
 Defined cases: null and empty texts are an end token alone; a null doc_id
 hashes as the empty text; repeated rows are scored (and learned from) each;
@@ -38,14 +36,15 @@ not looked at.
 
 from __future__ import annotations
 
-import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import id_hash_mod, small_batches, stored
@@ -54,24 +53,25 @@ FOLDS = 10
 #: No word has a space, so the end token can't clash with one.
 END = " "
 NEVER = -40.0
-#: Tokens of the documents that ask for n-gram counts together.
-GROUP_TOKENS = 1 << 20
-#: N-gram keys in one block, about; a key is its block and KEY_BITS.
-BLOCK_KEYS = 1 << 21
-KEY_BITS = np.uint64(40)
-#: Counts a level needs to weigh as much as the level below.
-SKIP_PRIOR, BEFORE_PRIOR, JOINT_PRIOR = 16.0, 16.0, 4.0
-#: What the skip and bigram counts get of the mix with the level below.
-SKIP_SHARE, BEFORE_SHARE = 0.25, 0.5
+#: Words longer than this are not sent to the tasks.
+LOCAL_CHARS = 64
+#: Tokens to a weight row while there are few.
+ROW_TOKENS = 2
+#: Weight rows and training tasks at most: some 0.3 GB of weights a worker.
+MAX_BITS, MAX_TASKS = 20, 16_384
 
 
 @dataclass(frozen=True)
 class Shape:
+    """``class_bits`` and ``word_bits`` are the least numbers of weight rows
+    (as powers of two); ``class_words`` is a power of two."""
+
     classes: int = 64
     class_words: int = 64
     tail_classes: int = 16
-    class_bits: int = 13
-    word_bits: int = 14
+    class_bits: int = 9
+    word_bits: int = 9
+    leaf_words: int = 8
     local_words: int = 131_072
     rounds: tuple[float, ...] = (0.125, 1.0)
     rate: float = 0.15
@@ -85,6 +85,32 @@ class Shape:
     def outcomes(self) -> int:
         return self.classes + self.tail_classes
 
+    @property
+    def digit_bits(self) -> int:
+        return self.class_words.bit_length() - 1
+
+
+@dataclass(frozen=True)
+class Fit:
+    """Sizes that follow the corpus."""
+
+    class_bits: int
+    word_bits: int
+    depth: int
+    tasks: int
+    batch: int  # tokens to a gradient step
+
+    @staticmethod
+    def of(shape: Shape, tokens: int, distinct: int) -> Fit:
+        root = math.sqrt(max(1, tokens))
+        rows = lambda least, scale: min(MAX_BITS, max(least, round(math.log2(max(1, min(
+            tokens / ROW_TOKENS, max(scale * 4096, scale * root)))))))
+        depth, leaves = 1, shape.tail_classes * shape.class_words
+        while leaves * shape.leaf_words < distinct - shape.vocabulary:
+            depth, leaves = depth + 1, leaves * shape.class_words
+        return Fit(rows(shape.class_bits, 2), rows(shape.word_bits, 4), depth,
+                   max(1, min(MAX_TASKS, round(root / 256))), min(shape.batch, max(64, tokens // 256)))
+
 
 def tail_class(word: str, n: int) -> int:
     return zlib.crc32(word[-2:].encode()) % n
@@ -99,7 +125,8 @@ def words_of(texts: pa.Array):
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = split.flatten().dictionary_encode()
-    codes, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     offsets = split.offsets.to_numpy()
     # Leading and trailing white space leaves empty pieces.
     if "" in distinct:
@@ -135,75 +162,120 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def word_keys(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words, those of Spark's xxhash64."""
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64)
+
+
+#: The context of a document's first tokens; no word is two spaces.
+START = word_keys(["  "])[0]
+
+
+def path_of(word: str, depth: int, shape: Shape) -> Column:
+    """A tail word's path number after ``depth`` digits, in Spark."""
+    path = F.pmod(F.crc32(F.substring(word, -2, 2)), F.lit(shape.tail_classes)).cast("long")
+    for k in range(depth):
+        digit = F.shiftrightunsigned(F.xxhash64(word), shape.digit_bits * k).bitwiseAND(
+            F.lit(shape.class_words - 1).cast("long"))
+        path = path * shape.class_words + digit
+    return path
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """The local words as the model sees them, by place."""
+
+    key: np.ndarray
+    outcome: np.ndarray
+    digit: np.ndarray  # of vocabulary words, -1 of others
+    log_share: np.ndarray
+
+
 @dataclass(frozen=True)
 class Counts:
-    """What the tasks know about counts: the local words, and totals."""
+    """What the tasks know about counts."""
 
-    local: dict[str, tuple[int, int]]  # word -> (model id, count)
+    local: dict[str, tuple[int, int]]  # word -> (place, count)
+    lexicon: Lexicon
     tokens: int
     distinct: int
-    tail_tokens: tuple[int, ...]
-    tail_distinct: tuple[int, ...]
-    vocabulary_counts: tuple[int, ...]
-
-    @property
-    def local_ids(self) -> np.ndarray:
-        return np.array([k for k, _ in self.local.values()], "<u2")
-
-
-def gather_counts(counts: DataFrame, shape: Shape) -> Counts:
-    """``counts`` is written down. The local words are all that occur at
-    least so often that no more than ``shape.local_words`` do."""
-    totals = counts.agg(F.sum("n"), F.count("*")).first()
-    band = F.floor(F.log2("n") * 8)
-    bands = counts.groupBy(band.alias("band")).agg(F.count("*").alias("words")).collect()
-    least, room = 1 << 62, shape.local_words
-    for r in sorted(bands, key=lambda r: -r["band"]):
+    fit: Fit
+    class_totals: np.ndarray  # by outcome
+    bias_counts: np.ndarray  # by node with a bias, and digit
+
+
+def gather_counts(counts: DataFrame, shape: Shape) -> tuple[Counts, DataFrame]:
+    """What the tasks are sent, and the table of leaves (leaf, tokens,
+    distinct). ``counts`` is written down. The local words are the most
+    frequent; of the last band of counts a part by hash, so that there are
+    about ``shape.local_words``."""
+    spark = counts.sparkSession
+    tokens, distinct = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
+    fit = Fit.of(shape, tokens, distinct)
+    short = counts.where(F.length("word") <= LOCAL_CHARS).withColumn("band", F.floor(F.log2("n") * 8))
+    room, wanted = shape.local_words, F.lit(False)
+    for r in sorted(short.groupBy("band").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["band"]):
+        part = min(1.0, room / r["words"])
+        wanted = wanted | ((F.col("band") == r["band"])
+                           & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(part * (1 << 20))))
         room -= r["words"]
-        if room < 0:
+        if room <= 0:
             break
-        least = r["band"]
-    rows = counts.where(band >= least).collect()
-    rows.sort(key=lambda r: (-r["n"], r["word"]))
-    local, vocabulary = {}, []
-    for k, r in enumerate(rows):
-        if k < shape.vocabulary:
-            vocabulary.append(r["n"])
-            local[r["word"]] = (k, r["n"])
-        else:
-            local[r["word"]] = (shape.vocabulary + tail_class(r["word"], shape.tail_classes), r["n"])
-    tail = F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(shape.tail_classes))
-    per_tail = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy(tail.alias("k")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-    for r in rows[:shape.vocabulary]:
-        k = tail_class(r["word"], shape.tail_classes)
-        per_tail[k] = (per_tail[k][0] - r["n"], per_tail[k][1] - 1)
-    tails = [per_tail.get(k, (0, 0)) for k in range(shape.tail_classes)]
-    return Counts(local, int(totals[0] or 0), int(totals[1]), tuple(n for n, _ in tails),
-                  tuple(v for _, v in tails), tuple(vocabulary))
+    rows = sorted(short.where(wanted).select("word", "n").collect(), key=lambda r: (-r["n"], r["word"]))
+    vocabulary = spark.createDataFrame([(r["word"],) for r in rows[:shape.vocabulary]], "word string")
+    # At most shape.vocabulary short words.
+    tail = counts.join(F.broadcast(vocabulary), "word", "left_anti")
+    leaves = stored(tail.groupBy(path_of("word", fit.depth, shape).alias("leaf")).agg(
+        F.sum("n").alias("tokens"), F.count("*").alias("distinct")), "lm-leaves")
+
+    far = rows[shape.vocabulary:]
+    local_leaf = spark.createDataFrame([(k, r["word"]) for k, r in enumerate(far)], "place long, word string")
+    held = {r["place"]: (r["tokens"], r["distinct"]) for r in local_leaf.withColumn(
+        "leaf", path_of("word", fit.depth, shape)).join(leaves, "leaf").collect()}
+    share = [0.0] * min(len(rows), shape.vocabulary)
+    share += [math.log10((r["n"] + 0.1) / (held[k][0] + 0.1 * (held[k][1] + 1))) for k, r in enumerate(far)]
+    rank = np.arange(len(rows))
+    known = rank < shape.vocabulary
+    tails = np.array([tail_class(r["word"], shape.tail_classes) for r in rows], np.int64)
+    lexicon = Lexicon(word_keys([r["word"] for r in rows]),
+                      np.where(known, rank // shape.class_words, shape.classes + tails),
+                      np.where(known, rank % shape.class_words, -1), np.array(share))
+
+    head = np.zeros(shape.vocabulary)
+    head[:min(len(rows), shape.vocabulary)] = [r["n"] for r in rows[:shape.vocabulary]]
+    bias = [head.reshape(shape.classes, shape.class_words)]
+    totals = np.zeros(shape.tail_classes)
+    for level in range(1, min(fit.depth, 2) + 1):
+        up = shape.class_words ** (fit.depth - level)
+        sums = np.zeros(shape.tail_classes * shape.class_words ** level)
+        for r in leaves.groupBy(F.floor(F.col("leaf") / up).alias("path")).agg(F.sum("tokens").alias("n")).collect():
+            sums[r["path"]] = r["n"]
+        bias.append(sums.reshape(-1, shape.class_words) + 0.5)
+        totals = sums.reshape(shape.tail_classes, -1).sum(axis=1)
+    # Nodes further down share a row of their own: no digit is likelier.
+    bias.append(np.ones((1, shape.class_words)))
+    return Counts({r["word"]: (k, r["n"]) for k, r in enumerate(rows)}, lexicon, tokens, distinct, fit,
+                  np.concatenate((bias[0].sum(axis=1), totals + 1.0)), np.concatenate(bias)), leaves
 
 
 ENCODED = ("row long, doc_id long, held_out boolean, share double, n_tokens long, n_local long, "
-           "log_local double, group long, words binary, deep array<struct<word:string,n:int>>")
+           "log_local double, words binary, deep array<struct<word:string,n:int>>")
 _DEEP = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
 
 
-def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
+def encode(docs: DataFrame, counts: Counts) -> DataFrame:
     """Each row's tokens (``words``: places among the local words, and behind
     them in ``deep``, see ``_places``), the sum of log10(count + 0.1) over
-    its local words, and its other words with their numbers (``deep``). Rows
-    of one ``group`` hold about GROUP_TOKENS."""
+    its local words, and its other words with their numbers (``deep``)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts.local)
-    group_tokens = GROUP_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = shared.value
-        places = {w: k for k, w in enumerate(local)}
-        end_n = local.get(END, (0, 0))[1]
+        end_place, end_n = local.get(END, (0, 0))
         for batch in batches:
             codes, distinct, offsets = words_of(batch.column("text"))
-            got = [local.get(w) for w in distinct]
+            got = list(map(local.get, distinct))
             n = np.array([g[1] if g else 0 for g in got], float)
             log_n = np.log10(n + 0.1)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
@@ -219,14 +291,11 @@ def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
                                            return_inverse=True, return_counts=True)
             of, word = np.divmod(pairs, max(1, len(distinct)))
             starts = np.searchsorted(of, np.arange(rows + 1)).astype(np.int32)
-            place = np.array([places.get(w, 0) for w in distinct], "<u4")[codes]
+            place = np.array([g[0] if g else 0 for g in got], "<u4")[codes]
             place[deep] = len(local) + back - starts[doc[deep]]
-            end_at = np.full(rows, places[END]) if end_n else len(local) + np.diff(starts)
+            end_at = np.full(rows, end_place) if end_n else len(local) + np.diff(starts)
             packed = [_squeeze(np.append(place[a:b], np.array([e], "<u4")))
                       for a, b, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), end_at.tolist(), strict=True)]
-            before = np.cumsum(size) - size
-            first = np.searchsorted(before // group_tokens, before // group_tokens)
-            group = batch.column("row").take(pa.array(first))
             words = pa.array(distinct, pa.string()).take(pa.array(word, pa.int64()))
             deep_rows = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays(
                 [words, pa.array(times, pa.int32())], ["word", "n"]))
@@ -235,9 +304,8 @@ def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
                  batch.column("share"), pa.array(size.astype(np.int64)), pa.array(n_local.astype(np.int64)),
-                 pa.array(log_local), group, pa.array(packed, pa.binary()), deep_rows],
-                ["row", "doc_id", "held_out", "share", "n_tokens", "n_local", "log_local",
-                 "group", "words", "deep"])
+                 pa.array(log_local), pa.array(packed, pa.binary()), deep_rows],
+                ["row", "doc_id", "held_out", "share", "n_tokens", "n_local", "log_local", "words", "deep"])
 
     return (docs.select(F.monotonically_increasing_id().alias("row"),
                         F.col("doc_id").cast("long").alias("doc_id"),
@@ -265,45 +333,53 @@ def _places(words: pa.Array, deep: pa.Array) -> Iterator[tuple[np.ndarray, list[
         yield _expand(packed, "<u4").astype(np.int64), [d["word"] for d in far or []]
 
 
-def _model_ids(words: pa.Array, deep: pa.Array, local: np.ndarray, shape: Shape) -> list[bytes]:
-    """Each row's tokens as model ids (little-endian uint16)."""
-    out = []
+def _read(words: pa.Array, deep: pa.Array, lexicon: Lexicon,
+          shape: Shape) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+    """Each row's tokens as (keys, outcomes, digits), and the sum of its
+    local words' log10 shares of their leaves."""
+    out, shares, n = [], [], len(lexicon.key)
     for place, far in _places(words, deep):
+        inside = place < n
         if far:
-            tails = [shape.vocabulary + tail_class(w, shape.tail_classes) for w in far]
-            inside = place < len(local)
-            ids = np.empty(len(place), "<u2")
-            ids[inside] = local[place[inside]]
-            ids[~inside] = np.array(tails, "<u2")[place[~inside] - len(local)]
-            out.append(ids.tobytes())
+            tails = np.array([shape.classes + tail_class(w, shape.tail_classes) for w in far], np.int64)
+            local, behind = place[inside], place[~inside] - n
+            key, outcome = np.empty(len(place), np.uint64), np.empty(len(place), np.int64)
+            digit = np.full(len(place), -1)
+            key[inside], key[~inside] = lexicon.key[local], word_keys(far)[behind]
+            outcome[inside], outcome[~inside] = lexicon.outcome[local], tails[behind]
+            digit[inside] = lexicon.digit[local]
         else:
-            out.append(local[place].tobytes())
-    return out
+            local = place
+            key, outcome, digit = lexicon.key[place], lexicon.outcome[place], lexicon.digit[place]
+        out.append((key, outcome, digit))
+        shares.append(lexicon.log_share[local].sum())
+    return out, np.array(shares, float)
 
 
 class Weights:
     """Class and word weight rows, flat in one float32 array."""
 
-    def __init__(self, shape: Shape, flat: np.ndarray):
-        self.shape, self.flat = shape, flat
-        c, w = (1 << shape.class_bits) * shape.outcomes, (1 << shape.word_bits) * shape.class_words
+    def __init__(self, shape: Shape, fit: Fit, flat: np.ndarray):
+        self.shape, self.fit, self.flat = shape, fit, flat
+        c, w = (1 << fit.class_bits) * shape.outcomes, (1 << fit.word_bits) * shape.class_words
         self.by_class = flat[:c].reshape(-1, shape.outcomes)
         self.by_word = flat[c:c + w].reshape(-1, shape.class_words)
         self.class_bias = flat[c + w:c + w + shape.outcomes]
-        self.word_bias = flat[c + w + shape.outcomes:].reshape(shape.classes, shape.class_words)
+        self.word_bias = flat[c + w + shape.outcomes:].reshape(-1, shape.class_words)
+
+    def bias_of(self, node: np.ndarray) -> np.ndarray:
+        return self.word_bias[np.minimum(node, len(self.word_bias) - 1)]
 
     @staticmethod
-    def start(shape: Shape, counts: Counts) -> "Weights":
-        """Zero rows; biases at the log shares of classes and words."""
-        n = np.zeros(shape.vocabulary)
-        n[:len(counts.vocabulary_counts)] = counts.vocabulary_counts
-        by_class = n.reshape(shape.classes, shape.class_words)
-        total = np.concatenate((by_class.sum(axis=1), np.add(counts.tail_tokens, 1.0)))
+    def start(shape: Shape, counts: Counts) -> Weights:
+        """Zero rows; biases at the log shares of classes and digits."""
+        total, below = counts.class_totals, counts.bias_counts
         with np.errstate(divide="ignore", invalid="ignore"):
             class_bias = np.where(total > 0, np.log(total / total.sum()), NEVER)
-            word_bias = np.where(by_class > 0, np.log(by_class / by_class.sum(axis=1, keepdims=True)), NEVER)
-        rows = (1 << shape.class_bits) * shape.outcomes + (1 << shape.word_bits) * shape.class_words
-        return Weights(shape, np.concatenate((np.zeros(rows), class_bias, word_bias.ravel())).astype(np.float32))
+            word_bias = np.where(below > 0, np.log(below / below.sum(axis=1, keepdims=True)), NEVER)
+        rows = ((1 << counts.fit.class_bits) * shape.outcomes + (1 << counts.fit.word_bits) * shape.class_words)
+        return Weights(shape, counts.fit, np.concatenate(
+            (np.zeros(rows), class_bias, word_bias.ravel())).astype(np.float32))
 
 
 def _mix(x: np.ndarray, kind: int, bits: int) -> np.ndarray:
@@ -314,32 +390,42 @@ def _mix(x: np.ndarray, kind: int, bits: int) -> np.ndarray:
 
 @dataclass
 class Tokens:
-    """Tokens of some documents with their hashed context features."""
+    """Tokens of some documents with their hashed context features. The
+    softmaxes below the class are listed one by one: of which token, at which
+    bias row, for which digit."""
 
     doc: np.ndarray
     outcome: np.ndarray
-    place: np.ndarray
     class_rows: list[np.ndarray]
     word_at: np.ndarray
+    word_node: np.ndarray
+    word_digit: np.ndarray
     word_rows: list[np.ndarray]
 
     @staticmethod
-    def of(packed: list[bytes], shape: Shape) -> "Tokens":
-        ids = np.frombuffer(b"".join(packed), "<u2").astype(np.int64)
-        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 2
-        doc = np.repeat(np.arange(len(packed)), size)
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
-        none = shape.vocabulary + shape.tail_classes
-        before = np.where(place >= 1, np.roll(ids, 1), none)
-        skip = np.where(place >= 2, np.roll(ids, 2), none)
-        contexts = (before, skip + (1 << 20), before * 65_536 + skip + (1 << 40))
-        head = ids < shape.vocabulary
-        outcome = np.where(head, ids // shape.class_words, shape.classes + ids - shape.vocabulary)
-        word_at = np.flatnonzero(head)
-        mine = outcome[word_at] << 44
-        return Tokens(doc, outcome, ids % shape.class_words,
-                      [_mix(c, 0, shape.class_bits) for c in contexts],
-                      word_at, [_mix(c[word_at] + mine, 1, shape.word_bits) for c in contexts[:2]])
+    def of(docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], shape: Shape, fit: Fit) -> Tokens:
+        key, outcome, digit = (np.concatenate(x) for x in zip(*docs, strict=True))
+        size = np.array([len(d[0]) for d in docs], np.int64)
+        doc = np.repeat(np.arange(len(docs)), size)
+        place = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+        before = np.where(place >= 1, np.roll(key, 1), START)
+        skip = np.where(place >= 2, np.roll(key, 2), START)
+        odd = np.uint64(0xD6E8FEB86659FD93)
+        contexts = (before, skip ^ odd, (before ^ (skip >> np.uint64(17))) * odd + skip)
+        head = np.flatnonzero(digit >= 0)
+        at, node, digits = [head], [outcome[head]], [digit[head]]
+        tail = np.flatnonzero(digit < 0)
+        path, first, wide = outcome[tail] - shape.classes, shape.classes, shape.tail_classes
+        for k in range(fit.depth):
+            d = ((key[tail] >> np.uint64(shape.digit_bits * k)) & np.uint64(shape.class_words - 1)).astype(np.int64)
+            at.append(tail)
+            node.append(first + path)
+            digits.append(d)
+            path, first, wide = path * shape.class_words + d, first + wide, wide * shape.class_words
+        at, node = np.concatenate(at), np.concatenate(node)
+        mine = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB)
+        return Tokens(doc, outcome, [_mix(c, 0, fit.class_bits) for c in contexts], at, node,
+                      np.concatenate(digits), [_mix(c[at] ^ mine, 1, fit.word_bits) for c in contexts[:2]])
 
 
 def _softmax(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -354,8 +440,7 @@ def _softmax(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.
 
 
 def log_probabilities(t: Tokens, w: Weights) -> np.ndarray:
-    """log10 of P(class) times, for vocabulary words, P(word | class), of
-    each token."""
+    """log10 of the product of each token's softmaxes."""
     shape, n = w.shape, len(t.outcome)
     out = np.empty(n)
     step = shape.batch
@@ -363,11 +448,12 @@ def log_probabilities(t: Tokens, w: Weights) -> np.ndarray:
         s = slice(k, k + step)
         p = _softmax(w.by_class, [r[s] for r in t.class_rows], w.class_bias)
         out[s] = np.log10(np.maximum(p[np.arange(len(p)), t.outcome[s]], 1e-30))
+    below = np.empty(len(t.word_at))
     for k in range(0, len(t.word_at), step):
-        at = t.word_at[k:k + step]
-        p = _softmax(w.by_word, [r[k:k + step] for r in t.word_rows], w.word_bias[t.outcome[at]])
-        out[at] += np.log10(np.maximum(p[np.arange(len(p)), t.place[at]], 1e-30))
-    return out
+        s = slice(k, k + step)
+        p = _softmax(w.by_word, [r[s] for r in t.word_rows], w.bias_of(t.word_node[s]))
+        below[s] = np.log10(np.maximum(p[np.arange(len(p)), t.word_digit[s]], 1e-30))
+    return out + np.bincount(t.word_at, below, n)
 
 
 class Learner:
@@ -401,28 +487,27 @@ class Learner:
             self.seen[k][at] += times
 
     def learn(self, t: Tokens) -> None:
-        step, w = self.shape.batch, self.w
+        step, w = self.w.fit.batch, self.w
         for k in range(0, len(t.outcome), step):
             s = slice(k, k + step)
             self._step(0, w.by_class, [r[s] for r in t.class_rows], w.class_bias, t.outcome[s])
         for k in range(0, len(t.word_at), step):
-            at = t.word_at[k:k + step]
-            self._step(1, w.by_word, [r[k:k + step] for r in t.word_rows],
-                       w.word_bias[t.outcome[at]], t.place[at])
+            s = slice(k, k + step)
+            self._step(1, w.by_word, [r[s] for r in t.word_rows], w.bias_of(t.word_node[s]), t.word_digit[s])
 
 
-#: Rows of weights in one block of moves.
+#: Rows of weights in one block of moves, at most.
 BLOCK_ROWS = 512
-#: Documents' ids that a task turns into features at once, in bytes.
-GROUP_BYTES = 1 << 19
+#: Tokens that a task turns into features at once.
+GROUP_TOKENS = 1 << 18
 
 
-def _cuts(packed: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges a..b of the rows, of about GROUP_BYTES each."""
+def _groups(docs: list) -> Iterator[tuple[int, int]]:
+    """Ranges a..b of the rows, of about GROUP_TOKENS each."""
     a, size = 0, 0
-    for b, ids in enumerate(packed, 1):
-        size += len(ids)
-        if size >= GROUP_BYTES or b == len(packed):
+    for b, d in enumerate(docs, 1):
+        size += len(d[0])
+        if size >= GROUP_TOKENS or b == len(docs):
             yield a, b
             a, size = b, 0
 
@@ -433,19 +518,19 @@ MOVES = "block int, seen binary, moved binary"
 def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
     """One round over the documents of ``encoded``."""
     spark = encoded.sparkSession
-    shape = w.shape
+    shape, fit = w.shape, w.fit
     shared = spark.sparkContext.broadcast(w.flat)
-    local_ids = spark.sparkContext.broadcast(counts.local_ids)
-    class_blocks = (1 << shape.class_bits) // BLOCK_ROWS
-    blocks = class_blocks + (1 << shape.word_bits) // BLOCK_ROWS
+    lexicon = spark.sparkContext.broadcast(counts.lexicon)
+    class_blocks = (1 << fit.class_bits) // BLOCK_ROWS
+    blocks = class_blocks + (1 << fit.word_bits) // BLOCK_ROWS
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = Weights(shape, shared.value)
-        learner = Learner(Weights(shape, shared.value.copy()))
+        base = Weights(shape, fit, shared.value)
+        learner = Learner(Weights(shape, fit, shared.value.copy()))
         for batch in batches:
-            packed = _model_ids(batch.column("words"), batch.column("deep"), local_ids.value, shape)
-            for a, b in _cuts(packed):
-                learner.learn(Tokens.of(packed[a:b], shape))
+            docs, _ = _read(batch.column("words"), batch.column("deep"), lexicon.value, shape)
+            for a, b in _groups(docs):
+                learner.learn(Tokens.of(docs[a:b], shape, fit))
         for b in range(blocks):
             k, at = (0, b) if b < class_blocks else (1, b - class_blocks)
             s = slice(at * BLOCK_ROWS, (at + 1) * BLOCK_ROWS)
@@ -471,9 +556,9 @@ def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
                 "block": pa.array([b], pa.int32()), "seen": [seen.tobytes()],
                 "moved": [(moved / np.maximum(seen, 1)[:, None]).astype(np.float32).tobytes()]})
 
-    moves = (encoded.select("words", "deep").mapInArrow(learn, MOVES)
+    moves = (encoded.select("words", "deep").coalesce(fit.tasks).mapInArrow(learn, MOVES)
              .repartition(blocks, "block").mapInArrow(add, MOVES))
-    out = Weights(shape, w.flat.copy())
+    out = Weights(shape, fit, w.flat.copy())
     for r in moves.collect():  # one row per block of the model
         k, at = (0, r["block"]) if r["block"] < class_blocks else (1, r["block"] - class_blocks)
         moved = np.frombuffer(r["moved"], np.float32).reshape(BLOCK_ROWS, -1)
@@ -481,193 +566,27 @@ def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
     return out
 
 
-def word_keys(words: list[str]) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-                     for w in words], np.uint64)
-
-
-#: The context of a document's first token.
-START = word_keys(["  "])[0]
-END_KEY = word_keys([END])[0]
-
-
-def gram_keys(kind: int, *words: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the n-grams of ``words``."""
-    x = np.uint64((kind + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-    with np.errstate(over="ignore"):
-        for w in words:
-            x = (x ^ w) * np.uint64(0xBF58476D1CE4E5B9)
-            x = x ^ (x >> np.uint64(29))
-            x = x * np.uint64(0x94D049BB133111EB)
-            x = x ^ (x >> np.uint64(32))
-    return x
-
-
-@dataclass
-class Grams:
-    """The n-grams of a group's tokens. ``keys``: distinct words, bigrams,
-    skip pairs and joint n-grams in sorted parts, then (word, END) of each
-    distinct word; ``at``: the tokens' places in ``keys``, by level."""
-
-    place: np.ndarray
-    keys: np.ndarray
-    at: list[np.ndarray]
-    ends: int
-
-    @staticmethod
-    def of(words: np.ndarray, place: np.ndarray) -> "Grams":
-        before = np.where(place >= 1, np.roll(words, 1), START)
-        skip = np.where(place >= 2, np.roll(words, 2), START)
-        parts, at, n = [], [], 0
-        word, back = np.unique(words, return_inverse=True)
-        parts.append(gram_keys(0, word))
-        at.append(back)
-        n += len(word)
-        for keys in (gram_keys(1, before, words), gram_keys(2, skip, words), gram_keys(3, skip, before, words)):
-            part, back = np.unique(keys, return_inverse=True)
-            parts.append(part)
-            at.append(back + n)
-            n += len(part)
-        parts.append(gram_keys(1, word, END_KEY))
-        return Grams(place, np.concatenate(parts), at, n)
-
-    def own(self, learned: np.ndarray) -> np.ndarray:
-        """How often tokens of training documents have each key."""
-        return sum(np.bincount(a[learned], minlength=len(self.keys)) for a in self.at)
-
-    def numbers(self, n: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """From the corpus counts ``n`` of ``keys``: the words' counts, and
-        (n-gram's, context's count) of the skip, bigram and joint level, but
-        for the token itself. A level that a token's place lacks counts 0."""
-        word, pair, skip, joint = (n[a] for a in self.at)
-        starts = np.flatnonzero(self.place == 0)
-        last = np.append(starts[1:], len(word)) - 1
-        documents = np.repeat(word[last], last - starts + 1)  # end tokens
-        context = np.where(self.place >= 1, np.roll(word, 1), documents)
-        before_end = n[self.ends:][self.at[0]]
-        two = np.where(self.place >= 2, np.roll(word - before_end, 2), 0)
-        both = np.where(self.place >= 1, np.roll(pair, 1), 0)
-        less = learned.astype(np.int64)
-        out = []
-        for hit, total, have in ((skip, two, self.place >= 2), (pair, context, self.place >= 0),
-                                 (joint, both, self.place >= 1)):
-            out.append((np.where(have, hit - less, 0), np.where(have, total - less, 0)))
-        return word, out
-
-
-def interpolate(model: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Probabilities from the model's and the (n-gram, context) counts of the
-    skip, bigram and joint level: (n + prior * below) / (context + prior),
-    mixed with the level below. They add up to 1 if the model's do."""
-    p = model
-    for (n, total), prior, share in zip(levels, (SKIP_PRIOR, BEFORE_PRIOR, JOINT_PRIOR),
-                                        (SKIP_SHARE, BEFORE_SHARE, 1.0), strict=True):
-        p = (1 - share) * p + share * (n + prior * p) / (total + prior)
-    return p
-
-
-def _words_of_group(docs: pa.Table, local: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(64-bit words, sizes of the documents, whether learned) by token."""
-    keys, sizes = [], []
-    for place, far in _places(docs["words"], docs["deep"]):
-        key = local[np.minimum(place, len(local) - 1)] if len(local) else np.empty(len(place), np.uint64)
-        if far:
-            outside = place >= len(local)
-            key[outside] = word_keys(far)[place[outside] - len(local)]
-        keys.append(key)
-        sizes.append(len(place))
-    sizes = np.array(sizes, np.int64)
-    learned = np.repeat(~docs["held_out"].to_numpy(), sizes)
-    return np.concatenate(keys), sizes, learned
-
-
-def _pack(keys: np.ndarray) -> bytes:
-    """Sorted keys by their differences."""
-    return _squeeze(np.diff(keys, prepend=np.uint64(0)))
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    return np.cumsum(_expand(data, "<u8"), dtype=np.uint64)
-
-
-def _dealt(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order of the keys by block and rest, bounds of blocks, ordered rests)."""
-    block = (keys >> KEY_BITS) % np.uint64(blocks)
-    rest = keys & ((np.uint64(1) << KEY_BITS) - np.uint64(1))
-    order = np.argsort((block << KEY_BITS) | rest)
-    return order, np.searchsorted(block[order], np.arange(blocks + 1).astype(np.uint64)), rest[order]
-
-
 def model_scores(encoded: DataFrame, w: Weights, counts: Counts) -> DataFrame:
-    """row -> the log10 probability of its tokens."""
+    """Rows with ``model``: log10 of their tokens' softmaxes, and of the leaf
+    shares of their local words."""
     spark = encoded.sparkSession
-    shape = w.shape
+    shape, fit = w.shape, w.fit
     shared = spark.sparkContext.broadcast(w.flat)
-    lexicon = spark.sparkContext.broadcast(word_keys(list(counts.local)))
-    local_ids = spark.sparkContext.broadcast(counts.local_ids)
-    tail = np.array(counts.tail_tokens) + 0.1 * (np.array(counts.tail_distinct) + 1)
-    # About three keys a token; those that a group repeats count once.
-    blocks = min(max(1, -(-3 * counts.tokens // BLOCK_KEYS)), 1 << 23)
-
-    def grams(docs: pa.Table) -> tuple[Grams, np.ndarray, np.ndarray]:
-        words, sizes, learned = _words_of_group(docs, lexicon.value)
-        place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return Grams.of(words, place), sizes, learned
-
-    def ask(docs: pa.Table) -> pa.Table:
-        docs = docs.sort_by("row")
-        g, _, learned = grams(docs)
-        order, bounds, rest = _dealt(g.keys, blocks)
-        own = g.own(learned)[order].astype("<u4")
-        some = np.flatnonzero(np.diff(bounds)).tolist()
-        cuts = [(int(bounds[b]), int(bounds[b + 1])) for b in some]
-        return pa.table({"group": pa.array([docs["group"][0].as_py()] * len(some), pa.int64()),
-                         "block": pa.array(some, pa.int32()),
-                         "keys": pa.array([_pack(rest[a:b]) for a, b in cuts], pa.binary()),
-                         "n": pa.array([_squeeze(own[a:b]) for a, b in cuts], pa.binary())})
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: dict[int, list[tuple[int, bytes, bytes]]] = {}
+    lexicon = spark.sparkContext.broadcast(counts.lexicon)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = Weights(shape, fit, shared.value)
         for batch in batches:
-            for group, block, keys, n in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                asked.setdefault(block, []).append((group, keys, n))
-        while asked:
-            block, parts = asked.popitem()
-            keys = [_unpack(k) for _, k, _ in parts]
-            _, back = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.concatenate([_expand(n, "<u4") for _, _, n in parts])
-            n = np.bincount(back, n)[back].astype("<i8")
-            ends = np.cumsum([len(k) for k in keys]).tolist()
-            yield pa.RecordBatch.from_pydict({
-                "group": pa.array([g for g, _, _ in parts], pa.int64()),
-                "block": pa.array([block] * len(parts), pa.int32()),
-                "n": pa.array([_squeeze(n[b - len(k):b]) for k, b in zip(keys, ends, strict=True)], pa.binary())})
-
-    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        docs, answers = docs.sort_by("row"), answers.sort_by("block")
-        g, sizes, learned = grams(docs)
-        order, _, _ = _dealt(g.keys, blocks)
-        n = np.empty(len(g.keys), np.int64)
-        n[order] = np.concatenate([_expand(x, "<i8") for x in answers["n"].to_pylist()])
-        word, levels = g.numbers(n, learned)
-        w = Weights(shape, shared.value)
-        packed = _model_ids(docs["words"], docs["deep"], local_ids.value, shape)
-        logs = []
-        ends = np.cumsum(sizes)
-        for a, b in _cuts(packed):
-            logs.append(log_probabilities(t := Tokens.of(packed[a:b], shape), w))
-            far = np.flatnonzero(t.outcome >= shape.classes)
-            begin = int(ends[a] - sizes[a])
-            logs[-1][far] += np.log10((word[begin + far] + 0.1) / tail[t.outcome[far] - shape.classes])
-        p = interpolate(10 ** np.concatenate(logs), levels)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        return pa.table({"row": docs["row"], "model": np.bincount(doc, np.log10(p), len(sizes))})
-
-    tokens = encoded.select("group", "row", "held_out", "words", "deep")
-    answers = (tokens.groupBy("group").applyInArrow(ask, "group long, block int, keys binary, n binary")
-               .repartition(blocks, "block").mapInArrow(answer, "group long, block int, n binary"))
-    return (tokens.groupBy("group").cogroup(answers.groupBy("group"))
-            .applyInArrow(score, "row long, model double"))
+            docs, shares = _read(batch.column("words"), batch.column("deep"), lexicon.value, shape)
+            scores = [np.bincount(t.doc, log_probabilities(t, weights), b - a) for a, b in _groups(docs)
+                      for t in [Tokens.of(docs[a:b], shape, fit)]]
+            model = pa.array(np.concatenate([*scores, np.empty(0)]) + shares, pa.float64())
+            keep = [k for k, name in enumerate(batch.schema.names) if name != "words"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keep), model], [*(batch.schema.names[k] for k in keep), "model"])
+
+    fields = ", ".join(f"{n} {t}" for n, t in encoded.dtypes if n != "words")
+    return encoded.mapInArrow(score, f"{fields}, model double")
 
 
 def train(encoded: DataFrame, counts: Counts, shape: Shape) -> Weights:
@@ -681,23 +600,28 @@ def train(encoded: DataFrame, counts: Counts, shape: Shape) -> Weights:
 
 def language_model_report(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 2000)
     docs = docs.select("doc_id", "text")
     counts = stored(count_words(docs.where(id_hash_mod("doc_id", FOLDS) != 0)), "lm-counts")
-    known = gather_counts(counts, shape)
-    encoded = stored(encode(docs, known, shape), "lm-encoded")
+    known, leaves = gather_counts(counts, shape)
+    encoded = stored(encode(docs, known), "lm-encoded")
     weights = train(encoded, known, shape)
-    models = model_scores(encoded, weights, known)
-    deep = (encoded.select("row", F.inline("deep")).withColumnRenamed("n", "times")
-            .join(counts, "word", "left")
+    scored = stored(model_scores(encoded, weights, known), "lm-scored")
+    # The other words meet the counts, and their leaves, in joins.
+    times, n = F.col("times"), F.coalesce("n", F.lit(0))
+    share = (n + F.lit(0.1)) / (F.coalesce("tokens", F.lit(0)) + F.lit(0.1) * (F.coalesce("distinct", F.lit(0)) + 1))
+    deep = (scored.select("row", F.inline("deep")).withColumnRenamed("n", "times")
+            .join(counts, "word", "left").withColumn("leaf", path_of("word", known.fit.depth, shape))
+            .join(leaves, "leaf", "left")
             .groupBy("row").agg(
-                F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("deep_known"),
-                F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("log_deep")))
-    none = F.lit(0)
-    log_deep = F.coalesce("log_deep", F.lit(0.0))
+                F.sum(F.when(F.col("n").isNotNull(), times).otherwise(0)).alias("deep_known"),
+                F.sum(times * F.log10(n + F.lit(0.1))).alias("log_deep"),
+                F.sum(times * F.log10(share)).alias("deep_shares")))
+    none = F.lit(0.0)
     base = float(np.log10(known.tokens + 0.1 * (known.distinct + 1)))
-    return (encoded.drop("words", "deep").join(models, "row").join(deep, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_local") + F.coalesce("deep_known", none)).alias("n_known"),
+    return (scored.drop("deep").join(deep, "row", "left").select(
+        "doc_id", "held_out", "n_tokens",
+        (F.col("n_local") + F.coalesce("deep_known", F.lit(0))).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),
-        (F.col("log_local") + log_deep - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        F.col("model").alias("score")))
+        (F.col("log_local") + F.coalesce("log_deep", none) - F.col("n_tokens") * F.lit(base)).alias("base_score"),
+        (F.col("model") + F.coalesce("deep_shares", none)).alias("score")))

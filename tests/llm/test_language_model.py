@@ -51,19 +51,181 @@ def test_context_beats_counts(spark):
     assert sum(r.score for r in held) / n > sum(r.base_score for r in held) / n + 0.3
 
 
-def test_probabilities_add_up():
-    """Over all vocabulary words and tail classes, in any context."""
-    rng = np.random.default_rng(0)
-    counts = L.Counts({}, 100, 64, (5,) * 4, (2,) * 4, tuple(range(64, 0, -1)))
-    w = L.Weights.start(SMALL, counts)
-    w.flat[:] += rng.normal(0, 0.3, len(w.flat)).astype(np.float32)
+def fitted(spark, rows, shape):
+    data = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    counts = L.stored(L.count_words(data.where(L.id_hash_mod("doc_id", 10) != 0)), "test-counts")
+    known, leaves = L.gather_counts(counts, shape)
+    return data, {r["word"]: r["n"] for r in counts.collect()}, known, leaves
+
+
+def test_probabilities_add_up(spark):
+    """Over all vocabulary words and leaves, in any context."""
+    shape = L.Shape(classes=4, class_words=4, tail_classes=3, leaf_words=2, local_words=30)
+    rows = [(i, " ".join(f"w{(i * k * k) % 61}" for k in range(20))) for i in range(30)]
+    _, _, known, _ = fitted(spark, rows, shape)
+    assert known.fit.depth == 2
+    w = L.Weights.start(shape, known)
+    w.flat[:] += np.random.default_rng(0).normal(0, 0.3, len(w.flat)).astype(np.float32)
+    ends = [(7, k // 4, k % 4) for k in range(shape.vocabulary)]
+    ends += [(d1 + 4 * d2, shape.classes + t, -1) for t in range(3) for d1 in range(4) for d2 in range(4)]
     total = 0.0
-    for last in range(SMALL.vocabulary + SMALL.tail_classes):
-        t = L.Tokens.of([np.array([3, 9, last], "<u2").tobytes()], SMALL)
-        total += 10 ** L.log_probabilities(t, w)[2]
+    for key, outcome, digit in ends:
+        doc = (np.array([99, 12345, key], np.uint64), np.array([0, 1, outcome]), np.array([1, 2, digit]))
+        total += 10 ** L.log_probabilities(L.Tokens.of([doc], shape, known.fit), w)[2]
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_shares_of_leaves_add_up(spark):
+    """Words of a leaf, and one unknown word, share it."""
+    shape = L.Shape(classes=2, class_words=4, tail_classes=2, leaf_words=4, local_words=20)
+    rows = [(i, " ".join(f"w{(i * k * k) % 83}" for k in range(20))) for i in range(40)]
+    _, n_of, known, leaves = fitted(spark, rows, shape)
+    found = {r["leaf"]: (r["tokens"], r["distinct"]) for r in leaves.collect()}
+    held = Counter()
+    for w, n in n_of.items():
+        place = known.local.get(w, (None,))[0]
+        if place is not None and place < shape.vocabulary:
+            continue
+        path = L.tail_class(w, shape.tail_classes)
+        for k in range(known.fit.depth):
+            path = path * 4 + int(L.word_keys([w])[0] >> np.uint64(2 * k)) % 4
+        tokens, distinct = found[path]
+        share = (n + 0.1) / (tokens + 0.1 * (distinct + 1))
+        held[path] += share
+        if place is not None:
+            assert known.lexicon.log_share[place] == pytest.approx(math.log10(share))
+    assert held.keys() == found.keys()
+    for path, total in held.items():
+        tokens, distinct = found[path]
+        assert total + 0.1 / (tokens + 0.1 * (distinct + 1)) == pytest.approx(1)
+
+
+def plain_mix(x, kind, bits):
+    m = (1 << 64) - 1
+    x = (x + kind + 1) * 0x9E3779B97F4A7C15 & m
+    return ((x ^ x >> 31) * 0xBF58476D1CE4E5B9 & m) >> 64 - bits
+
+
+class PlainModel:
+    """The model, its training and its scores with lists and loops."""
+
+    def __init__(self, shape, counts):
+        start = L.Weights.start(shape, counts)
+        self.shape, self.fit, self.lexicon, self.local = shape, counts.fit, counts.lexicon, counts.local
+        self.bias = [start.class_bias.astype(float).tolist(), start.word_bias.astype(float).tolist()]
+        self.rows = [{}, {}]
+        self.squares = [{}, {}]
+
+    def path(self, word):
+        place = self.local.get(word, (None,))[0]
+        if place is not None and place < self.shape.vocabulary:
+            return divmod(place, self.shape.class_words), None
+        return (self.shape.classes + L.tail_class(word, self.shape.tail_classes), -1), L.word_keys([word])[0]
+
+    def steps(self, docs):
+        """(class steps, word steps) of (token, rows, bias, digit)."""
+        m, classes, below, tails, n = (1 << 64) - 1, [], [], [], 0
+        for words in docs:
+            keys = [int(k) for k in L.word_keys(words)]
+            for k, word in enumerate(words):
+                before = keys[k - 1] if k else int(L.START)
+                skip = keys[k - 2] if k > 1 else int(L.START)
+                odd = 0xD6E8FEB86659FD93
+                contexts = (before, skip ^ odd, ((before ^ skip >> 17) * odd + skip) & m)
+                (outcome, digit), _ = self.path(word)
+                classes.append((n, [plain_mix(c, 0, self.fit.class_bits) for c in contexts], self.bias[0], outcome))
+                chain = [(outcome, digit)] if digit >= 0 else []
+                path, first, wide = outcome - self.shape.classes, self.shape.classes, self.shape.tail_classes
+                for j in range(self.fit.depth if digit < 0 else 0):
+                    d = (keys[k] >> self.shape.digit_bits * j) & (self.shape.class_words - 1)
+                    chain.append((first + path, d))
+                    path, first, wide = path * self.shape.class_words + d, first + wide, wide * self.shape.class_words
+                for level, (node, d) in enumerate(chain):
+                    mine = (node + 1) * 0x94D049BB133111EB & m
+                    step = (n, [plain_mix(c ^ mine, 1, self.fit.word_bits) for c in contexts[:2]],
+                            self.bias[1][min(node, len(self.bias[1]) - 1)], d)
+                    (below if digit >= 0 else tails).append((level, step))
+                n += 1
+        tails.sort(key=lambda t: t[0])
+        return classes, [s for _, s in below + tails]
+
+    def softmax(self, k, step):
+        z = list(step[2])
+        for r in step[1]:
+            z = [a + b for a, b in zip(z, self.rows[k].get(r, [0.0] * len(z)), strict=True)]
+        e = [math.exp(x - max(z)) for x in z]
+        return [x / sum(e) for x in e]
+
+    def learn(self, docs):
+        for k, steps in enumerate(self.steps(docs)):
+            for a in range(0, len(steps), self.fit.batch):
+                part = steps[a:a + self.fit.batch]
+                grads = []
+                for s in part:
+                    g = self.softmax(k, s)
+                    g[s[3]] -= 1
+                    grads.append(g)
+                for f in range(len(part[0][1]) if part else 0):
+                    mine = {}
+                    for s, g in zip(part, grads, strict=True):
+                        mine.setdefault(s[1][f], []).append(g)
+                    for r, gs in mine.items():
+                        move = [sum(x) / math.sqrt(len(gs)) for x in zip(*gs, strict=True)]
+                        self.squares[k][r] = self.squares[k].get(r, 1e-2) + sum(x * x for x in move)
+                        rate = self.shape.rate / math.sqrt(self.squares[k][r])
+                        old = self.rows[k].get(r, [0.0] * len(move))
+                        self.rows[k][r] = [o - rate * x for o, x in zip(old, move, strict=True)]
+
+    def scores(self, words):
+        return sum(math.log10(self.softmax(k, s)[s[3]]) for k, steps in enumerate(self.steps([words])) for s in steps)
+
+
+def test_scores_equal_a_plain_trainer(spark):
+    """Counts, training in batches and scores, one task, by loops over lists."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 90}" for _ in range(rng.randrange(12)))) for i in range(60)]
+    shape = L.Shape(classes=4, class_words=4, tail_classes=3, leaf_words=3, local_words=25, rounds=(1.0,), batch=50)
+    data, n_of, known, leaves = fitted(spark, rows, shape)
+    assert known.fit.tasks == 1 and known.fit.batch == 50 and len(known.local) < len(n_of)
+    docs = {i: [*t.split(), " "] for i, t in rows}
+    plain = PlainModel(shape, known)
+    plain.learn([docs[i] for i, _ in rows if zlib.crc32(str(i).encode()) % 10])
+    found = {r["leaf"]: (r["tokens"], r["distinct"]) for r in leaves.collect()}
+
+    def share(word):
+        (outcome, digit), key = plain.path(word)
+        if digit >= 0:
+            return 0.0
+        path = outcome - shape.classes
+        for k in range(known.fit.depth):
+            path = path * 4 + (int(key) >> 2 * k) % 4
+        tokens, distinct = found.get(path, (0, 0))
+        return math.log10((n_of.get(word, 0) + 0.1) / (tokens + 0.1 * (distinct + 1)))
+
+    got = {r.doc_id: r.score for r in L.language_model_report(data, shape).collect()}
+    for i, words in docs.items():
+        assert got[i] == pytest.approx(plain.scores(words) + sum(map(share, words)), abs=2e-2, rel=1e-3), i
+    start = PlainModel(shape, known)
+    assert max(abs(start.scores(w) - plain.scores(w)) for w in docs.values()) > 1   # training moved them
+
+
+def test_sizes_follow_the_corpus():
+    small, large = (L.Fit.of(L.Shape(), t, v) for t, v in ((23_000_000, 400_000), (7_000_000_000, 30_000_000)))
+    assert (small.word_bits, small.depth, small.tasks) == (14, 2, 19)
+    assert large.word_bits > small.word_bits + 3 and large.depth == 3 and large.tasks > 10 * small.tasks
+    # What training sends is in proportion to the tokens.
+    sent = [f.tasks * (1 << f.word_bits) for f in (small, large)]
+    assert sent[1] / sent[0] < 2 * 7_000 / 23
+
+
+@pytest.mark.parametrize("room", [1, 7, 40])
+def test_local_words_at_the_edge(spark, room):
+    """600 equally frequent words: a part of them by hash, not none."""
+    rows = [(i, f"t{i} t{i + 600}") for i in range(600)]
+    _, n_of, known, _ = fitted(spark, rows, L.Shape(classes=8, class_words=8, tail_classes=4, local_words=room))
+    assert 0 < len(known.local) < room + 30 and " " in known.local
+
+
 def test_edges(spark, empty):
     assert L.language_model_report(empty, SMALL).count() == 0
     held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
@@ -87,53 +249,3 @@ def test_words_outside_the_vocabulary_have_contexts(spark):
     held = [r for r in L.language_model_report(docs, SMALL).collect() if r.held_out]
     n = sum(r.n_tokens for r in held)
     assert sum(r.score for r in held) / n > sum(r.base_score for r in held) / n + 1
-
-
-@pytest.mark.parametrize("tokens, keys", [(1 << 18, 1 << 21), (50, 40)])
-def test_gram_counts_equal_brute_force(spark, monkeypatch, tokens, keys):
-    """Scores against counts by plain Python, for any cut into groups and
-    blocks, above the model's starting weights."""
-    monkeypatch.setattr(L, "GROUP_TOKENS", tokens)
-    monkeypatch.setattr(L, "BLOCK_KEYS", keys)
-    rng = random.Random(7)
-    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 90}" for _ in range(rng.randrange(12)))) for i in range(90)]
-    shape = L.Shape(classes=16, class_words=16, tail_classes=4, class_bits=9, word_bits=9, local_words=20)
-    docs = [(i, zlib.crc32(str(i).encode()) % 10 == 0, [*t.split(), " "]) for i, t in rows]
-    pair, skip, joint, one, two, both = (Counter() for _ in range(6))
-    for _, held, t in docs:
-        for k, w in enumerate(t if not held else []):
-            u, v = (t[k - 1] if k else None), (t[k - 2] if k > 1 else None)
-            pair[u, w] += 1
-            one[u] += 1
-            joint[v, u, w] += k >= 1
-            both[v, u] += k >= 1
-            skip[v, w] += k >= 2
-            two[v] += k >= 2
-    data = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    counts = L.stored(L.count_words(data.where(L.id_hash_mod("doc_id", 10) != 0)), "test-counts")
-    known = L.gather_counts(counts, shape)
-    n_of = {r["word"]: r["n"] for r in counts.collect()}
-    encoded = L.stored(L.encode(data, known, shape), "test-encoded")
-    weights = L.Weights.start(shape, known)
-    got = {r["row"]: r["model"] for r in L.model_scores(encoded, weights, known).collect()}
-    assert encoded.select("group").distinct().count() > (8 if tokens == 50 else 0)
-    texts = {i: (held, t) for i, held, t in docs}
-    assert len(got) == len(rows)
-    ids = {w: k for w, (k, _) in known.local.items()}
-    tail_id = lambda w: shape.vocabulary + L.tail_class(w, shape.tail_classes)
-    for r in encoded.collect():
-        held, words = texts[r["doc_id"]]
-        seen = L.Tokens.of([np.array([ids.get(w, tail_id(w)) for w in words], "<u2").tobytes()], shape)
-        beneath = 10 ** L.log_probabilities(seen, weights)
-        total, own = 0.0, 0 if held else 1
-        for k, w in enumerate(words):
-            p, tail = beneath[k], seen.outcome[k] - shape.classes
-            if tail >= 0:
-                p *= (n_of.get(w, 0) + 0.1) / (known.tail_tokens[tail] + 0.1 * (known.tail_distinct[tail] + 1))
-            u, v = (words[k - 1] if k else None), (words[k - 2] if k > 1 else None)
-            levels = [(skip[v, w] - own, two[v] - own) if k > 1 else (0, 0), (pair[u, w] - own, one[u] - own),
-                      (joint[v, u, w] - own, both[v, u] - own) if k else (0, 0)]
-            for (n, all_), prior, share in zip(levels, (16, 16, 4), (0.25, 0.5, 1), strict=True):
-                p = (1 - share) * p + share * (n + prior * p) / (all_ + prior)
-            total += math.log10(p)
-        assert got[r["row"]] == pytest.approx(total, abs=1e-6)
