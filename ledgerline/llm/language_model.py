@@ -6,12 +6,12 @@ probability is a product along its path in a tree of softmaxes. The
 P(class | context) P(token | class, context). All other words fall into tail
 classes by a hash of their last letters, and below these the digits of the
 word's own hash are drawn one after another, each given the digits before
-it, so deep that a leaf holds about ``leaf_words`` distinct words; within a
+it, so deep that a leaf holds about ``leaf_words`` distinct words at most; within a
 leaf a word has its smoothed share of the leaf's counts.
 
 Every softmax sums weight rows of hashed features of the words themselves
-(64-bit hashes, whatever their frequency): the word before and the word
-before that (skip), for the class also the two together. The size of the
+(64-bit hashes, whatever their frequency): for the class the word before, the
+word before that (skip) and the two together, below it the word before. The size of the
 model follows the corpus: depth and leaves the distinct words counted, weight
 rows the square root of the tokens counted (``Fit``). So do the tasks that
 train, so what they send, rows times tasks, is in proportion to the tokens.
@@ -53,6 +53,8 @@ FOLDS = 10
 #: No word has a space, so the end token can't clash with one.
 END = " "
 NEVER = -40.0
+#: Sums of weights are held between these, so that exp stays in range.
+FARTHEST = 60.0
 #: Words longer than this are not sent to the tasks.
 LOCAL_CHARS = 64
 #: Tokens to a weight row while there are few.
@@ -66,12 +68,11 @@ class Shape:
     """``class_bits`` and ``word_bits`` are the least numbers of weight rows
     (as powers of two); ``class_words`` is a power of two."""
 
-    classes: int = 64
+    classes: int = 32
     class_words: int = 64
     tail_classes: int = 16
     class_bits: int = 9
     word_bits: int = 9
-    leaf_words: int = 8
     local_words: int = 131_072
     rounds: tuple[float, ...] = (0.125, 1.0)
     rate: float = 0.15
@@ -85,6 +86,10 @@ class Shape:
     def outcomes(self) -> int:
         return self.classes + self.tail_classes
 
+    @property
+    def leaf_words(self) -> int:
+        return max(1, self.class_words // 2)
+
     @property
     def digit_bits(self) -> int:
         return self.class_words.bit_length() - 1
@@ -213,14 +218,14 @@ def gather_counts(counts: DataFrame, shape: Shape) -> tuple[Counts, DataFrame]:
     tokens, distinct = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
     fit = Fit.of(shape, tokens, distinct)
     short = counts.where(F.length("word") <= LOCAL_CHARS).withColumn("band", F.floor(F.log2("n") * 8))
-    room, wanted = shape.local_words, F.lit(False)
+    room, edge, part = shape.local_words, -1, 1.0
     for r in sorted(short.groupBy("band").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["band"]):
-        part = min(1.0, room / r["words"])
-        wanted = wanted | ((F.col("band") == r["band"])
-                           & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(part * (1 << 20))))
+        edge, part = r["band"], min(1.0, room / r["words"])
         room -= r["words"]
         if room <= 0:
             break
+    wanted = (F.col("band") > edge) | ((F.col("band") == edge)
+                                       & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(part * (1 << 20))))
     rows = sorted(short.where(wanted).select("word", "n").collect(), key=lambda r: (-r["n"], r["word"]))
     vocabulary = spark.createDataFrame([(r["word"],) for r in rows[:shape.vocabulary]], "word string")
     # At most shape.vocabulary short words.
@@ -425,7 +430,7 @@ class Tokens:
         at, node = np.concatenate(at), np.concatenate(node)
         mine = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB)
         return Tokens(doc, outcome, [_mix(c, 0, fit.class_bits) for c in contexts], at, node,
-                      np.concatenate(digits), [_mix(c[at] ^ mine, 1, fit.word_bits) for c in contexts[:2]])
+                      np.concatenate(digits), [_mix(c[at] ^ mine, 1, fit.word_bits) for c in contexts[:1]])
 
 
 def _softmax(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -433,7 +438,7 @@ def _softmax(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.
     for r in rows[1:]:
         z += table[r]
     z += bias
-    z -= z.max(axis=1, keepdims=True)
+    np.clip(z, -FARTHEST, FARTHEST, out=z)
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
     return z
@@ -456,6 +461,18 @@ def log_probabilities(t: Tokens, w: Weights) -> np.ndarray:
     return out + np.bincount(t.word_at, below, n)
 
 
+def _stretch_sums(rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the first n[0] rows, the next n[1], and so on (each over 0).
+    ``reduceat`` is slow on long stretches, a loop on many short ones."""
+    out, begin, long = np.empty((len(n), rows.shape[1]), np.float32), np.cumsum(n) - n, n > 16
+    for k in np.flatnonzero(long).tolist():
+        out[k] = rows[begin[k]:begin[k] + n[k]].sum(axis=0)
+    if not long.all():
+        short = n[~long]
+        out[~long] = np.add.reduceat(rows[np.repeat(~long, n)], np.cumsum(short) - short, axis=0)
+    return out
+
+
 class Learner:
     """Adagrad on the rows of one task; counts how often it touched each."""
 
@@ -466,25 +483,31 @@ class Learner:
 
     def _step(self, k: int, table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray,
               target: np.ndarray) -> None:
+        """Rows move along their mean gradient, often-touched rows by more."""
         g = _softmax(table, rows, bias)
         g[np.arange(len(g)), target] -= 1
+        norms = np.einsum("ij,ij->i", g, g)
+        squares, seen, rate = self.squares[k], self.seen[k], np.float32(self.shape.rate)
         for r in rows:
-            order = np.argsort(r, kind="stable")
+            # Sixteen bits are sorted by digits.
+            order = np.argsort(r.astype(np.uint16) if len(table) <= 1 << 16 else r, kind="stable")
             r = r[order]
             first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-            at = r[first]
             times = np.diff(np.append(first, len(r)))
-            # Rows move along their mean gradient, often-touched rows by more.
-            move = g[order[first]]
-            if (many := times > 1).any():
-                inside = np.repeat(many, times)
-                begin = np.concatenate(([0], np.cumsum(times[many])[:-1]))
-                move[many] = (np.add.reduceat(g[order[inside]], begin, axis=0)
-                              / np.sqrt(times[many], dtype=np.float32)[:, None])
-            self.squares[k][at] += np.einsum("ij,ij->i", move, move)
-            move *= (self.shape.rate / np.sqrt(self.squares[k][at]))[:, None]
-            table[at] -= move
-            self.seen[k][at] += times
+            once = times == 1
+            one = order[first[once]]
+            at = r[first[once]]
+            squares[at] += norms[one]
+            table[at] -= g[one] * (rate / np.sqrt(squares[at]))[:, None]
+            seen[at] += 1
+            if len(one) < len(first):
+                n, at = times[~once], r[first[~once]]
+                many = order[np.repeat(~once, times)]
+                move = _stretch_sums(g[many], n)
+                move /= np.sqrt(n, dtype=np.float32)[:, None]
+                squares[at] += np.einsum("ij,ij->i", move, move)
+                table[at] -= move * (rate / np.sqrt(squares[at]))[:, None]
+                seen[at] += n
 
     def learn(self, t: Tokens) -> None:
         step, w = self.w.fit.batch, self.w

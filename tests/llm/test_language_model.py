@@ -60,7 +60,7 @@ def fitted(spark, rows, shape):
 
 def test_probabilities_add_up(spark):
     """Over all vocabulary words and leaves, in any context."""
-    shape = L.Shape(classes=4, class_words=4, tail_classes=3, leaf_words=2, local_words=30)
+    shape = L.Shape(classes=4, class_words=4, tail_classes=3, local_words=30)
     rows = [(i, " ".join(f"w{(i * k * k) % 61}" for k in range(20))) for i in range(30)]
     _, _, known, _ = fitted(spark, rows, shape)
     assert known.fit.depth == 2
@@ -77,7 +77,7 @@ def test_probabilities_add_up(spark):
 
 def test_shares_of_leaves_add_up(spark):
     """Words of a leaf, and one unknown word, share it."""
-    shape = L.Shape(classes=2, class_words=4, tail_classes=2, leaf_words=4, local_words=20)
+    shape = L.Shape(classes=2, class_words=4, tail_classes=2, local_words=20)
     rows = [(i, " ".join(f"w{(i * k * k) % 83}" for k in range(20))) for i in range(40)]
     _, n_of, known, leaves = fitted(spark, rows, shape)
     found = {r["leaf"]: (r["tokens"], r["distinct"]) for r in leaves.collect()}
@@ -142,7 +142,7 @@ class PlainModel:
                     path, first, wide = path * self.shape.class_words + d, first + wide, wide * self.shape.class_words
                 for level, (node, d) in enumerate(chain):
                     mine = (node + 1) * 0x94D049BB133111EB & m
-                    step = (n, [plain_mix(c ^ mine, 1, self.fit.word_bits) for c in contexts[:2]],
+                    step = (n, [plain_mix(c ^ mine, 1, self.fit.word_bits) for c in contexts[:1]],
                             self.bias[1][min(node, len(self.bias[1]) - 1)], d)
                     (below if digit >= 0 else tails).append((level, step))
                 n += 1
@@ -184,7 +184,7 @@ def test_scores_equal_a_plain_trainer(spark):
     """Counts, training in batches and scores, one task, by loops over lists."""
     rng = random.Random(7)
     rows = [(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 90}" for _ in range(rng.randrange(12)))) for i in range(60)]
-    shape = L.Shape(classes=4, class_words=4, tail_classes=3, leaf_words=3, local_words=25, rounds=(1.0,), batch=50)
+    shape = L.Shape(classes=4, class_words=4, tail_classes=3, local_words=25, rounds=(1.0,), batch=50)
     data, n_of, known, leaves = fitted(spark, rows, shape)
     assert known.fit.tasks == 1 and known.fit.batch == 50 and len(known.local) < len(n_of)
     docs = {i: [*t.split(), " "] for i, t in rows}
