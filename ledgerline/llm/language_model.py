@@ -10,8 +10,8 @@ it, so deep that a leaf holds about ``leaf_words`` distinct words at most; withi
 leaf a word has its smoothed share of the leaf's counts.
 
 Every softmax sums weight rows of hashed features of the words themselves
-(64-bit hashes, whatever their frequency): for the class the word before, the
-word before that (skip) and the two together, below it the word before. The size of the
+(64-bit hashes, whatever their frequency): for the class the word before and
+the word before that (skip), below it the word before. The size of the
 model follows the corpus: depth and leaves the distinct words counted, weight
 rows the square root of the tokens counted (``Fit``). So do the tasks that
 train, so what they send, rows times tasks, is in proportion to the tokens.
@@ -75,7 +75,7 @@ class Shape:
     word_bits: int = 9
     local_words: int = 131_072
     rounds: tuple[float, ...] = (0.125, 1.0)
-    rate: float = 0.15
+    rate: float = 0.3
     batch: int = 8192
 
     @property
@@ -264,15 +264,18 @@ def gather_counts(counts: DataFrame, shape: Shape) -> tuple[Counts, DataFrame]:
 
 
 ENCODED = ("row long, doc_id long, held_out boolean, share double, n_tokens long, n_local long, "
-           "log_local double, words binary, deep array<struct<word:string,n:int>>")
+           "log_local double, words binary, far binary, deep array<struct<word:string,n:int>>")
+#: What the model needs to know of a word that is not local.
+FAR = np.dtype([("key", "<u8"), ("tail", "<u2")])
 _DEEP = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
 
 
-def encode(docs: DataFrame, counts: Counts) -> DataFrame:
+def encode(docs: DataFrame, counts: Counts, shape: Shape) -> DataFrame:
     """Each row's tokens (``words``: places among the local words, and behind
-    them in ``deep``, see ``_places``), the sum of log10(count + 0.1) over
-    its local words, and its other words with their numbers (``deep``)."""
-    spark = docs.sparkSession
+    them among the row's other words), the sum of log10(count + 0.1) over its
+    local words, and its other words, as hashes and tail classes (``far``)
+    and with their numbers (``deep``)."""
+    spark, tails = docs.sparkSession, shape.tail_classes
     shared = spark.sparkContext.broadcast(counts.local)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,16 +304,25 @@ def encode(docs: DataFrame, counts: Counts) -> DataFrame:
             end_at = np.full(rows, end_place) if end_n else len(local) + np.diff(starts)
             packed = [_squeeze(np.append(place[a:b], np.array([e], "<u4")))
                       for a, b, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), end_at.tolist(), strict=True)]
+            # Hashes and tail classes of the deep words, each found once.
+            need, at = np.unique(word, return_inverse=True)
+            found = np.empty(len(need), FAR)
+            found["key"] = word_keys([distinct[k] for k in need.tolist()])
+            found["tail"] = [tail_class(distinct[k], tails) for k in need.tolist()]
+            found = found[at]
+            far = [found[a:b].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
             words = pa.array(distinct, pa.string()).take(pa.array(word, pa.int64()))
             deep_rows = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays(
                 [words, pa.array(times, pa.int32())], ["word", "n"]))
             if not end_n:  # no training document: the end token is unknown
                 deep_rows = pa.array([(d or []) + [{"word": END, "n": 1}] for d in deep_rows.to_pylist()], _DEEP)
+                end = np.array([(word_keys([END])[0], tail_class(END, tails))], FAR).tobytes()
+                far = [f + end for f in far]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
                  batch.column("share"), pa.array(size.astype(np.int64)), pa.array(n_local.astype(np.int64)),
-                 pa.array(log_local), pa.array(packed, pa.binary()), deep_rows],
-                ["row", "doc_id", "held_out", "share", "n_tokens", "n_local", "log_local", "words", "deep"])
+                 pa.array(log_local), pa.array(packed, pa.binary()), pa.array(far, pa.binary()), deep_rows],
+                ["row", "doc_id", "held_out", "share", "n_tokens", "n_local", "log_local", "words", "far", "deep"])
 
     return (docs.select(F.monotonically_increasing_id().alias("row"),
                         F.col("doc_id").cast("long").alias("doc_id"),
@@ -331,27 +343,21 @@ def _expand(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(parts.T).view(kind).ravel()
 
 
-def _places(words: pa.Array, deep: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Each row's tokens as places among the local words and, behind them,
-    its deep words."""
-    for packed, far in zip(words.to_pylist(), deep.to_pylist(), strict=True):
-        yield _expand(packed, "<u4").astype(np.int64), [d["word"] for d in far or []]
-
-
-def _read(words: pa.Array, deep: pa.Array, lexicon: Lexicon,
+def _read(words: pa.Array, far: pa.Array, lexicon: Lexicon,
           shape: Shape) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
     """Each row's tokens as (keys, outcomes, digits), and the sum of its
     local words' log10 shares of their leaves."""
     out, shares, n = [], [], len(lexicon.key)
-    for place, far in _places(words, deep):
-        inside = place < n
-        if far:
-            tails = np.array([shape.classes + tail_class(w, shape.tail_classes) for w in far], np.int64)
+    for packed, others in zip(words.to_pylist(), far.to_pylist(), strict=True):
+        place = _expand(packed, "<u4")
+        if others:
+            others = np.frombuffer(others, FAR)
+            inside = place < n
             local, behind = place[inside], place[~inside] - n
             key, outcome = np.empty(len(place), np.uint64), np.empty(len(place), np.int64)
             digit = np.full(len(place), -1)
-            key[inside], key[~inside] = lexicon.key[local], word_keys(far)[behind]
-            outcome[inside], outcome[~inside] = lexicon.outcome[local], tails[behind]
+            key[inside], key[~inside] = lexicon.key[local], others["key"][behind]
+            outcome[inside], outcome[~inside] = lexicon.outcome[local], shape.classes + others["tail"][behind]
             digit[inside] = lexicon.digit[local]
         else:
             local = place
@@ -416,7 +422,7 @@ class Tokens:
         before = np.where(place >= 1, np.roll(key, 1), START)
         skip = np.where(place >= 2, np.roll(key, 2), START)
         odd = np.uint64(0xD6E8FEB86659FD93)
-        contexts = (before, skip ^ odd, (before ^ (skip >> np.uint64(17))) * odd + skip)
+        contexts = (before, skip ^ odd)
         head = np.flatnonzero(digit >= 0)
         at, node, digits = [head], [outcome[head]], [digit[head]]
         tail = np.flatnonzero(digit < 0)
@@ -462,14 +468,20 @@ def log_probabilities(t: Tokens, w: Weights) -> np.ndarray:
 
 
 def _stretch_sums(rows: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of the first n[0] rows, the next n[1], and so on (each over 0).
-    ``reduceat`` is slow on long stretches, a loop on many short ones."""
+    """Sums of the first n[0] rows, the next n[1], and so on (each over 0):
+    long stretches one by one, of short ones all first rows, all second rows
+    and so on."""
     out, begin, long = np.empty((len(n), rows.shape[1]), np.float32), np.cumsum(n) - n, n > 16
     for k in np.flatnonzero(long).tolist():
         out[k] = rows[begin[k]:begin[k] + n[k]].sum(axis=0)
-    if not long.all():
-        short = n[~long]
-        out[~long] = np.add.reduceat(rows[np.repeat(~long, n)], np.cumsum(short) - short, axis=0)
+    short = np.flatnonzero(~long)
+    short = short[np.argsort(-n[short], kind="stable")]
+    at, sizes = begin[short], n[short]
+    sums = rows[at]
+    for k in range(1, int(sizes[0]) if len(sizes) else 0):
+        still = int(np.searchsorted(-sizes, -k, "left"))
+        sums[:still] += rows[at[:still] + k]
+    out[short] = sums
     return out
 
 
@@ -551,7 +563,7 @@ def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
         base = Weights(shape, fit, shared.value)
         learner = Learner(Weights(shape, fit, shared.value.copy()))
         for batch in batches:
-            docs, _ = _read(batch.column("words"), batch.column("deep"), lexicon.value, shape)
+            docs, _ = _read(batch.column("words"), batch.column("far"), lexicon.value, shape)
             for a, b in _groups(docs):
                 learner.learn(Tokens.of(docs[a:b], shape, fit))
         for b in range(blocks):
@@ -579,7 +591,7 @@ def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
                 "block": pa.array([b], pa.int32()), "seen": [seen.tobytes()],
                 "moved": [(moved / np.maximum(seen, 1)[:, None]).astype(np.float32).tobytes()]})
 
-    moves = (encoded.select("words", "deep").coalesce(fit.tasks).mapInArrow(learn, MOVES)
+    moves = (encoded.select("words", "far").coalesce(fit.tasks).mapInArrow(learn, MOVES)
              .repartition(blocks, "block").mapInArrow(add, MOVES))
     out = Weights(shape, fit, w.flat.copy())
     for r in moves.collect():  # one row per block of the model
@@ -600,15 +612,15 @@ def model_scores(encoded: DataFrame, w: Weights, counts: Counts) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(shape, fit, shared.value)
         for batch in batches:
-            docs, shares = _read(batch.column("words"), batch.column("deep"), lexicon.value, shape)
+            docs, shares = _read(batch.column("words"), batch.column("far"), lexicon.value, shape)
             scores = [np.bincount(t.doc, log_probabilities(t, weights), b - a) for a, b in _groups(docs)
                       for t in [Tokens.of(docs[a:b], shape, fit)]]
             model = pa.array(np.concatenate([*scores, np.empty(0)]) + shares, pa.float64())
-            keep = [k for k, name in enumerate(batch.schema.names) if name != "words"]
+            keep = [k for k, name in enumerate(batch.schema.names) if name not in ("words", "far")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in keep), model], [*(batch.schema.names[k] for k in keep), "model"])
 
-    fields = ", ".join(f"{n} {t}" for n, t in encoded.dtypes if n != "words")
+    fields = ", ".join(f"{n} {t}" for n, t in encoded.dtypes if n not in ("words", "far"))
     return encoded.mapInArrow(score, f"{fields}, model double")
 
 
@@ -627,7 +639,7 @@ def language_model_report(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     docs = docs.select("doc_id", "text")
     counts = stored(count_words(docs.where(id_hash_mod("doc_id", FOLDS) != 0)), "lm-counts")
     known, leaves = gather_counts(counts, shape)
-    encoded = stored(encode(docs, known), "lm-encoded")
+    encoded = stored(encode(docs, known, shape), "lm-encoded")
     weights = train(encoded, known, shape)
     scored = stored(model_scores(encoded, weights, known), "lm-scored")
     # The other words meet the counts, and their leaves, in joins.

@@ -131,7 +131,7 @@ class PlainModel:
                 before = keys[k - 1] if k else int(L.START)
                 skip = keys[k - 2] if k > 1 else int(L.START)
                 odd = 0xD6E8FEB86659FD93
-                contexts = (before, skip ^ odd, ((before ^ skip >> 17) * odd + skip) & m)
+                contexts = (before, skip ^ odd)
                 (outcome, digit), _ = self.path(word)
                 classes.append((n, [plain_mix(c, 0, self.fit.class_bits) for c in contexts], self.bias[0], outcome))
                 chain = [(outcome, digit)] if digit >= 0 else []
