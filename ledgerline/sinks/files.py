@@ -25,6 +25,8 @@ from ledgerline.sources.files import CSV_QUOTES
 DEFAULT_CLUSTER = ("region", "product")
 #: Distinct keys of a batch up to which the stored folders' filters are asked.
 PRUNE_KEYS = 1_000_000
+#: Where they lie: a folder beside the table's.
+FILTERS = "-key-filters"
 # Fixed value: the folder name Spark gives a NULL partition value.
 NO_DATE = "=__HIVE_DEFAULT_PARTITION__"
 
@@ -128,7 +130,7 @@ def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None,
     one. One writer at a time: parquet has no key constraint to stop two
     concurrent appends of the same key.
 
-    Beside each folder goes a Bloom filter of its keys. A batch of up to
+    For each folder a Bloom filter of its keys is kept beside the table. A batch of up to
     ``prune_keys`` distinct keys asks the filters which folders may hold one
     of them and compares with those folders' keys only; a larger one, which
     would hit them all, compares with every stored key. Either way the
@@ -141,7 +143,7 @@ def append_by_key(batch: DataFrame, path: str, key: str = "id", created_at=None,
     incoming = scratch_path(spark, "incoming")
     dedupe_by_key(require_key(rows, key), key).select(*rows.columns).write.parquet(incoming)
     fresh = spark.read.schema(rows.schema).parquet(incoming)
-    data, filters = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/filters"
+    data, filters = f"{path.rstrip('/')}/data", path.rstrip("/") + FILTERS
     existing = _read_or_none(spark, path)
     if existing is not None and fresh.count() <= prune_keys:
         folders = folders_to_read(spark, data, filters, fresh, key)
@@ -187,7 +189,7 @@ def truncate_table(spark: SparkSession, path: str, schema) -> None:
     fs, data, jvm = _fs(spark, path.rstrip("/") + "/data")
     if fs.exists(data):
         fs.delete(data, True)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/filters"), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + FILTERS), True)
     else:
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 

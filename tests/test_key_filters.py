@@ -61,5 +61,5 @@ def test_truncate_takes_the_filters_along(spark, tmp_path):
     path = str(tmp_path / "t")
     append_by_key(users(spark, [1, 2]), path)
     truncate_table(spark, path, schemas.USERS)
-    assert not os.path.exists(f"{path}/filters")
+    assert os.listdir(tmp_path) in ([], ["t"])
     assert append_by_key(users(spark, [1]), path).count() == 1
