@@ -4,11 +4,14 @@ confirm them, nearby words adjust the score.
 Base kinds (``email ip card phone``) are found leftmost and non-overlapping
 per kind; a proposal that fails its check is dropped and the search goes on
 after it. The method adds ``iban`` (mod 97), ``ssn`` and ``tel`` (national
-phone numbers), the last two only where nearby words speak for them. Added
-spans that overlap a span found before are dropped; base spans always stay.
+phone numbers), the last two only where nearby words speak for them. An IBAN ends
+at the last of its groups that makes mod 97 hold, so capitals after it do not
+hide it. Added spans are scored first; those that overlap a span kept before
+are dropped; base spans always stay.
 
-Each pattern is linear in the text: runs are matched possessively, and the
-local part of an e-mail address is found backwards from its "@".
+Each pattern is linear in the text: runs are matched possessively, the local
+part of an e-mail address is found backwards from its "@", an IBAN is of
+bounded length, and overlaps are found by bisection.
 
 Defined cases: null and empty texts have no spans; repeated rows are
 searched each; an empty table gives an empty result; columns pass through
@@ -18,6 +21,7 @@ unchanged (the result column is ``pii``).
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -87,6 +91,19 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def ibans(text: str, begin: int) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping; a failed one may hide another in its groups."""
+    found, m = [], IBAN.search(text, begin)
+    while m:
+        end = m.end()
+        while end > m.start() and not _confirmed("iban", text[m.start():end]):
+            end = text.rfind(" ", m.start(), end)
+        if end > m.start():
+            found.append((m.start(), end))
+        m = IBAN.search(text, max(end, m.start() + 1))
+    return found
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -119,26 +136,43 @@ PATTERNS = (("ip", IP, "."), ("card", CARD, ""), ("phone", PHONE, "+"),
             ("iban", IBAN, ""), ("ssn", SSN, "-"), ("tel", TEL, ""))
 
 
+def _matches(kind: str, pattern: re.Pattern, text: str, begin: int) -> list[tuple[int, int]]:
+    if kind == "iban":
+        return ibans(text, begin)
+    return [m.span() for m in pattern.finditer(text, begin) if _confirmed(kind, m.group())]
+
+
+def _merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that the spans cover."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by start, then kind in KINDS' order."""
     if not text:
         return []
-    spans = [("email", a, b) for a, b in emails(text)]
+    found = [("email", a, b, score("email", text, a, b)) for a, b in emails(text)]
     if first := DIGIT.search(text):
         # An IBAN's and a phone number's first digit is not its first character.
         begin = max(0, first.start() - 2)
         for kind, pattern, needs in PATTERNS:
             if needs and needs not in text:
                 continue
-            for m in pattern.finditer(text, begin):
-                if not _confirmed(kind, m.group()):
-                    continue
-                a, b = m.span()
-                if kind in BASE_KINDS or not any(a < y and x < b for _, x, y in spans):
-                    spans.append((kind, a, b))
-    scored = [(k, a, b, score(k, text, a, b)) for k, a, b in spans]
-    return sorted((s for s in scored if s[0] in BASE_KINDS or s[3] >= KEEP),
-                  key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+            new = [(kind, a, b, score(kind, text, a, b)) for a, b in _matches(kind, pattern, text, begin)]
+            if kind in ADDED_KINDS and new:
+                starts, ends = _merged([s[1:3] for s in found])
+                # The first stretch that ends after the span's start must begin at its end or later.
+                new = [s for s in new if s[3] >= KEEP and (
+                    (k := bisect_right(ends, s[1])) == len(ends) or starts[k] >= s[2])]
+            found += new
+    return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from ledgerline.llm import pii
 from tests.llm.conftest import DOCS, doc
@@ -78,3 +79,25 @@ def test_report_and_redaction(spark, rows):
 
 def test_empty_table(empty):
     assert pii.pii_report(empty).count() == 0
+
+
+def test_iban_before_and_after_other_groups():
+    text = "IBAN BE68 5390 0754 7034 BANK"
+    assert [s[:3] for s in pii.find(text)] == [("iban", 5, 24)]
+    text = "account BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00"
+    assert [text[a:b] for k, a, b, _ in pii.find(text) if k == "iban"] == [
+        "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]
+
+
+def test_dropped_proposals_block_nothing_and_many_are_linear():
+    text = "call 555-123-4567 now " * 20_000
+    start = time.perf_counter()
+    found = pii.find(text)
+    assert time.perf_counter() - start < 10
+    assert len(found) == 20_000 and {s[0] for s in found} == {"tel"}
+    # Brute force: no added span overlaps another span.
+    mixed = "ssn 123-45-6789 tel 555-123-4567 card 4111111111111111 IBAN BE68539007547034 a@b.co " * 5
+    spans = pii.find(mixed)
+    for k, a, b, _ in spans:
+        if k in pii.ADDED_KINDS:
+            assert sum(x < b and a < y for _, x, y, _ in spans) == 1
