@@ -6,19 +6,28 @@ functions only.
    ``share`` of all words by weight, no source gets more than ``max_repeat``
    times its own words, and what a capped source cannot take is shared anew.
 2. Blocks. A document's hash puts it at a place of its source's random
-   order; equal ranges of that order are the source's blocks. The number of
-   blocks is bounded by ``target_blocks`` and the number of sources.
+   order; equal ranges of that order are the source's blocks. Blocks and
+   shards grow in number with the words: a shard of ``shard_words`` words
+   is made of about ``shard_draws`` draws of blocks at any size.
    A target of f times the source and a rest is f draws of every block and
    one more draw of blocks in a permuted order until the rest is met; the
    block at the edge is cut by sub-block, and the sub-block at the edge by
    document.
 3. Shards. The block quotas of all sources go down a binary tree: each node
    hands half of its draws to the left by a multivariate hypergeometric
-   draw (selection sampling over the quotas), the others to the right. The
-   leaves are the shards and hold exact quotas.
+   draw, the others to the right. The leaves are the shards and hold exact
+   quotas; a source without draws in a node is not in its table. Nodes of
+   more than ``NODE_DRAWS`` draws are split as tables of draws (those of the
+   smallest hashes go left), the smaller ones below them row by row
+   (selection sampling over the quotas).
 4. Each source's draws, permuted, are dealt to the shards by their quotas,
    so no two shards share a draw, and every shard is shuffled locally.
 
+Running sums within a source go over slices of its order first and then
+within each slice, so that a source of n blocks meets in windows of about
+sqrt(n) rows. Only the targets run over all sources in one window, a row
+of a few numbers each.
+
 All randomness is a hash of ``seed`` and ids, so reruns agree.
 
 Defined cases: a null text has size 0; a source of size 0 has target 0; a
@@ -36,10 +45,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import WORD, stored
 
-#: Sources (and so rows of the source and block tables) up to which these
-#: tables are broadcast; beyond it they are joined by shuffle.
+#: Sources up to which the tables by source are broadcast, and the estimated
+#: bytes up to which these and the table by block are; beyond that they are
+#: joined by shuffle.
 BROADCAST_SOURCES = 50_000
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 256
 SUB_BLOCKS = 2048
+#: Draws of a tree node that one row may hold.
+NODE_DRAWS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -47,7 +61,7 @@ class Mix:
     share: float = 1.0
     max_repeat: int = 3
     weights: tuple[int, ...] = (1, 2, 3)
-    target_blocks: int = 4096
+    shard_draws: int = 64
     block_documents: int = 64
     shard_words: int = 4_000_000
     min_shards: int = 64
@@ -91,8 +105,10 @@ def targets(sized: DataFrame, mix: Mix) -> DataFrame:
     final = F.min_by(F.when(F.col("try") <= F.col("level"), F.col("try")),
                      F.when(F.col("try") <= F.col("level"),
                             F.struct("level", *_SOURCE))).over(everything)
-    # At most target_blocks blocks, none below block_documents mean documents.
-    words = F.greatest(F.lit(1), F.ceil(F.col("all") / mix.target_blocks), F.ceil(
+    # shard_draws blocks to a shard, none below block_documents mean documents.
+    words = F.greatest(F.lit(1), F.least(
+        F.ceil(F.col("all") / (mix.min_shards * mix.shard_draws)),
+        F.lit(max(1, mix.shard_words // mix.shard_draws))), F.ceil(
         F.col("all") * mix.block_documents / F.col("documents")))
     return (rows.withColumn("final", final)
             .select(*_SOURCE, "__m_size",
@@ -120,12 +136,13 @@ def _joined(rows: DataFrame, small: DataFrame, keys: list[str], bounded: bool) -
 
 @dataclass
 class Plan:
-    """Tables by source, by block (its draws and their shards) and of the
-    sub-blocks that hold each source's edge; all of bounded size."""
+    """Tables by source and by block (its draws and their shards, and where
+    the source's edge lies in it), and which of them may be broadcast."""
 
     sources: DataFrame
     blocks: DataFrame
-    bounded: bool
+    few_sources: bool
+    few_blocks: bool
     shards: int
 
 
@@ -136,15 +153,32 @@ def _before_edge() -> Column:
                          & (F.col("__m_hash") <= F.col("__m_last_hash")), F.lit(False)))
 
 
-def _edge(units: DataFrame, unit: str, order: list[str]) -> DataFrame:
-    """Mark the units (a bounded number per source) that lie wholly within
-    the source's rest, and the one at its edge with what is left for it."""
-    w = Window.partitionBy(*_SOURCE).orderBy(*order)
-    return (units.withColumn("__m_through", F.sum("__m_words").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("__m_whole", F.col("__m_through") <= F.col("__m_rest"))
-        .withColumn("__m_left", F.col("__m_rest") - (F.col("__m_through") - F.col("__m_words")))
-        .withColumn("__m_edge", ~F.col("__m_whole") & (F.col("__m_left") > 0)))
+def _running(rows: DataFrame, value: str, place: Column, order: list[str], units: Column) -> DataFrame:
+    """``rows`` with __m_through, the sum of ``value`` within the source up to
+    the row in the order of ``order``. ``place`` (0 to 1) rises with that
+    order and cuts a source of about ``units`` rows into slices."""
+    slices = F.ceil(F.sqrt(units))
+    rows = rows.withColumn("__m_slice", F.least(F.floor(place * slices), slices - 1).cast("long"))
+    key = [*_SOURCE, "__m_slice"]
+    earlier = Window.partitionBy(*_SOURCE).orderBy("__m_slice").rowsBetween(Window.unboundedPreceding, -1)
+    heads = rows.groupBy(*key).agg(F.sum(value).alias("in_slice")).select(
+        *key, F.coalesce(F.sum("in_slice").over(earlier), F.lit(0)).alias("__m_earlier"))
+    within = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (rows.join(heads, key)
+            .withColumn("__m_through", F.col("__m_earlier") + F.sum(value).over(within))
+            .drop("__m_slice", "__m_earlier"))
+
+
+def _place(hashed: str) -> Column:
+    return F.col(hashed) / F.lit(float(1 << 64)) + 0.5
+
+
+def _edge(units: DataFrame) -> DataFrame:
+    """Mark the units that lie wholly within the source's rest, and the one
+    at its edge with what is left for it."""
+    return (units.withColumn("__m_whole", F.col("__m_through") <= F.col("__m_rest"))
+            .withColumn("__m_left", F.col("__m_rest") - (F.col("__m_through") - F.col("__m_words")))
+            .withColumn("__m_edge", ~F.col("__m_whole") & (F.col("__m_left") > 0)))
 
 
 def build_plan(sized: DataFrame, mix: Mix) -> Plan:
@@ -155,23 +189,28 @@ def build_plan(sized: DataFrame, mix: Mix) -> Plan:
                     .otherwise(0).cast("long"))
         .withColumn("__m_rest", F.col("__m_target") - F.col("__m_full") * F.col("__m_size")),
         "mix-sources")
-    head = sources.agg(F.count("*").alias("n"), F.max("__m_all").alias("all")).first()
-    bounded = head["n"] <= BROADCAST_SOURCES
+    row_bytes = F.octet_length("__m_source").cast("long") + ROW_BYTES
+    head = sources.agg(F.count("*").alias("n"), F.max("__m_all").alias("all"), F.sum(row_bytes).alias("bytes"),
+                       F.sum(row_bytes * F.col("__m_blocks")).alias("block_bytes")).first()
+    bounded = head["n"] <= BROADCAST_SOURCES and (head["bytes"] or 0) <= BROADCAST_BYTES
+    few_blocks = bounded and (head["block_bytes"] or 0) <= BROADCAST_BYTES
     shards = mix.min_shards
     while shards * mix.shard_words < (head["all"] or 0) * mix.share:
         shards *= 2
     in_blocks = _joined(sized, sources, _SOURCE, bounded).withColumn("__m_block", _block())
     sums = in_blocks.groupBy(*_SOURCE, "__m_block").agg(F.sum("__m_words").alias("__m_words"))
-    blocks = stored(_edge(
-        sums.join(sources, _SOURCE).withColumn(
-            "__m_order", F.xxhash64(F.lit(mix.seed + 1), *_SOURCE, "__m_block")),
-        "__m_block", ["__m_order", "__m_block"]), "mix-blocks")
+    ordered = _joined(stored(sums, "mix-sums"), sources, _SOURCE, bounded).withColumn(
+        "__m_order", F.xxhash64(F.lit(mix.seed + 1), *_SOURCE, "__m_block"))
+    blocks = stored(_edge(_running(ordered, "__m_words", _place("__m_order"), ["__m_order", "__m_block"],
+                                   F.col("__m_blocks"))), "mix-blocks")
     # The source's edge block by sub-block, its edge sub-block by document.
     edge = blocks.where("__m_edge").select(*_SOURCE, "__m_block", F.col("__m_left").alias("__m_rest"))
     rows = (_joined(in_blocks.drop("__m_rest").select(*_SOURCE, "__m_block", "__m_hash", "__m_words"),
                     edge, _EDGE, bounded).withColumn("__m_sub", _sub()))
-    subs = (_edge(rows.groupBy(*_EDGE, "__m_rest", "__m_sub").agg(F.sum("__m_words").alias("__m_words")),
-                  "__m_sub", ["__m_sub"])
+    # At most SUB_BLOCKS rows to a source.
+    by_sub = Window.partitionBy(*_SOURCE).orderBy("__m_sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    subs = (_edge(rows.groupBy(*_EDGE, "__m_rest", "__m_sub").agg(F.sum("__m_words").alias("__m_words"))
+                  .withColumn("__m_through", F.sum("__m_words").over(by_sub)))
             .groupBy(*_EDGE, "__m_rest")
             .agg(F.min(F.when(F.col("__m_edge"), F.col("__m_sub"))).alias("__m_edge_sub"),
                  F.max(F.when(F.col("__m_whole"), F.col("__m_sub"))).alias("__m_last_sub"),
@@ -193,7 +232,7 @@ def build_plan(sized: DataFrame, mix: Mix) -> Plan:
     plan = (blocks.select(*_SOURCE, "__m_block", "__m_whole", "__m_edge", "__m_full")
             .join(cut, _EDGE, "left")
             .join(draws, _EDGE, "left"))
-    return Plan(sources, stored(plan, "mix-plan"), bounded, shards)
+    return Plan(sources, stored(plan, "mix-plan"), bounded, few_blocks, shards)
 
 
 _LEFT = """
@@ -210,48 +249,96 @@ aggregate(quotas,
   acc -> acc.went)"""
 
 
+def _exploded(rows: DataFrame, start: str, end: str, name: str) -> DataFrame:
+    """A row per number from ``start`` to ``end``, in two steps so that no
+    row holds a long array."""
+    step = 4096
+    return (rows.where(f"`{end}` >= `{start}`")
+            .withColumn("part", F.explode(F.expr(f"sequence(`{start}`, `{end}`, {step}L)")))
+            .withColumn(name, F.explode(F.sequence("part", F.least(F.col("part") + step - 1, F.col(end)))))
+            .drop("part"))
+
+
+def _split_large(tree: DataFrame, seed: int) -> DataFrame:
+    """One level down for nodes of many draws: the half of a node's draws
+    that has the smallest hashes goes left. Where that half ends is found in
+    a histogram of the hashes and, in its last bar, draw by draw."""
+    one = F.lit(1).cast("long")
+    draws = (_exploded(tree.withColumn("first", one), "first", "q", "i")
+             .select("node", "none", "source", F.xxhash64(F.lit(seed), "node", "none", "source", "i").alias("h"), "i")
+             .withColumn("bar", F.shiftright("h", 48)))
+    bars = Window.partitionBy("node").orderBy("bar").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = (draws.groupBy("node", "bar").agg(F.count("*").alias("n"))
+            .withColumn("through", F.sum("n").over(bars))
+            .withColumn("half", F.shiftright(F.sum("n").over(Window.partitionBy("node")), 1))
+            .where("through > half AND through - n <= half")
+            .select("node", F.col("bar").alias("last"), (F.col("half") - F.col("through") + F.col("n")).alias("open")))
+    draws = draws.join(ends, "node")
+    in_bar = F.row_number().over(Window.partitionBy("node").orderBy("h", "none", "source", "i"))
+    left = (draws.where("bar < last").select("node", "none", "source").unionByName(
+        draws.where("bar = last").withColumn("rank", in_bar).where("rank <= open").select("node", "none", "source"))
+        .groupBy("node", "none", "source").agg(F.count("*").alias("x")))
+    x = F.coalesce("x", F.lit(0).cast("long"))
+    return (tree.join(left, ["node", "none", "source"], "left")
+            .select("none", "source", F.inline(F.array(
+                F.struct((F.col("node") * 2).alias("node"), x.alias("q"), (F.col("q") == 0).alias("stays")),
+                F.struct((F.col("node") * 2 + 1).alias("node"), (F.col("q") - x).alias("q"), F.lit(False).alias("stays")))))
+            .where("q > 0 OR stays").select("node", "none", "source", "q"))
+
+
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(none, source, q) -> (shard, none, source, q): at each node of a
-    binary tree, block by block, a draw goes left with probability (left
-    places open) / (draws left). That is a multivariate hypergeometric
-    split, and the two halves always add up to the quotas."""
-    tree = (quotas.groupBy().agg(F.array_sort(F.collect_list(F.struct("none", "source", "q"))).alias("quotas"))
-            .select(F.lit(0).cast("long").alias("node"), "quotas"))
-    for level in range(shards.bit_length() - 1):
-        if level == 6:
+    """(none, source, q) -> (shard, none, source, q) without rows of zero
+    (a quota of zero goes to shard 0): at each node of a binary tree, a draw
+    goes left with probability (left places open) / (draws left). That is a
+    multivariate hypergeometric split, and the two halves always add up to
+    the quotas."""
+    total = quotas.agg(F.sum("q")).first()[0] or 0
+    levels, level = shards.bit_length() - 1, 0
+    flat = quotas.select(F.lit(0).cast("long").alias("node"), "none", "source", "q")
+    while level < levels and total >> level > NODE_DRAWS:
+        flat = stored(_split_large(flat, seed), "mix-tree")
+        level += 1
+    tree = flat.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("none", "source", "q"))).alias("quotas"))
+    spread = level > 0
+    for k in range(level, levels):
+        if k == 6 and not spread:
             tree = tree.repartition("node")
-        total = F.expr("aggregate(quotas, 0L, (a, s) -> a + s.q)")
-        tree = (tree.withColumn("total", total)
+        tree = (tree.withColumn("total", F.expr("aggregate(quotas, 0L, (a, s) -> a + s.q)"))
                 .withColumn("went", F.expr(_LEFT.format(seed=seed)))
                 .withColumn("halves", F.expr("""array(
-                    struct(2 * node AS node, transform(quotas, (s, k) ->
-                      struct(s.none AS none, s.source AS source, get(went, k) AS q)) AS quotas),
-                    struct(2 * node + 1 AS node, transform(quotas, (s, k) ->
-                      struct(s.none AS none, s.source AS source, s.q - get(went, k) AS q)) AS quotas))"""))
-                .select(F.inline("halves")))
+                    struct(2 * node AS node, filter(transform(quotas, (s, k) ->
+                      struct(s.none AS none, s.source AS source, get(went, k) AS q, s.q = 0 AS stays)),
+                      s -> s.q > 0 OR s.stays) AS quotas),
+                    struct(2 * node + 1 AS node, filter(transform(quotas, (s, k) ->
+                      struct(s.none AS none, s.source AS source, s.q - get(went, k) AS q, false AS stays)),
+                      s -> s.q > 0) AS quotas))"""))
+                .select(F.inline("halves"))
+                .withColumn("quotas", F.expr("transform(quotas, s -> struct(s.none, s.source, s.q))")))
     return tree.select(F.col("node").alias("shard"), F.inline("quotas"))
 
 
 def _dealt(blocks: DataFrame, mix: Mix, shards: int) -> DataFrame:
     """Per block, its draws as (pass, shard): every full pass, and the last
-    pass for blocks within the rest or at its edge."""
+    pass for blocks within the rest or at its edge. A source's draws have
+    numbers in a permuted order, its shards take them in stretches of their
+    quotas, and the two meet by number."""
     last = F.when(F.col("__m_whole") | F.col("__m_edge"), F.array("__m_full")).otherwise(
         F.array().cast("array<long>"))
     full = F.when(F.col("__m_full") > 0, F.sequence(F.lit(0).cast("long"), F.col("__m_full") - 1)).otherwise(
         F.array().cast("array<long>"))
-    draws = blocks.select(*_SOURCE, "__m_block", F.explode(F.concat(full, last)).alias("pass"))
+    draws = (blocks.select(*_SOURCE, "__m_block", (F.col("__m_blocks") * (F.col("__m_full") + 1)).alias("units"),
+                           F.explode(F.concat(full, last)).alias("pass"))
+             .withColumn("one", F.lit(1).cast("long"))
+             .withColumn("order", F.xxhash64(F.lit(mix.seed + 3), *_SOURCE, "__m_block", "pass")))
     quotas = draws.groupBy(*_SOURCE).agg(F.count("*").alias("q")).select(
         F.col("__m_none").alias("none"), F.col("__m_source").alias("source"), "q")
-    leaves = split_quotas(quotas, shards, mix.seed + 2)
-    upto = Window.partitionBy("none", "source").orderBy("shard").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    leaves = (leaves.withColumn("to", F.sum("q").over(upto)).where("q > 0")
-              .select(F.col("none").alias("__m_none"), F.col("source").alias("__m_source"),
-                      "shard", (F.col("to") - F.col("q")).alias("from"), "to"))
-    rank = F.row_number().over(Window.partitionBy(*_SOURCE).orderBy(
-        F.xxhash64(F.lit(mix.seed + 3), *_SOURCE, "__m_block", "pass"), "__m_block", "pass")) - 1
-    return (draws.withColumn("rank", rank).join(leaves, _SOURCE)
-            .where("rank >= from AND rank < to")
+    leaves = split_quotas(quotas, shards, mix.seed + 2).select(
+        F.col("none").alias("__m_none"), F.col("source").alias("__m_source"), "shard", "q")
+    leaves = _running(stored(leaves, "mix-leaves"), "q", F.col("shard") / shards, ["shard"], F.lit(shards))
+    taken = _exploded(leaves.select(*_SOURCE, "shard", (F.col("__m_through") - F.col("q") + 1).alias("from"),
+                                    F.col("__m_through").alias("to")), "from", "to", "__m_through")
+    draws = _running(draws, "one", _place("order"), ["order", "__m_block", "pass"], F.col("units"))
+    return (draws.join(taken.drop("from", "to"), [*_SOURCE, "__m_through"])
             .groupBy(*_SOURCE, "__m_block")
             .agg(F.collect_list(F.struct("pass", "shard")).alias("__m_draws")))
 
@@ -260,9 +347,9 @@ def _with_draws(rows: DataFrame, plan: Plan) -> DataFrame:
     """``rows`` (placed) with their source's and block's plan and
     ``__m_partial``: whether the last pass takes the row too."""
     sources = plan.sources.select(*_SOURCE, "__m_size", "__m_target", "__m_blocks")
-    rows = _joined(rows, sources, _SOURCE, plan.bounded).withColumn("__m_block", _block())
+    rows = _joined(rows, sources, _SOURCE, plan.few_sources).withColumn("__m_block", _block())
     fills = F.coalesce(F.col("__m_hash") == F.col("__m_fill_hash"), F.lit(False))
-    return _joined(rows, plan.blocks, _EDGE, plan.bounded).withColumn(
+    return _joined(rows, plan.blocks, _EDGE, plan.few_blocks).withColumn(
         "__m_partial", F.col("__m_whole") | (F.col("__m_edge") & (_before_edge() | fills)))
 
 

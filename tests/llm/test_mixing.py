@@ -92,3 +92,40 @@ def test_empty_table_and_native_plan(docs, empty):
     assert mixing.mixed(empty).count() == 0
     plan = mixing.mixed(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_blocks_and_shards_grow_with_the_words(spark):
+    # 8,192 shards of about 8 draws each, one source with a third of all rows.
+    docs = spark.range(65_536).select(
+        F.col("id").alias("doc_id"), F.lit("one two three four").alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source"))
+    mix = mixing.Mix(shard_words=32, shard_draws=8, block_documents=1, min_shards=64)
+    out = mixing.mixed(docs, mix, with_shard=True).groupBy("__m_shard").count().collect()
+    sizes = sorted(r["count"] for r in out)
+    assert len(sizes) > 8_100 and max(r["__m_shard"] for r in out) > 8_000
+    assert sizes[-1] < 5 * sum(sizes) / len(sizes)
+    report = mixing.mix_report(docs, mix)
+    assert report.agg(F.sum("taken")).first()[0] == 4 * sum(sizes)
+
+
+def test_large_nodes_are_split_exactly_too(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "NODE_DRAWS", 100)
+    quotas = spark.createDataFrame([(False, "a", 9_000), (False, "b", 370), (False, "c", 0), (True, "", 3)],
+                                   "none boolean, source string, q long")
+    rows = mixing.split_quotas(quotas, 16, 3).collect()
+    total, per_shard = Counter(), Counter()
+    for r in rows:
+        total[r.source, r.none] += r.q
+        per_shard[r.shard] += r.q
+    assert total == {("a", False): 9_000, ("b", False): 370, ("c", False): 0, ("", True): 3}
+    assert len(per_shard) == 16 and max(per_shard.values()) - min(per_shard.values()) <= 1
+    assert all(abs(r.q - 9_000 / 16) < 12 for r in rows if r.source == "a")
+    assert all(r.q or r.shard == 0 for r in rows)
+    monkeypatch.setattr(mixing, "NODE_DRAWS", 8)
+    test_mix_has_the_rows_the_report_says(docs)
+
+
+def test_blocks_by_shuffle_join(docs, monkeypatch):
+    want = sorted(map(str, mixing.mix_report(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, mixing.mix_report(docs).collect())) == want
