@@ -99,6 +99,30 @@ def test_short_items_leave_clean_documents_alone(spark):
     assert report.where("contaminated").count() == 5
 
 
+def test_whole_items_of_five_to_nine_words_go(spark):
+    items = spark.createDataFrame([(1, "who wrote the third book of songs"), (2, "a"), (3, "yes"), (4, "to be or not")],
+                                  "item_id long, text string")
+    rest = "and here is much more to read that no item has in it"
+    rows = [doc(1, f"Ask: Who wrote the third book of songs? {rest}"), doc(2, f"yes a yes a yes a yes a {rest}"),
+            doc(3, "who wrote the third book of songs"), doc(4, f"to be or not {rest}"),
+            doc(5, f"who wrote the third book of {rest}")]
+    got = {r.doc_id: r.text for r in decontaminate.decontaminate(spark.createDataFrame(rows, DOCS), items).collect()}
+    assert got == {1: f"Ask: ? {rest}", **{r[0]: r[1] for r in rows if r[0] in (2, 4, 5)}}
+
+
+def test_one_python_stage_for_many_blocks_and_repeated_items(case, monkeypatch):
+    docs, benchmark, rows, items = case
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    many = benchmark.unionByName(benchmark).unionByName(benchmark)
+    assert len(decontaminate._blocks(many)) > 25
+    found = decontaminate.contamination_report(docs, many)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(str(tuple(r)) for r in found.collect()) == sorted(str((r[0], *brute(r[1], items))) for r in rows)
+    cut = sorted(map(str, decontaminate.decontaminate(docs, many).collect()))
+    monkeypatch.undo()
+    assert sorted(map(str, decontaminate.decontaminate(docs, benchmark).collect())) == cut
+
+
 def test_empty_tables(spark, docs, empty, case):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination_report(docs, none).where("contaminated").count() == 0
