@@ -361,6 +361,25 @@ def blocks(parts: list[Node | str]) -> list[str]:
     return out
 
 
+def _title_before(root: Node, parts: list[Node | str]) -> Node | None:
+    """The last h1 before the parts, in whatever box, if they have none of
+    their own. One that is all but a link is the site's name."""
+    own = {id(c) for c in parts if not isinstance(c, str)}
+    title, seen_parts = None, False
+    stack = [(root, False)]
+    while stack:
+        node, within = stack.pop()
+        if id(node) in own:
+            seen_parts = within = True
+        if node.tag == "h1" and node.size:
+            if within:
+                return None
+            if not seen_parts and 2 * node.linked < node.size:
+                title = node
+        stack += [(c, within) for c in reversed(node.children) if not isinstance(c, str)]
+    return title
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -374,7 +393,8 @@ def main_text(page: str | None) -> str:
     elif best.parent is not None:
         parts = [c for c in best.parent.children if c is best or (
             not isinstance(c, str) and c.tag in ("article", "h1") and 2 * c.linked < max(c.size, 1))]
-    return "\n\n".join(blocks(parts))
+    title = _title_before(root, parts)
+    return "\n\n".join(blocks([title, *parts] if title else parts))
 
 
 def with_main_text(pages: DataFrame) -> DataFrame:

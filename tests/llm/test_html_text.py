@@ -73,3 +73,15 @@ def test_report(spark):
     got = sorted(map(str, map(tuple, H.html_report(pages).collect())))
     assert got == sorted(map(str, [(1, "u", P1, len(P1))] * 2 + [(None, None, "", 0), (2, "u", "", 0)]))
     assert H.html_report(pages.limit(0)).count() == 0
+
+
+def test_title_in_a_box_of_its_own():
+    prose = "".join(f"<p>Sentence {k}, with commas, and some more words to read here.</p>" for k in range(6))
+    text = [f"Sentence {k}, with commas, and some more words to read here." for k in range(6)]
+    page = f"<body><div><h1><a href='/'>Site</a></h1></div><div><h1>Title</h1></div><div><div>{prose}</div></div></body>"
+    assert H.main_text(page) == "\n\n".join(["Title", *text])
+    # A title of the container's own leaves other headings alone.
+    page = f"<body><div><h1>Site</h1></div><div><div><h1>Title</h1>{prose}</div></div></body>"
+    assert H.main_text(page) == "\n\n".join(["Title", *text])
+    page = f"<body><div><div><h1>Title</h1></div></div><article>{prose}</article></body>"
+    assert H.main_text(page) == "\n\n".join(["Title", *text])
