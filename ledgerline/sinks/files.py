@@ -21,6 +21,7 @@ from ledgerline.session import scratch_path
 from ledgerline.sinks.clustering import along_curve
 from ledgerline.sinks.key_filters import folders_to_read, write_filter
 from ledgerline.sources.files import CSV_QUOTES
+from ledgerline.storage import Store
 
 DEFAULT_CLUSTER = ("region", "product")
 #: Distinct keys of a batch up to which the stored folders' filters are asked.
@@ -82,13 +83,21 @@ def write_transformed(df: DataFrame, path: str, mode: str = "dynamic",
     ``replace`` drops the whole table first (the original keeps one day).
     ``curve`` lays the rows of large dates out along a Z-order curve through
     ``cluster_by`` (see ``along_curve``, also for ``files``), so that filters
-    on either column skip files; it reads a sample of ``df`` beforehand."""
+    on either column skip files; ``df`` is written to the work folder first,
+    since it is gone through several times."""
+    spark, held = df.sparkSession, None
+    if curve:
+        held = scratch_path(spark, "curve")
+        df.write.parquet(held)
+        df = spark.read.schema(df.schema).parquet(held)
     out = (along_curve(df, "order_date", cluster_by, "order_id", files) if curve
            else _layout(df, "order_date", cluster_by, "order_id"))
     w = out.write.mode("overwrite").partitionBy("order_date")
     w = w.option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
-    _overwrite_dates(df.sparkSession, path, "order_date", None if mode == "replace" else dates,
+    _overwrite_dates(spark, path, "order_date", None if mode == "replace" else dates,
                      lambda: w.parquet(path))
+    if held:
+        Store(spark).delete(held)
 
 
 def write_summary(df: DataFrame, path: str, dates=None, append: bool = False) -> None:
