@@ -34,7 +34,7 @@ from ledgerline.operators.users import (
     to_user_rows,
 )
 from ledgerline.plans import params as P
-from ledgerline.session import scratch_path
+from ledgerline.session import input_bytes, scratch_path
 from ledgerline.sources import testdata as TD
 from ledgerline.sources.files import read_csv, read_sales_csv, read_snapshots
 from ledgerline.sources.generate import (
@@ -526,6 +526,10 @@ def q_incremental_summary(spark, d):
     return read_summary(spark, path)
 
 
+#: Bytes of line items (Parquet) to a file that arrives.
+ARRIVAL_BYTES = 4 << 20
+
+
 def q_stream_summary(spark, d):
     """T1 + A2: files that hold all dates, taken in over several
     micro-batches and two runs."""
@@ -533,10 +537,11 @@ def q_stream_summary(spark, d):
     from ledgerline.streaming.summary import stream_summary
     base = scratch_path(spark, "stream-summary")
     raw, part = _raw(spark, d), F.pmod(F.col("order_id"), F.lit(10))
+    files = max(3, -(-input_bytes(spark, f"{d}/lineitem.parquet") // ARRIVAL_BYTES))
     for n, share in enumerate((part < 5, part >= 5)):
-        raw.where(share).repartition(3).write.json(f"{base}/landing/arrival={n}")
+        raw.where(share).repartition(files).write.json(f"{base}/landing/arrival={n}")
         stream_summary(spark, f"{base}/landing/*", f"{base}/summary", f"{base}/checkpoint",
-                       lateness="36500 days", max_files_per_trigger=2)
+                       lateness="36500 days", max_files_per_trigger=-(-2 * files // 3))
     return read_summary(spark, f"{base}/summary")
 
 

@@ -22,6 +22,7 @@ from ledgerline import schemas
 from ledgerline.operators.enrich import enrich
 from ledgerline.operators.partials import finished, merged_columns, partial_columns, partial_names, with_limbs
 from ledgerline.sinks.summary_state import write_version
+from ledgerline.storage import Store
 from ledgerline.streaming.ingest import MAX_FILE_AGE
 
 PAIRS = T.StructType([T.StructField("summary_date", T.TimestampType()), T.StructField("customer_id", T.LongType()),
@@ -57,10 +58,15 @@ def stream_summary(spark: SparkSession, source_dir: str, path: str, checkpoint:
 
 
 def _upsert(changed: DataFrame, path: str, batch: int) -> None:
-    spark = changed.sparkSession
-    folder = f"{path}/pairs/batch={batch}"
+    spark, store = changed.sparkSession, Store(changed.sparkSession)
+    folder, arrived = f"{path}/pairs/batch={batch}", f"{path}/arrived/batch={batch}"
+    # Ranges are placed by a pass of their own: over what the batch has
+    # written once, so that its state is not gone through (and stored) twice.
+    changed.write.mode("overwrite").parquet(arrived)
+    changed = spark.read.schema(changed.schema).parquet(arrived)
     (changed.repartitionByRange("summary_date", "customer_id").sortWithinPartitions("summary_date", "customer_id")
      .write.mode("overwrite").parquet(folder))
+    store.delete(arrived)
     # As many dates as the files of the batch have days.
     touched = [r[0] for r in spark.read.schema(PAIRS).parquet(folder).select("summary_date").distinct().collect()]
     if not touched:
