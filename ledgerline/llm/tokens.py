@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
 import zlib
 from array import array
@@ -45,8 +46,9 @@ MARKS = (".", ",", "!", "?", ":", ";")
 #: Distinct words of either generation (see ``Kept``) whose ids a Python
 #: worker keeps; it changes time, not results.
 CACHE_WORDS = 150_000
-#: Text bytes that are encoded at once in a task.
-ENCODE_BYTES = 4 << 20
+#: Text bytes that are encoded at once in a task, and rows of the batches
+#: they come in.
+ENCODE_BYTES, ENCODE_ROWS = 2 << 20, 500
 #: Characters of the text that divide the rows of one doc_id among tasks.
 PLACE_CHARS = 48
 READ_BYTES = 4 << 20
@@ -92,6 +94,9 @@ class Encoder:
     model, anything else through its whole pipeline."""
 
     def __init__(self, fmt: TokenFormat):
+        # Spark runs a task per core; the tokenizer's threads would each keep
+        # memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.dtype = np.dtype(f"<u{fmt.id_width}")
@@ -206,7 +211,7 @@ def write_tokens(docs: DataFrame, folder: str, fmt: TokenFormat,
     import zstandard as zstd
 
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, ENCODE_ROWS)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dictionary = train_dictionary(docs, fmt, sample)
     digest = hashlib.sha256(dictionary).hexdigest() if dictionary else NO_DICTIONARY
@@ -235,6 +240,9 @@ def write_tokens(docs: DataFrame, folder: str, fmt: TokenFormat,
                 frame = pack.compress(tokens[a:b].tobytes() + end)
                 out.write(frame)
                 offsets.append(offsets[-1] + len(frame))
+            # Workers stay for the tasks that follow; what Arrow holds free
+            # would count in each of them.
+            pa.default_memory_pool().release_unused()
         if out is None:
             return
         out.close()

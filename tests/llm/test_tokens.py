@@ -79,3 +79,14 @@ def test_hot_id_is_divided(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     sizes = [r["n_docs"] for r in manifest.collect()]
     assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
+
+
+def test_encoders_start_no_threads(monkeypatch):
+    """Each thread of each worker would keep memory of its own."""
+    import os
+
+    from ledgerline.llm.queries import tokenizer_path
+
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    tokens.Encoder(tokens.TokenFormat(tokenizer_path()))
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
