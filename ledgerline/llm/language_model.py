@@ -53,8 +53,11 @@ FOLDS = 10
 #: No word has a space, so the end token can't clash with one.
 END = " "
 NEVER = -40.0
-#: Sums of weights are held between these, so that exp stays in range.
-FARTHEST = 60.0
+#: Weights are held between these, so that products of exps stay in range;
+#: looked at every HOLD_STEPS steps (a step moves a weight by the rate at most
+#: for each of its features).
+FARTHEST = np.float32(20.0)
+HOLD_STEPS = 16
 #: Words longer than this are not sent to the tasks.
 LOCAL_CHARS = 64
 #: Tokens to a weight row while there are few.
@@ -343,28 +346,46 @@ def _expand(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(parts.T).view(kind).ravel()
 
 
-def _read(words: pa.Array, far: pa.Array, lexicon: Lexicon,
-          shape: Shape) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
-    """Each row's tokens as (keys, outcomes, digits), and the sum of its
-    local words' log10 shares of their leaves."""
-    out, shares, n = [], [], len(lexicon.key)
-    for packed, others in zip(words.to_pylist(), far.to_pylist(), strict=True):
-        place = _expand(packed, "<u4")
-        if others:
-            others = np.frombuffer(others, FAR)
-            inside = place < n
-            local, behind = place[inside], place[~inside] - n
-            key, outcome = np.empty(len(place), np.uint64), np.empty(len(place), np.int64)
-            digit = np.full(len(place), -1)
-            key[inside], key[~inside] = lexicon.key[local], others["key"][behind]
-            outcome[inside], outcome[~inside] = lexicon.outcome[local], shape.classes + others["tail"][behind]
-            digit[inside] = lexicon.digit[local]
-        else:
-            local = place
-            key, outcome, digit = lexicon.key[place], lexicon.outcome[place], lexicon.digit[place]
-        out.append((key, outcome, digit))
-        shares.append(lexicon.log_share[local].sum())
-    return out, np.array(shares, float)
+def _read(words: pa.Array, far: pa.Array, lexicon: Lexicon, shape: Shape) -> tuple[Stream, np.ndarray]:
+    """The rows' tokens in turn, and the sum of each row's local words' log10
+    shares of their leaves."""
+    places = [_expand(packed, "<u4") for packed in words.to_pylist()]
+    others = [np.frombuffer(x or b"", FAR) for x in far.to_pylist()]
+    n, rows = len(lexicon.key), len(places)
+    size, more = (np.array(list(map(len, x)), np.int64) for x in (places, others))
+    place, other = (np.concatenate(x) if rows else np.empty(0, kind)
+                    for x, kind in ((places, "<u4"), (others, FAR)))
+    place, doc = place.astype(np.int64), np.repeat(np.arange(rows), size)
+    inside = place < n
+    local, outside = place[inside], np.flatnonzero(~inside)
+    key, outcome = np.empty(len(place), np.uint64), np.empty(len(place), np.int64)
+    digit = np.full(len(place), -1)
+    key[inside], outcome[inside], digit[inside] = lexicon.key[local], lexicon.outcome[local], lexicon.digit[local]
+    if len(outside):
+        behind = place[outside] - n + (np.cumsum(more) - more)[doc[outside]]
+        key[outside], outcome[outside] = other["key"][behind], shape.classes + other["tail"][behind]
+    shares = np.bincount(doc[inside], lexicon.log_share[local], rows).astype(float)
+    return Stream(key, outcome, digit, size), shares
+
+
+@dataclass(frozen=True)
+class Stream:
+    """Tokens of some rows, one after another, and how many each row has."""
+
+    key: np.ndarray
+    outcome: np.ndarray
+    digit: np.ndarray
+    size: np.ndarray
+
+    def groups(self) -> Iterator[Stream]:
+        """Rows in turn, of about GROUP_TOKENS together."""
+        ends = np.cumsum(self.size)
+        a = begin = 0
+        while a < len(ends):
+            b = min(int(np.searchsorted(ends, begin + GROUP_TOKENS)) + 1, len(ends))
+            s = slice(begin, int(ends[b - 1]))
+            yield Stream(self.key[s], self.outcome[s], self.digit[s], self.size[a:b])
+            a, begin = b, s.stop
 
 
 class Weights:
@@ -378,8 +399,10 @@ class Weights:
         self.class_bias = flat[c + w:c + w + shape.outcomes]
         self.word_bias = flat[c + w + shape.outcomes:].reshape(-1, shape.class_words)
 
-    def bias_of(self, node: np.ndarray) -> np.ndarray:
-        return self.word_bias[np.minimum(node, len(self.word_bias) - 1)]
+    def exponentials(self) -> Weights:
+        flat, rows = self.flat.copy(), self.by_class.size + self.by_word.size
+        np.clip(flat[:rows], -FARTHEST, FARTHEST, out=flat[:rows])
+        return Weights(self.shape, self.fit, np.exp(flat, out=flat))
 
     @staticmethod
     def start(shape: Shape, counts: Counts) -> Weights:
@@ -415,9 +438,14 @@ class Tokens:
 
     @staticmethod
     def of(docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], shape: Shape, fit: Fit) -> Tokens:
-        key, outcome, digit = (np.concatenate(x) for x in zip(*docs, strict=True))
+        """Of documents' (keys, outcomes, digits)."""
         size = np.array([len(d[0]) for d in docs], np.int64)
-        doc = np.repeat(np.arange(len(docs)), size)
+        return Tokens.of_stream(Stream(*(np.concatenate(x) for x in zip(*docs, strict=True)), size), shape, fit)
+
+    @staticmethod
+    def of_stream(stream: Stream, shape: Shape, fit: Fit) -> Tokens:
+        key, outcome, digit, size = stream.key, stream.outcome, stream.digit, stream.size
+        doc = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
         before = np.where(place >= 1, np.roll(key, 1), START)
         skip = np.where(place >= 2, np.roll(key, 2), START)
@@ -439,70 +467,128 @@ class Tokens:
                       np.concatenate(digits), [_mix(c[at] ^ mine, 1, fit.word_bits) for c in contexts[:1]])
 
 
-def _softmax(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
-    z = table[rows[0]]
-    for r in rows[1:]:
-        z += table[r]
-    z += bias
-    np.clip(z, -FARTHEST, FARTHEST, out=z)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+#: Rows of a softmax at once, so that they stay in a core's cache.
+SOFTMAX_ROWS = 512
+
+
+class Softmax:
+    """Softmaxes over sums of weight rows and a bias row. The rows' exponentials
+    are kept and multiplied, so that exp is taken of moves and not of every
+    token's sum."""
+
+    def __init__(self, exps: np.ndarray, bias: np.ndarray):
+        self.exps, self.bias, width = exps, bias, exps.shape[1]
+        self.block, self.spare = (np.empty((SOFTMAX_ROWS, width), np.float32) for _ in range(2))
+        self.ones, self.out = np.ones(width, np.float32), np.empty((0, width), np.float32)
+
+    def _products(self, rows: list[np.ndarray], node: np.ndarray | None, z: np.ndarray) -> None:
+        """Row numbers are in range: clipping them only spares a buffer."""
+        spare = self.spare[:len(z)]
+        self.exps.take(rows[0], axis=0, out=z, mode="clip")
+        for r in rows[1:]:
+            z *= self.exps.take(r, axis=0, out=spare, mode="clip")
+        z *= self.bias if node is None else self.bias.take(node, axis=0, out=spare, mode="clip")
+
+    def probabilities(self, rows: list[np.ndarray], node: np.ndarray | None) -> np.ndarray:
+        """One row each, valid until the next call. ``node``: bias rows (past
+        the last: the last)."""
+        n = len(rows[0])
+        if len(self.out) < n:
+            self.out = np.empty((n, len(self.ones)), np.float32)
+        for k in range(0, n, SOFTMAX_ROWS):
+            s = slice(k, min(k + SOFTMAX_ROWS, n))
+            z = self.out[s]
+            self._products([r[s] for r in rows], None if node is None else node[s], z)
+            z *= np.reciprocal(z @ self.ones)[:, None]
+        return self.out[:n]
+
+    def log_of(self, rows: list[np.ndarray], node: np.ndarray | None, target: np.ndarray) -> np.ndarray:
+        """log10 of each target's probability, at least -30."""
+        n = len(target)
+        out, place = np.empty(n), np.arange(SOFTMAX_ROWS)
+        for k in range(0, n, SOFTMAX_ROWS):
+            s = slice(k, min(k + SOFTMAX_ROWS, n))
+            z = self.block[:s.stop - k]
+            self._products([r[s] for r in rows], None if node is None else node[s], z)
+            out[s] = z[place[:len(z)], target[s]] / (z @ self.ones)
+        return np.log10(np.maximum(out, 1e-30, out=out), out=out)
+
+    def move(self, at: np.ndarray, by: np.ndarray) -> None:
+        """Takes ``by`` (overwritten) from the weights of the rows ``at``, each
+        named once."""
+        np.exp(np.negative(by, out=by), out=by)
+        by *= self.exps.take(at, axis=0)
+        self.exps[at] = by
+
+    def hold(self) -> None:
+        np.clip(self.exps, np.exp(-FARTHEST), np.exp(FARTHEST), out=self.exps)
+
+
+def softmaxes(e: Weights) -> tuple[Softmax, Softmax]:
+    """Of the exponentials of weights: class and word."""
+    return Softmax(e.by_class, e.class_bias), Softmax(e.by_word, e.word_bias)
 
 
 def log_probabilities(t: Tokens, w: Weights) -> np.ndarray:
     """log10 of the product of each token's softmaxes."""
-    shape, n = w.shape, len(t.outcome)
-    out = np.empty(n)
-    step = shape.batch
-    for k in range(0, n, step):
-        s = slice(k, k + step)
-        p = _softmax(w.by_class, [r[s] for r in t.class_rows], w.class_bias)
-        out[s] = np.log10(np.maximum(p[np.arange(len(p)), t.outcome[s]], 1e-30))
-    below = np.empty(len(t.word_at))
-    for k in range(0, len(t.word_at), step):
-        s = slice(k, k + step)
-        p = _softmax(w.by_word, [r[s] for r in t.word_rows], w.bias_of(t.word_node[s]))
-        below[s] = np.log10(np.maximum(p[np.arange(len(p)), t.word_digit[s]], 1e-30))
-    return out + np.bincount(t.word_at, below, n)
+    return _log_probabilities(t, softmaxes(w.exponentials()))
+
+
+def _log_probabilities(t: Tokens, pair: tuple[Softmax, Softmax]) -> np.ndarray:
+    out = pair[0].log_of(t.class_rows, None, t.outcome)
+    below = pair[1].log_of(t.word_rows, t.word_node, t.word_digit)
+    return out + np.bincount(t.word_at, below, len(out))
+
+
+#: Stretches from here on are summed one by one.
+LONG_STRETCH = 8
+_ONES = np.ones(1 << 14, np.float32)
 
 
 def _stretch_sums(rows: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Sums of the first n[0] rows, the next n[1], and so on (each over 0):
     long stretches one by one, of short ones all first rows, all second rows
     and so on."""
-    out, begin, long = np.empty((len(n), rows.shape[1]), np.float32), np.cumsum(n) - n, n > 16
-    for k in np.flatnonzero(long).tolist():
-        out[k] = rows[begin[k]:begin[k] + n[k]].sum(axis=0)
+    out, begin, long = np.empty((len(n), rows.shape[1]), np.float32), np.cumsum(n) - n, n > LONG_STRETCH
+    ones = _ONES if len(rows) <= len(_ONES) else np.ones(len(rows), np.float32)
+    which = np.flatnonzero(long)
+    for k, a, size in zip(which.tolist(), begin[which].tolist(), n[which].tolist(), strict=True):
+        np.dot(ones[:size], rows[a:a + size], out=out[k])
     short = np.flatnonzero(~long)
     short = short[np.argsort(-n[short], kind="stable")]
     at, sizes = begin[short], n[short]
-    sums = rows[at]
+    sums = rows.take(at, axis=0)
     for k in range(1, int(sizes[0]) if len(sizes) else 0):
         still = int(np.searchsorted(-sizes, -k, "left"))
-        sums[:still] += rows[at[:still] + k]
+        sums[:still] += rows.take(at[:still] + k, axis=0)
     out[short] = sums
     return out
 
 
 class Learner:
-    """Adagrad on the rows of one task; counts how often it touched each."""
+    """Adagrad on the rows of one task, from the weights ``w``; counts how often
+    it touched each."""
 
     def __init__(self, w: Weights):
-        self.w, self.shape = w, w.shape
+        self.w, self.shape, self.steps = w, w.shape, 0
+        self.softmax = softmaxes(w.exponentials())
         self.seen = [np.zeros(len(t), np.float32) for t in (w.by_class, w.by_word)]
         self.squares = [np.full(len(t), 1e-2, np.float32) for t in (w.by_class, w.by_word)]
 
-    def _step(self, k: int, table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray,
-              target: np.ndarray) -> None:
+    def _step(self, k: int, rows: list[np.ndarray], node: np.ndarray | None, target: np.ndarray) -> None:
         """Rows move along their mean gradient, often-touched rows by more."""
-        g = _softmax(table, rows, bias)
+        softmax = self.softmax[k]
+        self.steps += 1
+        if self.steps % HOLD_STEPS == 0:
+            for x in self.softmax:
+                x.hold()
+        g = softmax.probabilities(rows, node)
         g[np.arange(len(g)), target] -= 1
         norms = np.einsum("ij,ij->i", g, g)
         squares, seen, rate = self.squares[k], self.seen[k], np.float32(self.shape.rate)
         for r in rows:
             # Sixteen bits are sorted by digits.
-            order = np.argsort(r.astype(np.uint16) if len(table) <= 1 << 16 else r, kind="stable")
+            order = np.argsort(r.astype(np.uint16) if len(squares) <= 1 << 16 else r, kind="stable")
             r = r[order]
             first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
             times = np.diff(np.append(first, len(r)))
@@ -510,25 +596,33 @@ class Learner:
             one = order[first[once]]
             at = r[first[once]]
             squares[at] += norms[one]
-            table[at] -= g[one] * (rate / np.sqrt(squares[at]))[:, None]
+            move = g.take(one, axis=0)
+            move *= (rate / np.sqrt(squares[at]))[:, None]
+            softmax.move(at, move)
             seen[at] += 1
             if len(one) < len(first):
                 n, at = times[~once], r[first[~once]]
                 many = order[np.repeat(~once, times)]
-                move = _stretch_sums(g[many], n)
+                move = _stretch_sums(g.take(many, axis=0), n)
                 move /= np.sqrt(n, dtype=np.float32)[:, None]
                 squares[at] += np.einsum("ij,ij->i", move, move)
-                table[at] -= move * (rate / np.sqrt(squares[at]))[:, None]
+                move *= (rate / np.sqrt(squares[at]))[:, None]
+                softmax.move(at, move)
                 seen[at] += n
 
     def learn(self, t: Tokens) -> None:
-        step, w = self.w.fit.batch, self.w
+        step = self.w.fit.batch
         for k in range(0, len(t.outcome), step):
             s = slice(k, k + step)
-            self._step(0, w.by_class, [r[s] for r in t.class_rows], w.class_bias, t.outcome[s])
+            self._step(0, [r[s] for r in t.class_rows], None, t.outcome[s])
         for k in range(0, len(t.word_at), step):
             s = slice(k, k + step)
-            self._step(1, w.by_word, [r[s] for r in t.word_rows], w.bias_of(t.word_node[s]), t.word_digit[s])
+            self._step(1, [r[s] for r in t.word_rows], t.word_node[s], t.word_digit[s])
+
+    def moved(self, k: int, rows: slice) -> np.ndarray:
+        """How far the weights of these rows have moved."""
+        old = (self.w.by_class, self.w.by_word)[k][rows]
+        return np.where((self.seen[k][rows] > 0)[:, None], np.log(self.softmax[k].exps[rows]) - old, 0)
 
 
 #: Rows of weights in one block of moves, at most.
@@ -536,17 +630,6 @@ BLOCK_ROWS = 512
 #: Tokens that a task turns into features at once.
 GROUP_TOKENS = 1 << 18
 
-
-def _groups(docs: list) -> Iterator[tuple[int, int]]:
-    """Ranges a..b of the rows, of about GROUP_TOKENS each."""
-    a, size = 0, 0
-    for b, d in enumerate(docs, 1):
-        size += len(d[0])
-        if size >= GROUP_TOKENS or b == len(docs):
-            yield a, b
-            a, size = b, 0
-
-
 MOVES = "block int, seen binary, moved binary"
 
 
@@ -560,21 +643,19 @@ def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
     blocks = class_blocks + (1 << fit.word_bits) // BLOCK_ROWS
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = Weights(shape, fit, shared.value)
-        learner = Learner(Weights(shape, fit, shared.value.copy()))
+        learner = Learner(Weights(shape, fit, shared.value))
         for batch in batches:
-            docs, _ = _read(batch.column("words"), batch.column("far"), lexicon.value, shape)
-            for a, b in _groups(docs):
-                learner.learn(Tokens.of(docs[a:b], shape, fit))
+            stream, _ = _read(batch.column("words"), batch.column("far"), lexicon.value, shape)
+            for group in stream.groups():
+                learner.learn(Tokens.of_stream(group, shape, fit))
         for b in range(blocks):
             k, at = (0, b) if b < class_blocks else (1, b - class_blocks)
             s = slice(at * BLOCK_ROWS, (at + 1) * BLOCK_ROWS)
             seen = learner.seen[k][s]
             if seen.any():
-                old, new = ((x.by_class, x.by_word)[k][s] for x in (base, learner.w))
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([b], pa.int32()), "seen": [seen.tobytes()],
-                    "moved": [(new - old).astype(np.float16).tobytes()]})
+                    "moved": [learner.moved(k, s).astype(np.float16).tobytes()]})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list[np.ndarray]] = {}
@@ -606,15 +687,15 @@ def model_scores(encoded: DataFrame, w: Weights, counts: Counts) -> DataFrame:
     shares of their local words."""
     spark = encoded.sparkSession
     shape, fit = w.shape, w.fit
-    shared = spark.sparkContext.broadcast(w.flat)
+    shared = spark.sparkContext.broadcast(w.exponentials().flat)
     lexicon = spark.sparkContext.broadcast(counts.lexicon)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(shape, fit, shared.value)
+        pair = softmaxes(Weights(shape, fit, shared.value))
         for batch in batches:
-            docs, shares = _read(batch.column("words"), batch.column("far"), lexicon.value, shape)
-            scores = [np.bincount(t.doc, log_probabilities(t, weights), b - a) for a, b in _groups(docs)
-                      for t in [Tokens.of(docs[a:b], shape, fit)]]
+            stream, shares = _read(batch.column("words"), batch.column("far"), lexicon.value, shape)
+            scores = [np.bincount(t.doc, _log_probabilities(t, pair), len(group.size))
+                      for group in stream.groups() for t in [Tokens.of_stream(group, shape, fit)]]
             model = pa.array(np.concatenate([*scores, np.empty(0)]) + shares, pa.float64())
             keep = [k for k, name in enumerate(batch.schema.names) if name not in ("words", "far")]
             yield pa.RecordBatch.from_arrays(

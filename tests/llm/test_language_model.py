@@ -249,3 +249,25 @@ def test_words_outside_the_vocabulary_have_contexts(spark):
     held = [r for r in L.language_model_report(docs, SMALL).collect() if r.held_out]
     n = sum(r.n_tokens for r in held)
     assert sum(r.score for r in held) / n > sum(r.base_score for r in held) / n + 1
+
+
+def test_exps_are_taken_of_weights_alone(monkeypatch):
+    """Kept exponentials follow the moves; scoring takes none of its own."""
+    rng = np.random.default_rng(1)
+    table, bias = (rng.normal(0, 1, (n, 4)).astype(np.float32) for n in (8, 3))
+    softmax = L.Softmax(np.exp(table), np.exp(bias))
+    by = rng.normal(0, 0.1, (3, 4)).astype(np.float32)
+    softmax.move(np.array([1, 4, 6]), by.copy())
+    table[[1, 4, 6]] -= by
+    rows, node, target = [rng.integers(0, 8, 1500) for _ in range(2)], rng.integers(0, 5, 1500), rng.integers(0, 4, 1500)
+    z = table[rows[0]].astype(float) + table[rows[1]] + bias[np.minimum(node, 2)]
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    monkeypatch.setattr(L.np, "exp", None)
+    assert np.allclose(softmax.log_of(rows, node, target), np.log10(p[np.arange(1500), target]), atol=1e-5)
+    assert np.allclose(softmax.probabilities(rows, node), p, atol=1e-5)
+
+
+def test_weights_are_held_in_range():
+    softmax = L.Softmax(np.exp(np.array([[60, -60, 1]], np.float32)), np.ones(3, np.float32))
+    softmax.hold()
+    assert np.allclose(np.log(softmax.exps), [[20, -20, 1]], atol=1e-4)
