@@ -480,6 +480,8 @@ class Softmax:
         self.exps, self.bias, width = exps, bias, exps.shape[1]
         self.block, self.spare = (np.empty((SOFTMAX_ROWS, width), np.float32) for _ in range(2))
         self.ones, self.out = np.ones(width, np.float32), np.empty((0, width), np.float32)
+        # The rows, each as one element.
+        self.whole = exps.view(np.dtype((np.void, exps.itemsize * width))).reshape(-1)
 
     def _products(self, rows: list[np.ndarray], node: np.ndarray | None, z: np.ndarray) -> None:
         """Row numbers are in range: clipping them only spares a buffer."""
@@ -518,7 +520,7 @@ class Softmax:
         named once."""
         np.exp(np.negative(by, out=by), out=by)
         by *= self.exps.take(at, axis=0)
-        self.exps[at] = by
+        self.whole.put(at, by.view(self.whole.dtype).reshape(-1))
 
     def hold(self) -> None:
         np.clip(self.exps, np.exp(-FARTHEST), np.exp(FARTHEST), out=self.exps)
@@ -584,7 +586,6 @@ class Learner:
                 x.hold()
         g = softmax.probabilities(rows, node)
         g[np.arange(len(g)), target] -= 1
-        norms = np.einsum("ij,ij->i", g, g)
         squares, seen, rate = self.squares[k], self.seen[k], np.float32(self.shape.rate)
         for r in rows:
             # Sixteen bits are sorted by digits.
@@ -595,8 +596,8 @@ class Learner:
             once = times == 1
             one = order[first[once]]
             at = r[first[once]]
-            squares[at] += norms[one]
             move = g.take(one, axis=0)
+            squares[at] += np.einsum("ij,ij->i", move, move)
             move *= (rate / np.sqrt(squares[at]))[:, None]
             softmax.move(at, move)
             seen[at] += 1
@@ -684,8 +685,9 @@ def train_round(encoded: DataFrame, w: Weights, counts: Counts) -> Weights:
 
 def model_scores(encoded: DataFrame, w: Weights, counts: Counts) -> DataFrame:
     """Rows with ``model``: log10 of their tokens' softmaxes, and of the leaf
-    shares of their local words."""
-    spark = encoded.sparkSession
+    shares of their local words. Their other words (``deep``) stay where they
+    are written."""
+    spark, encoded = encoded.sparkSession, encoded.drop("deep")
     shape, fit = w.shape, w.fit
     shared = spark.sparkContext.broadcast(w.exponentials().flat)
     lexicon = spark.sparkContext.broadcast(counts.lexicon)
@@ -726,7 +728,7 @@ def language_model_report(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     # The other words meet the counts, and their leaves, in joins.
     times, n = F.col("times"), F.coalesce("n", F.lit(0))
     share = (n + F.lit(0.1)) / (F.coalesce("tokens", F.lit(0)) + F.lit(0.1) * (F.coalesce("distinct", F.lit(0)) + 1))
-    deep = (scored.select("row", F.inline("deep")).withColumnRenamed("n", "times")
+    deep = (encoded.select("row", F.inline("deep")).withColumnRenamed("n", "times")
             .join(counts, "word", "left").withColumn("leaf", path_of("word", known.fit.depth, shape))
             .join(leaves, "leaf", "left")
             .groupBy("row").agg(
@@ -735,7 +737,7 @@ def language_model_report(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
                 F.sum(times * F.log10(share)).alias("deep_shares")))
     none = F.lit(0.0)
     base = float(np.log10(known.tokens + 0.1 * (known.distinct + 1)))
-    return (scored.drop("deep").join(deep, "row", "left").select(
+    return (scored.join(deep, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_local") + F.coalesce("deep_known", F.lit(0))).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),

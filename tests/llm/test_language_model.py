@@ -271,3 +271,24 @@ def test_weights_are_held_in_range():
     softmax = L.Softmax(np.exp(np.array([[60, -60, 1]], np.float32)), np.ones(3, np.float32))
     softmax.hold()
     assert np.allclose(np.log(softmax.exps), [[20, -20, 1]], atol=1e-4)
+
+
+def test_words_outside_the_local_ones_are_written_once(spark):
+    """Scores don't carry them along; they are read where they were encoded."""
+    rows = [(i, " ".join(f"w{(i * k * k) % 83}" for k in range(20))) for i in range(40)]
+    shape = L.Shape(classes=2, class_words=4, tail_classes=2, local_words=20)
+    data, _, known, _ = fitted(spark, rows, shape)
+    encoded = L.stored(L.encode(data, known, shape), "test-encoded")
+    assert encoded.where("size(deep) > 0").count()
+    scored = L.model_scores(encoded, L.Weights.start(shape, known), known)
+    assert "deep" not in scored.columns and scored.count() == len(rows)
+
+
+def test_moved_rows_are_those_named():
+    rng = np.random.default_rng(2)
+    exps = np.exp(rng.normal(0, 1, (9, 5)).astype(np.float32))
+    softmax, by = L.Softmax(exps.copy(), np.ones(5, np.float32)), rng.normal(0, 1, (3, 5)).astype(np.float32)
+    softmax.move(np.array([7, 0, 3]), by.copy())
+    want = np.log(exps)
+    want[[7, 0, 3]] -= by
+    assert np.allclose(np.log(softmax.exps), want, atol=1e-5)
