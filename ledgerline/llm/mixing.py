@@ -235,19 +235,36 @@ def build_plan(sized: DataFrame, mix: Mix) -> Plan:
     return Plan(sources, stored(plan, "mix-plan"), bounded, few_blocks, shards)
 
 
+#: Levels of the tree that one expression goes down: plans stay short, and a
+#: row holds the draws of one node of the first of them.
+LEVELS_AT_ONCE = 6
+
 _LEFT = """
-aggregate(quotas,
-  struct(shiftright(total, 1) AS n, total AS rest, CAST(array() AS array<bigint>) AS went),
+aggregate(t.quotas,
+  struct(shiftright(t.total, 1) AS n, t.total AS rest, CAST(array() AS array<bigint>) AS went),
   (node_acc, s) -> element_at(transform(
     array(aggregate(IF(s.q = 0, CAST(array() AS array<bigint>), sequence(1L, s.q)),
       struct(node_acc.n AS n, node_acc.rest AS rest, 0L AS x),
-      (a, i) -> IF(shiftrightunsigned(xxhash64({seed}, node, s.none, s.source, i), 11)
+      (a, i) -> IF(shiftrightunsigned(xxhash64({seed}, t.node, s.none, s.source, i), 11)
                      / 9007199254740992D * a.rest < a.n,
                    struct(a.n - 1L AS n, a.rest - 1L AS rest, a.x + 1L AS x),
                    struct(a.n AS n, a.rest - 1L AS rest, a.x AS x)))),
     d -> struct(d.n AS n, d.rest AS rest, concat(node_acc.went, array(d.x)) AS went)), 1),
   acc -> acc.went)"""
 
+#: The two halves of each of ``nodes``.
+_HALVES = f"""
+flatten(transform(
+  transform(transform(nodes, t -> struct(t.node AS node, t.quotas AS quotas,
+                                         aggregate(t.quotas, 0L, (a, s) -> a + s.q) AS total)),
+            t -> struct(t.node AS node, t.quotas AS quotas, {_LEFT} AS went)),
+  t -> array(
+    struct(2 * t.node AS node, transform(filter(transform(t.quotas, (s, k) ->
+      struct(s.none AS none, s.source AS source, get(t.went, k) AS q, s.q = 0 AS stays)),
+      s -> s.q > 0 OR s.stays), s -> struct(s.none AS none, s.source AS source, s.q AS q)) AS quotas),
+    struct(2 * t.node + 1 AS node, filter(transform(t.quotas, (s, k) ->
+      struct(s.none AS none, s.source AS source, s.q - get(t.went, k) AS q)), s -> s.q > 0) AS quotas))))"""
+
 
 def _exploded(rows: DataFrame, start: str, end: str, name: str) -> DataFrame:
     """A row per number from ``start`` to ``end``, in two steps so that no
@@ -300,20 +317,13 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         level += 1
     tree = flat.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("none", "source", "q"))).alias("quotas"))
     spread = level > 0
-    for k in range(level, levels):
-        if k == 6 and not spread:
+    while level < levels:
+        if level == LEVELS_AT_ONCE and not spread:
             tree = tree.repartition("node")
-        tree = (tree.withColumn("total", F.expr("aggregate(quotas, 0L, (a, s) -> a + s.q)"))
-                .withColumn("went", F.expr(_LEFT.format(seed=seed)))
-                .withColumn("halves", F.expr("""array(
-                    struct(2 * node AS node, filter(transform(quotas, (s, k) ->
-                      struct(s.none AS none, s.source AS source, get(went, k) AS q, s.q = 0 AS stays)),
-                      s -> s.q > 0 OR s.stays) AS quotas),
-                    struct(2 * node + 1 AS node, filter(transform(quotas, (s, k) ->
-                      struct(s.none AS none, s.source AS source, s.q - get(went, k) AS q, false AS stays)),
-                      s -> s.q > 0) AS quotas))"""))
-                .select(F.inline("halves"))
-                .withColumn("quotas", F.expr("transform(quotas, s -> struct(s.none, s.source, s.q))")))
+        down = min(LEVELS_AT_ONCE, levels - level)
+        tree = tree.select(F.inline(F.expr(
+            f"aggregate(sequence(1, {down}), array(struct(node, quotas)), (nodes, l) -> {_HALVES.format(seed=seed)})")))
+        level += down
     return tree.select(F.col("node").alias("shard"), F.inline("quotas"))
 
 

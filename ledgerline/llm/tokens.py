@@ -174,8 +174,21 @@ def worker_encoder(fmt: TokenFormat) -> Encoder:
 
 def train_dictionary(docs: DataFrame, fmt: TokenFormat, sample: DictionarySample) -> bytes:
     """The shared dictionary, from a sample bounded in rows and characters
-    (empty if the corpus is too small to train one)."""
-    import zstandard as zstd
+    (empty if the corpus is too small to train one). A task trains it, so that
+    the driver needs no encoder."""
+    spark = docs.sparkSession
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard as zstd
+
+        texts = [t for batch in batches for t in batch.column(0).to_pylist()]
+        ids, ends = worker_encoder(fmt).encode(pa.array(texts, pa.string()))
+        samples = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True) if b - a > 8]
+        try:
+            trained = zstd.train_dictionary(sample.dictionary_bytes, samples, k=128, d=8).as_bytes()
+        except (zstd.ZstdError, ValueError):
+            trained = b""
+        yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
     # A share by id hash that holds some times the wanted rows, so that
     # reading stops after the first partitions.
@@ -183,12 +196,10 @@ def train_dictionary(docs: DataFrame, fmt: TokenFormat, sample: DictionarySample
     rows = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
             .select(F.substring("text", 1, sample.chars_each).alias("_t"))
             .limit(sample.documents).collect())
-    ids, ends = Encoder(fmt).encode(pa.array([r._t for r in rows], pa.string()))
-    samples = [ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True) if b - a > 8]
-    try:
-        return zstd.train_dictionary(sample.dictionary_bytes, samples, k=128, d=8).as_bytes()
-    except (zstd.ZstdError, ValueError):
+    if not rows:
         return b""
+    texts = spark.createDataFrame(rows, "_t string").coalesce(1)
+    return bytes(texts.mapInArrow(train, "dictionary binary").first()[0])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:

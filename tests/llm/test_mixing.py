@@ -129,3 +129,24 @@ def test_blocks_by_shuffle_join(docs, monkeypatch):
     want = sorted(map(str, mixing.mix_report(docs).collect()))
     monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
     assert sorted(map(str, mixing.mix_report(docs).collect())) == want
+
+
+def test_plan_of_the_tree_does_not_grow_by_level(spark, capsys):
+    quotas = spark.createDataFrame([(False, "a", 5_000), (True, "", 3)], "none boolean, source string, q long")
+
+    def length(shards):
+        mixing.split_quotas(quotas, shards, 3).explain()
+        return len(capsys.readouterr().out)
+
+    assert length(64) < 1.2 * length(2)
+
+
+def test_tree_in_several_goes_equals_level_by_level(spark, monkeypatch):
+    quotas = spark.createDataFrame([(False, "a", 900), (False, "b", 37), (False, "c", 0), (True, "", 3)],
+                                   "none boolean, source string, q long")
+    for shards in (2, 64, 512):
+        together = sorted(map(tuple, mixing.split_quotas(quotas, shards, 5).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(mixing, "LEVELS_AT_ONCE", 2)
+            assert sorted(map(tuple, mixing.split_quotas(quotas, shards, 5).collect())) == together
+        assert sum(r[3] for r in together) == 940

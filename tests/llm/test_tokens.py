@@ -90,3 +90,21 @@ def test_encoders_start_no_threads(monkeypatch):
     monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
     tokens.Encoder(tokens.TokenFormat(tokenizer_path()))
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_driver_needs_no_encoder(spark, docs, monkeypatch):
+    """The dictionary is trained in a task; the driver holds no tokenizer."""
+    want = token_output(spark, docs).count()
+    monkeypatch.setattr(tokens, "Encoder", None)
+    assert token_output(spark, docs).count() == want
+
+
+def test_dictionary_of_a_sample(spark, empty):
+    rows = [(k, " ".join(f"word{(k * j) % 977}" for j in range(200))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fmt, sample = tokens.TokenFormat(tokenizer_path()), tokens.DictionarySample()
+    trained = tokens.train_dictionary(docs, fmt, sample)
+    assert isinstance(trained, bytes) and 0 < len(trained) <= sample.dictionary_bytes
+    assert tokens.train_dictionary(docs, fmt, sample) == trained
+    assert tokens.train_dictionary(docs.limit(2), fmt, sample) == b""
+    assert tokens.train_dictionary(empty.select("doc_id", "text"), fmt, sample) == b""
