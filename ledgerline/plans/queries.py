@@ -34,7 +34,7 @@ from ledgerline.operators.users import (
     to_user_rows,
 )
 from ledgerline.plans import params as P
-from ledgerline.session import input_bytes, scratch_path
+from ledgerline.session import free_shuffles, input_bytes, scratch_path
 from ledgerline.sources import testdata as TD
 from ledgerline.sources.files import read_csv, read_sales_csv, read_snapshots
 from ledgerline.sources.generate import (
@@ -526,8 +526,10 @@ def q_incremental_summary(spark, d):
     return read_summary(spark, path)
 
 
-#: Bytes of line items (Parquet) to a file that arrives.
+#: Bytes of line items (Parquet) to a file that arrives, and to a write of
+#: such files.
 ARRIVAL_BYTES = 4 << 20
+ARRIVAL_SLICE = 32 << 20
 
 
 def q_stream_summary(spark, d):
@@ -537,11 +539,20 @@ def q_stream_summary(spark, d):
     from ledgerline.streaming.summary import stream_summary
     base = scratch_path(spark, "stream-summary")
     raw, part = _raw(spark, d), F.pmod(F.col("order_id"), F.lit(10))
-    files = max(3, -(-input_bytes(spark, f"{d}/lineitem.parquet") // ARRIVAL_BYTES))
-    for n, share in enumerate((part < 5, part >= 5)):
-        raw.where(share).repartition(files).write.json(f"{base}/landing/arrival={n}")
+    size = input_bytes(spark, f"{d}/lineitem.parquet")
+    # Each arrival's five tenths are written in up to five goes: the shuffle
+    # files of one go before the next one's come.
+    slices = min(5, -(-size // ARRIVAL_SLICE))
+    files = max(3, -(-size // (ARRIVAL_BYTES * slices)))
+    for n in range(2):
+        for k in range(slices):
+            share = part.isin(*range(5 * n + k, 5 * n + 5, slices))
+            (raw.where(share).repartition(files)
+             .write.mode("append").option("compression", "gzip").json(f"{base}/landing/arrival={n}"))
+            free_shuffles(spark)
         stream_summary(spark, f"{base}/landing/*", f"{base}/summary", f"{base}/checkpoint",
-                       lateness="36500 days", max_files_per_trigger=-(-2 * files // 3))
+                       lateness="36500 days", max_files_per_trigger=-(-2 * files * slices // 3))
+        free_shuffles(spark)
     return read_summary(spark, f"{base}/summary")
 
 

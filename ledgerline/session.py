@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants. AQE re-plans joins and
 # coalesces shuffle partitions at runtime; skew-join splits hot partitions.
@@ -99,3 +100,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the work dir, unique per call."""
     import uuid
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files that nothing refers to any more are removed when the
+    driver's heap is collected, which may be long after they were last read.
+    A job that goes on to other data calls this in between."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_shuffles(df: DataFrame) -> None:
+    """Removes the shuffle files ``df`` comes from. Should it be used again,
+    it is computed anew. For frames over an RDD, as micro-batches are: of
+    others, this would run the adaptive plan."""
+    df._jdf.queryExecution().toRdd().cleanShuffleDependencies(True)

@@ -7,9 +7,11 @@ import pytest
 
 from ledgerline.operators.enrich import enrich
 from ledgerline.operators.reports import daily_summary
+from ledgerline.plans import queries
 from ledgerline.sinks import summary_state
 from ledgerline.sinks.summary_state import apply_batch, read_summary
 from ledgerline.storage import Store
+from ledgerline.streaming import summary
 from ledgerline.streaming.summary import stream_summary
 from tests.conftest import raw_rows
 
@@ -115,3 +117,118 @@ def test_rows_behind_the_watermark_are_reported(spark, tmp_path):
     put(src, "b.json", [row(2, dt.date(2024, 1, 1)), row(3, dt.date(2024, 2, 25))])
     assert stream_summary(spark, src, path, ckpt, lateness="10 days").some_too_late
     assert {str(r.summary_date) for r in read_summary(spark, path).collect()} == {"2024-03-01", "2024-02-25"}
+
+
+def arrivals(src, rows, files=3):
+    for n in range(files):
+        put(src, f"a{n}.json", rows[n::files])
+
+
+def shuffle_bytes(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(os.path.getsize(os.path.join(at, f)) for d in dirs for at, _, names in os.walk(d)
+               for f in names if f.startswith("shuffle_") and f.endswith(".data"))
+
+
+def test_dates_are_summed_up_in_slices(spark, tmp_path, monkeypatch):
+    """The shuffle of one slice is gone before the next; the version is
+    written once, of all of them."""
+    monkeypatch.setattr(summary, "SLICE_ROWS", 25)
+    slices, real = [], summary._sums
+    monkeypatch.setattr(summary, "_sums", lambda s, p, b, days: slices.append((b, len(days))) or real(s, p, b, days))
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    rows = sales(300, seed=8, nulls=False)
+    arrivals(src, rows)
+    stream_summary(spark, src, path, ckpt, max_files_per_trigger=2)
+    assert {b for b, _ in slices} == {0, 1} and len(slices) > 4
+    assert all(sum(n for b, n in slices if b == batch) == 9 for batch in (0, 1))
+    assert same(read_summary(spark, path), daily_summary(
+        enrich(raw_rows(spark, rows), stamp=False, with_sequence=False)))
+    assert os.listdir(os.path.join(path, "sums")) == []
+
+
+def test_a_slice_leaves_out_dates_the_batch_has_not_touched(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    row = lambda k, day: (k, 1, "Widget A", 1, 5.0, 5.0, dt.date(2024, 3, day), "North", "Online")
+    put(src, "a.json", [row(k, k) for k in (1, 2, 3)])
+    stream_summary(spark, src, path, ckpt)
+    put(src, "b.json", [row(4, 1), row(5, 3)])
+    stream_summary(spark, src, path, ckpt)
+    last = max(Store(spark).names(f"{path}/summary"))
+    found = spark.read.parquet(f"{path}/summary/{last}").collect()
+    assert sorted((r.summary_date.day, r.total_orders, r.unique_customers) for r in found) == [(1, 2, 1), (3, 2, 1)]
+
+
+def test_what_a_micro_batch_shuffled_is_gone_when_dates_are_summed_up(spark, tmp_path, monkeypatch):
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    arrivals(src, sales(4000, seed=9, nulls=False))
+    written, left = [], []
+    drop = summary.drop_shuffles
+    monkeypatch.setattr(summary, "drop_shuffles", lambda df: written.append(shuffle_bytes(spark)) or drop(df))
+    monkeypatch.setattr(summary, "_slices", lambda s, p, b, days: left.append(shuffle_bytes(spark)) or [days])
+    before = shuffle_bytes(spark)
+    stream_summary(spark, src, path, ckpt)
+    assert len(left) == 1
+    assert written[0] > before + 2000 and left[0] < before + 2000
+
+
+def test_pairs_lie_by_date_in_each_part_of_the_state(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    arrivals(src, sales(200, nulls=False))
+    stream_summary(spark, src, path, ckpt)
+    assert not os.path.exists(os.path.join(path, "arrived"))
+    folder = f"{path}/pairs/batch=0"
+    names = [n for n in os.listdir(folder) if n.endswith(".parquet")]
+    assert names and all("zstd" in n for n in names)
+    for name in names:
+        days = [tuple(r) for r in spark.read.parquet(f"{folder}/{name}").coalesce(1).select(
+            "summary_date", "customer_id").na.fill(-1).collect()]
+        assert days == sorted(days)
+
+
+def test_the_state_is_off_the_heap_and_stored_by_its_changes(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    before = {k: spark.conf.get(k, None) for k in summary.STATE_CONF}
+    arrivals(src, sales(60, nulls=False))
+    stream_summary(spark, src, path, ckpt)
+    assert {k: spark.conf.get(k, None) for k in summary.STATE_CONF} == before
+    kept = [n for _, _, names in os.walk(os.path.join(ckpt, "state")) for n in names if not n.startswith(".")]
+    assert any(n.endswith(".changelog") for n in kept) and not any(n.endswith(".delta") for n in kept)
+
+
+def test_a_state_stored_on_the_heap_goes_on(spark, tmp_path, monkeypatch):
+    """A checkpoint from before keeps the store it was begun with."""
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    rows = sales(200, seed=4, nulls=False)
+    put(src, "a.json", rows[:120])
+    with monkeypatch.context() as m:
+        m.setattr(summary, "STATE_CONF", {})
+        stream_summary(spark, src, path, ckpt)
+    put(src, "b.json", rows[120:])
+    stream_summary(spark, src, path, ckpt)
+    assert same(read_summary(spark, path), daily_summary(
+        enrich(raw_rows(spark, rows), stamp=False, with_sequence=False)))
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 32 << 20])
+def test_files_that_arrive_are_compressed(spark, tmp_path, monkeypatch, slice_bytes):
+    monkeypatch.setattr(queries, "ARRIVAL_SLICE", slice_bytes)
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    d, n = str(tmp_path / "tables"), 60
+    tables = {
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(k, f"n{k}", k) for k in range(5)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int", [(k, f"c{k}", k % 5) for k in range(7)]),
+        "part": ("p_partkey long, p_name string, p_retailprice double", [(k, "widget", 900.0 + k) for k in range(4)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp",
+                   [(k, k % 7, dt.datetime(2024, 1, 1 + k % 4)) for k in range(n)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_quantity double",
+                     [(k % n, k % 4, float(k % 6)) for k in range(3 * n)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+    found = queries.q_stream_summary(spark, d)
+    landing = tmp_path / "stream-summary" / "landing"
+    for arrival in ("arrival=0", "arrival=1"):
+        names = [x for x in os.listdir(landing / arrival) if x.startswith("part-")]
+        assert len(names) >= 3 and all(x.endswith(".json.gz") for x in names)
+    assert spark.read.json(str(landing)).count() == 3 * n
+    assert same(found, daily_summary(enrich(queries._raw(spark, d), stamp=False, with_sequence=False)))
