@@ -119,6 +119,7 @@ def _upsert(changed: DataFrame, path: str, batch: int, session: SparkSession | N
     slices = _slices(spark, path, batch, touched)
     if len(slices) == 1:
         write_version(finished(_sums(spark, path, batch, touched)), path, batch)
+        free_shuffles(spark)
         return
     parts = [f"{path}/sums/batch={batch}/slice={n}" for n in range(len(slices))]
     for days, part in zip(slices, parts, strict=True):
@@ -132,7 +133,7 @@ def _pairs(spark: SparkSession, path: str, batch: int, days: list[dt.date]) -> D
     """What is stored, up to this batch, from the first to the last of these
     days. A later batch's totals hold; of this batch's rerun, no later ones
     exist."""
-    since, until = (F.lit(d).cast("timestamp") for d in (days[0], days[-1] + dt.timedelta(1)))
+    since, until = F.lit(days[0]).cast("timestamp"), F.date_add(F.lit(days[-1]), 1).cast("timestamp")
     return (spark.read.schema(PAIRS).parquet(f"{path}/pairs")
             .where((F.col("summary_date") >= since) & (F.col("summary_date") < until) & (F.col("batch") <= batch))
             .withColumn("_day", F.col("summary_date").cast("date")))

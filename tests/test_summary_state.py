@@ -232,3 +232,11 @@ def test_files_that_arrive_are_compressed(spark, tmp_path, monkeypatch, slice_by
         assert len(names) >= 3 and all(x.endswith(".json.gz") for x in names)
     assert spark.read.json(str(landing)).count() == 3 * n
     assert same(found, daily_summary(enrich(queries._raw(spark, d), stamp=False, with_sequence=False)))
+
+
+def test_the_last_date_there_is(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / x) for x in ("in", "s", "c"))
+    rows = [(1, 1, "Widget A", 1, 5.0, 5.0, dt.date(9999, 12, 31), "North", "Online")]
+    put(src, "a.json", rows)
+    stream_summary(spark, src, path, ckpt)
+    assert [str(r.summary_date) for r in read_summary(spark, path).collect()] == ["9999-12-31"]
